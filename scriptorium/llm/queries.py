@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
+from .minhash_dedup import near_duplicates
 from .packing import pack_documents
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
@@ -24,6 +25,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, threshold=0.85)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup(_table(spark, sf_dir, "documents"), window=35)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
