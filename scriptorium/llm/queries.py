@@ -14,6 +14,7 @@ from .minhash_dedup import near_duplicates
 from .packing import pack_documents
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
+from .toxicity import score_toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -44,6 +45,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_table(spark, sf_dir, "pages"))
 
