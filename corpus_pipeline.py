@@ -1,24 +1,70 @@
-"""The corpus pipeline: toxicity, exact dedup, near dedup, decontamination, packing."""
+"""The corpus pipeline: toxicity, exact dedup, near dedup, benchmark decontamination, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the last return the
+columns of ``documents``.  Decisions are joined back by ``doc_id`` (null matches null).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from scriptorium.llm.decontaminate import decontaminate
 from scriptorium.llm.exact_dedup import exact_dedup
+from scriptorium.llm.minhash_dedup import near_duplicates
+from scriptorium.llm.packing import pack_documents
+from scriptorium.llm.queries import tokenizer_path
+from scriptorium.llm.shared import written
+from scriptorium.llm.toxicity import score_toxicity
+
+
+def _only(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is ("left_semi") or is not ("left_anti") among the decisions'."""
+    ids = decisions.select(F.col("doc_id").alias("_decided")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_decided"]), how)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.5 or more go."""
+    scored = score_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _only(docs, scored.where("predicted = 1"), "left_anti")
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest doc_id stays; of rows that repeat it, one."""
+    kept = _only(docs, exact_dedup(docs, keep="last").where("kept"), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"])
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each near-duplicate component (five words, 0.8) the smallest doc_id stays."""
+    return _only(docs, near_duplicates(docs, shingle_words=5, threshold=0.8).where("kept"), "left_semi")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a copy of a benchmark item, also an edited one, go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row with the largest doc_id of each group of equal texts."""
-    owners = exact_dedup(docs, keep="last").where("kept").select("doc_id").distinct()
-    return docs.join(owners, "doc_id", "left_semi")
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents left, each with its sequence and offset."""
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
-STAGES = [("exact dedup", exact)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("exact dedup", exact_duplicates),
+    ("near dedup", near_copies),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
+#: SQL can express neither the scores nor the packing; the tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each written to the shared folder and read again, over the whole of ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
