@@ -24,8 +24,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .kernels import buffers, pieces
 from .shared import written
 
+PIECE = 8 << 20
+
 
 class CapacityTree:
     """A segment tree over remaining capacities 0..n: open bins of each, tightest fit in O(log n)."""
@@ -109,26 +112,45 @@ _PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+
 _SIMPLE = regex.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:%&$#*|]*)")
 
 
+_N, _MOST = 28, (1 << 28) - 1
+
+
 class WordTokenizer:
     """Token ids of white-space separated words, with a bounded memory of words already seen.
 
     White space always ends a token in this vocabulary and is dropped, so the ids of a text are
-    those of its words in order.  Words new to a batch are encoded together.
+    those of its words in order.  Words new to a batch are encoded together.  The ids of known words
+    lie in one table; a word's entry is its place there, times 2**28, plus its number of ids.
     """
 
-    def __init__(self, path: str, most: int = 1_500_000):
+    def __init__(self, path: str, most: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.most, self.ids, self.parts = most, {}, {}
+        self.most = most
+        vocab = self.tokenizer.get_vocab(True)
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.parts: dict[str, int] = {}
+        self.table, self.used = np.empty(1 << 16, np.uint32), 0
+
+    def _add(self, ids: np.ndarray) -> int:
+        """The entry of new ids."""
+        return self._put(ids) << _N | len(ids)
+
+    def _ids(self, entry: int) -> np.ndarray:
+        return self.table[entry >> _N : (entry >> _N) + (entry & _MOST)]
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> None:
         """Encode new words; most are letters and then punctuation, whose parts recur."""
-        if len(self.ids) > self.most:
-            self.ids = {}
-        if len(self.parts) > self.most:
-            self.parts = {}
-        ids, parts = self.ids, self.parts
+        words, parts = self.words, self.parts
         split, todo, whole = [], {}, []
         for w in new:
             m = _SIMPLE.fullmatch(w)
@@ -141,57 +163,49 @@ class WordTokenizer:
                 todo[a] = None
             if b and b not in parts:
                 todo[b] = None
-        for w, e in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
-            ids[w] = np.array(e.ids, np.uint32)
+        for w, ids in zip(whole, self._encoded(whole)):
+            words[w] = self._add(ids)
         todo = list(todo)
         for i in range(0, len(todo), 4096):
             some = todo[i : i + 4096]
-            flat = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
-            ends = self._ends[np.array(flat.ids, np.int64)]
-            at = [0, *(np.flatnonzero(ends) + 1).tolist()]
-            if len(at) == len(some) + 1:  # each part is one pre-token: it ends where a word-end token does
-                arr = np.array(flat.ids, np.uint32)
-                for w, x, y in zip(some, at[:-1], at[1:]):
-                    parts[w] = arr[x:y].copy()
+            flat = self._encoded([" ".join(some)])[0]
+            ends = np.flatnonzero(self.ends_word[flat]) + 1
+            if len(ends) == len(some):  # each part is one pre-token: it ends where a word-end token does
+                base = self._put(flat)
+                begin = ends - np.diff(ends, prepend=0)
+                parts.update(zip(some, ((base + begin) << _N | (ends - begin)).tolist()))
             else:
-                for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                    parts[w] = np.array(e.ids, np.uint32)
+                for w, ids in zip(some, self._encoded(some)):
+                    parts[w] = self._add(ids)
         for w, a, b in split:
-            ids[w] = np.concatenate([parts[a], parts[b]]) if b else parts[a]
+            words[w] = self._add(np.concatenate([self._ids(parts[a]), self._ids(parts[b])])) if b else parts[a]
 
-    @property
-    def _ends(self) -> np.ndarray:
-        """Which ids end a pre-token."""
-        if not hasattr(self, "_ends_"):
-            vocab = self.tokenizer.get_vocab(True)
-            self._ends_ = np.zeros(max(vocab.values()) + 1, bool)
-            self._ends_[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        return self._ends_
+    def _put(self, ids: np.ndarray) -> int:
+        """Where in the table new ids were put."""
+        while self.used + len(ids) > len(self.table):
+            self.table = np.concatenate([self.table, np.empty(len(self.table), np.uint32)])
+        self.table[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        return self.used - len(ids)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each text)."""
         listed = pc.ascii_split_whitespace(texts)
-        flat = listed.flatten()
-        if not isinstance(listed, pa.ChunkedArray) and not len(flat):
-            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        coded = flat.dictionary_encode()
+        coded = listed.flatten().dictionary_encode()
+        if len(self.words) + len(self.parts) > self.most:
+            self._forget()
         vocabulary = coded.dictionary.to_pylist()
-        have = self.ids
-        self._learn([w for w in vocabulary if w not in have])
-        have = self.ids
-        if any(w not in have for w in vocabulary):  # the memory was just emptied
-            self._learn([w for w in vocabulary if w not in have])
-        found = [have[w] for w in vocabulary]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        table = np.concatenate(found) if found else np.zeros(0, np.uint32)
-        begin = np.cumsum(size) - size
+        get = self.words.get
+        self._learn([w for w in vocabulary if get(w) is None])
+        entry = np.fromiter(map(self.words.__getitem__, vocabulary), np.int64, len(vocabulary))
         code = coded.indices.to_numpy(zero_copy_only=False)
-        n = size[code]
+        entry = entry[code]
+        n = entry & _MOST
         ends = np.cumsum(n)
-        place = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin[code] - (ends - n), n)
+        total = int(ends[-1]) if len(ends) else 0
+        place = np.arange(total) + np.repeat((entry >> _N) - (ends - n), n)
         words_at = listed.offsets.to_numpy().astype(np.int64)
-        words_at -= words_at[0]
-        return table[place], np.concatenate([[0], ends])[words_at]
+        return self.table[place], np.concatenate([[0], ends])[words_at - words_at[0]]
 
 
 _kept: dict[str, WordTokenizer] = {}
@@ -207,8 +221,8 @@ def _tokenise(path: str, capacity: int, end_id: int, with_tokens: bool):
         tokenizer, task = _kept[path], TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for i, j in pieces(buffers(batch.column(1))[1], PIECE):
+                part = batch.slice(i, j - i)
                 ids, offsets = tokenizer.encode(part.column(1))
                 n = np.diff(offsets) + 1
                 out: list[tuple] = []
@@ -241,8 +255,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     identifiers stay null; other columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    pieces = written(tokenised_pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id, with_tokens), "pieces")
-    counts = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
+    cut = written(tokenised_pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id, with_tokens), "pieces")
+    counts = cut.groupBy("task", "length").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranked = counts.withColumn("before", before).drop("n")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
@@ -267,5 +281,5 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
     columns = [F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", "to.sequence_id", "to.offset", *["tokens"] * with_tokens]
-    joined = pieces.drop(*[] if with_tokens else ["tokens"]).join(ranked, ["task", "length"])
+    joined = cut.drop(*[] if with_tokens else ["tokens"]).join(ranked, ["task", "length"])
     return joined.withColumn("to", place("length", F.col("before") + F.col("nth"))).select(*columns)
