@@ -141,6 +141,8 @@ class LineParser(HTMLParser):
                 self.line.linked += len("".join(data.split()))
 
     def finish(self) -> list[Line]:
+        if self.rawdata.startswith("<!--"):  # a comment without end hides the rest
+            self.rawdata = ""
         self.close()
         self._break()
         return self.lines

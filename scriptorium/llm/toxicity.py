@@ -142,7 +142,7 @@ def fit_label_model(votes: np.ndarray, count: np.ndarray, start: np.ndarray, pri
     ``start``: first posteriors.  Correlations are those of votes about their class means,
     weighted by the posterior; a voter's discount is one over one plus the sum of its positive ones.
     """
-    n, m = votes.shape
+    m = votes.shape[1]
     q, discount = start.astype(float), np.ones(m)
     one_hot = np.eye(3)[votes]  # (rows, voters, votes)
     model = LabelModel(prior, np.full((2, m, 3), 1 / 3), discount)
@@ -150,7 +150,7 @@ def fit_label_model(votes: np.ndarray, count: np.ndarray, start: np.ndarray, pri
         for c, w in ((0, (1 - q) * count), (1, q * count)):
             model.table[c] = (np.einsum("r,rmv->mv", w, one_hot) + 0.5) / (w.sum() + 1.5)
         model.prior = float(np.clip((q * count).sum() / count.sum(), 0.005, 0.5))
-        if step in (5, 20, 40):
+        if step in (0, 5, 15, 30):
             shared = np.zeros((m, m))
             value = votes - 1.0
             for w in ((1 - q) * count, q * count):
@@ -158,7 +158,7 @@ def fit_label_model(votes: np.ndarray, count: np.ndarray, start: np.ndarray, pri
                 centred = value - (w @ value) / total
                 cov = (centred * w[:, None]).T @ centred / total
                 sd = np.sqrt(np.diag(cov)) + 1e-6
-                shared += np.maximum(cov / np.outer(sd, sd), 0) / 2
+                shared += np.maximum(cov / np.outer(sd, sd) - 0.1, 0) / 2  # less is taken for chance
             np.fill_diagonal(shared, 0)
             model.discount = 1 / (1 + shared.sum(axis=1))
         q = model.posterior(votes)
