@@ -78,6 +78,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 ORACLES = {
+    "op1_minhash_near_dedup": """
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+             s AS (SELECT DISTINCT doc_id, md5(array_to_string(ws[k : k + 2], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS k FROM w WHERE len(ws) > 0)),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+             links AS (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+             reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT a, y FROM reach JOIN links ON b = x),
+             least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, coalesce(component_id, d.doc_id) = d.doc_id AS kept
+        FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)""",
+    "op3_substring_dedup": """
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+             starts AS (SELECT doc_id, unnest(range(1, len(ws) - 33)) AS k, ws FROM w WHERE len(ws) >= 35),
+             keyed AS (SELECT doc_id, k, md5(array_to_string(ws[k : k + 34], ' ')) AS h FROM starts),
+             hit AS (SELECT doc_id, k FROM keyed WHERE h IN (SELECT h FROM keyed GROUP BY h HAVING count(*) > 1)),
+             gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 35)) AS p FROM hit),
+             lists AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id),
+             words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+             kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op10_exact_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
