@@ -106,3 +106,24 @@ def still_to_do(inputs: DataFrame, outputs: DataFrame, stem: str = "stem", out_s
 def stem_of(path: Column) -> Column:
     """A file name without folders and last suffix."""
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), "\\.[^.]*$", "")
+
+
+def commentary_at(commentaries: DataFrame, commentary_id: str, ref: str, key: str = "doc_id") -> DataFrame:
+    """The commentary with an identifier on a reference; of repeated ones the last."""
+    return last_by(commentaries.where((F.col("commentary_id") == commentary_id) & (F.col("ref") == ref)), [key], [F.col("block")])
+
+
+def renamed_commentaries(commentaries: DataFrame, names: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Commentary rows with new identifiers.
+
+    ``names``: (key, old, new), arrays; the identifier at a place of ``old`` becomes the one at that place of ``new``.
+    """
+    pairs = F.filter(F.arrays_zip("old", "new"), lambda p: p["old"].isNotNull() & p["new"].isNotNull() & (p["old"] != p["new"]))
+    changes = names.select(key, F.inline(pairs)).withColumnRenamed("old", "commentary_id")
+    return commentaries.join(changes, [key, "commentary_id"], "left").withColumn("commentary_id", F.coalesce("new", "commentary_id")).drop("new")
+
+
+def round_trip(left: DataFrame, right: DataFrame, key: str = "doc_id", value: str = "hash") -> DataFrame:
+    """(key, same): whether both sides have a document with the same fingerprint."""
+    joined = left.select(key, F.col(value).alias("_a")).join(right.select(key, F.col(value).alias("_b")), key, "full")
+    return joined.select(key, F.coalesce(F.col("_a") == F.col("_b"), F.lit(False)).alias("same"))

@@ -38,9 +38,8 @@ def q03_smart_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q04_cache_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _t(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    now = rows.agg(F.max("ts").alias("now"))  # one row
-    state = model.cache_state(F.col("now"), F.col("ts"))
-    return rows.crossJoin(F.broadcast(now)).select("event_id", state.alias("state"))
+    now = rows.agg(F.max("ts")).scalar()
+    return rows.select("event_id", model.cache_state(now, F.col("ts")).alias("state"))
 
 
 def q05_normalise_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -297,3 +297,43 @@ def test_stream(spark, tmp_path):
     q = ingest.upserted(ingest.fingerprinted(ingest.document_stream(spark, str(tmp_path / "in"))), str(tmp_path / "ck"), lambda df, n: seen.extend(r["hash"] for r in df.collect()))
     q.awaitTermination(60)
     assert seen == [sha("क")]
+
+
+def test_commentary_edits(spark):
+    c = spark.createDataFrame([(1, "c1", "1.1", 1, "a"), (1, "c1", "1.1", 5, "b"), (1, "c2", "1.1", 2, "c")], "doc_id int, commentary_id string, ref string, block int, text string")
+    assert [r["text"] for r in link.commentary_at(c, "c1", "1.1").collect()] == ["b"]
+    names = spark.createDataFrame([(1, ["c1", "c2"], ["n1", "c2"])], "doc_id int, old array<string>, new array<string>")
+    assert sorted(r["commentary_id"] for r in link.renamed_commentaries(c, names).collect()) == ["c2", "n1", "n1"]
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "doc_id int, hash string")
+    b = spark.createDataFrame([(1, "x"), (2, "q")], "doc_id int, hash string")
+    assert {r["doc_id"]: r["same"] for r in link.round_trip(a, b).collect()} == {1: True, 2: False, 3: False}
+
+
+def test_transliterated_and_positions(spark):
+    from scriptorium.functions import script
+
+    df = spark.createDataFrame([("कर्म x\n# गृह\nयोगः",)], "t string")
+    assert df.select(script.transliterated("t").alias("x")).first()["x"] == "karma x\n# gRha\nyogaH"
+    found = df.select(align.words_with_positions()("t").alias("w")).first()["w"]
+    assert [(r["word"], r["start"], r["end"]) for r in found] == [("कर्म", 0, 4), ("योगः", 13, 17)]
+    assert df.select(align.original_index(F.lit("a b c"), "\\s", F.lit(3)).alias("i")).first()["i"] == 5
+    pairs = spark.createDataFrame([(1, "क ख ग घ ङ च छ ज", "क ख ग x घ ङ च ज"), (2, "क", "ख")], "pair_id int, source_text string, output_text string")
+    got = {r["pair_id"]: r["final"] for r in align.repair_if_better(pairs, least=80).collect()}
+    assert got == {1: "क ख ग x घ ङ च छ ज", 2: "ख"}
+
+
+def test_caches(spark):
+    files = spark.createDataFrame([("/a/b.md", "h1"), ("/a/c.md", "h2")], "path string, file_hash string")
+    known = files.select(model.analysis_key(F.col("path")).alias("cache_key"), F.lit("h1").alias("file_hash"), F.lit('{"a": 1}').alias("analysis"))
+    assert {r["path"]: r["analysis"] for r in model.cached_analyses(files, known).collect()} == {"/a/b.md": '{"a": 1}', "/a/c.md": None}
+    cache = spark.createDataFrame([("1", "2024-01-01 00:00:00"), ("2", "2024-01-03 00:00:00"), ("3", "never")], "hash string, uploaded_at string")
+    assert [r["hash"] for r in model.cleaned_cache(cache, F.lit("2024-01-03 01:00:00").cast("timestamp")).collect()] == ["2"]
+    assert link.still_to_do(spark.createDataFrame([("a",), ("b",), ("c",)], "stem string"), spark.createDataFrame([("a", 3), ("b", 0)], "stem string, size int")).count() == 2
+
+
+def test_details_document(spark):
+    blocks = spark.createDataFrame([(1, 0, None, "intro", None, True), (1, 1, 1, "क", "टीका", False), (1, 2, None, "ख", None, False)], "doc_id int, idx int, number int, content string, commentary string, is_prefatory boolean")
+    row = render.details_to_structured(blocks).first()
+    assert row["problems"] == 1 and "# Mantra 1\nक\n\n# Commentary: 1\nटीका" in row["body"] and row["body"].startswith("# Prefatory: 0")
+    text = spark.range(1).select(render.with_header(F.lit("id: x\nhash_version: 1\nvalidation_hash: old"), F.lit("क")).alias("t")).first()["t"]
+    assert text == f"---\nid: x\nhash_version: 3\nvalidation_hash: {sha('क')}\n---\nक"
