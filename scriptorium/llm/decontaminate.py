@@ -177,7 +177,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int
         yield rows
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed_words: int = 3, threshold: float = 0.4, block_words: int = 2_000_000) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed_words: int = 3, threshold: float = 0.4, block_words: int = 500_000) -> DataFrame:
     """Pairs of a document and a benchmark item of which it holds a copy, also an edited one.
 
     Returns ``id_col``, ``item_id``, ``score`` (alignment score over the item's own, ``threshold`` to 1),

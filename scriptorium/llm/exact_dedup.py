@@ -43,12 +43,12 @@ def common_prefix(a: bytes, b: bytes) -> int:
 
 
 class Node:
-    """A radix-trie node: the edge label above it, children by first byte, owner if terminal."""
+    """A radix-trie node: the edge label above it, children by first byte; owner, count and key if terminal."""
 
-    __slots__ = ("label", "children", "owner", "count")
+    __slots__ = ("label", "children", "owner", "count", "key")
 
     def __init__(self, label: bytes):
-        self.label, self.children, self.owner, self.count = label, {}, None, 0
+        self.label, self.children, self.owner, self.count, self.key = label, {}, None, 0, None
 
 
 class RadixTrie:
@@ -79,6 +79,9 @@ class RadixTrie:
                 child.label = child.label[k:]
                 self.bytes += 200
                 node, i = upper, i + k
+        if node.key is None:
+            node.key = key
+            self.bytes += n
         node.owner = owner if node.owner is None else min(node.owner, owner)
         node.count += count
         return node
@@ -88,7 +91,7 @@ class RadixTrie:
         total, ends, todo = 0, 0, [node]
         while todo:
             x = todo.pop()
-            total += len(x.label) + 200
+            total += len(x.label) + len(x.key or b"") + 200
             ends += x.owner is not None
             todo.extend(x.children.values())
         return total, ends
@@ -124,16 +127,18 @@ def _combine(sign: int, fold: bool, limit: int):
         trie, rows = RadixTrie(), []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            seen: set[int] = set()
+            known: dict[int, tuple[bytes, int]] = {}
             out: list[list] = [[] for _ in _LOCAL]
             size = 0
-            for key, node, text, sha, h in rows:
-                first = id(node) not in seen
-                seen.add(id(node))
+            for key, node in rows:
+                text, first = node.key, id(node) not in known
+                if first:
+                    known[id(node)] = (hashlib.sha256(text).digest(), xxhash.xxh64_intdigest(text) - (1 << 63))
+                    size += len(text)
+                sha, h = known[id(node)]
                 for column, x in zip(out, (sign * key if key != _NO_ID else None, node.owner, len(text), h, sha, node.count, text if first else None)):
                     column.append(x)
-                size += first * len(text)
-                if size > 4 << 20:
+                if size > 4 << 20 or len(out[0]) >= 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _LOCAL)], schema=_LOCAL)
                     out, size = [[] for _ in _LOCAL], 0
             if out[0]:
@@ -141,9 +146,8 @@ def _combine(sign: int, fold: bool, limit: int):
 
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                text = text.translate(FOLD) if fold else text
                 key = _NO_ID if key is None else sign * key
-                rows.append((key, trie.insert(text, key), text, hashlib.sha256(text).digest(), xxhash.xxh64_intdigest(text) - (1 << 63)))
+                rows.append((key, trie.insert(text.translate(FOLD) if fold else text, key)))
             if trie.bytes > limit or len(rows) > 1_000_000:
                 yield from flush()
                 trie, rows = RadixTrie(), []
@@ -169,9 +173,9 @@ def _own(limit: int):
                 if node is None:
                     later.append((rep, length, h, n, None, None, text))
                 else:
-                    rows.append((rep, length, h, n, node, text))
+                    rows.append((rep, length, h, n, node))
             while trie.bytes > limit and (out := trie.spill()):
-                later += [(*r[:4], None, None, r[5]) for r in rows if id(r[4]) in out]
+                later += [(*r[:4], None, None, r[4].key) for r in rows if id(r[4]) in out]
                 rows = [r for r in rows if id(r[4]) not in out]
             if later:
                 yield emit(later)
