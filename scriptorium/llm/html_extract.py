@@ -31,9 +31,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Class, id and role words of furniture.
 MARKS = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advert(?:isement|ising)|sponsor(?:ed)?|banner|promo(?:tion)?s?|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay"
-    r"|side ?bar|sidebar|aside|widget|comments?|commentlist|respond|disqus|replies|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|footer|masthead|header|topbar"
+    r"|side ?bar|sidebar|aside|widget|comments?|commentlist|respond|disqus|replies|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|footer"
     r"|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|signup|login|search|skip|toolbar|contentinfo|complementary)(?:$|[\s_-]|s$)"
 )
+#: Those of page headers; an article's own header is content.
+HEADERS = re.compile(r"(?:^|[\s_-])(?:masthead|header|topbar)(?:$|[\s_-])")
 #: A new start tag of the first kind ends an open element of the second.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SIGMA = 1.0
@@ -98,9 +100,7 @@ class LineParser(HTMLParser):
                 elif name == "style" and value and re.search(r"display\s*:\s*none", value):
                     marks += " popup"
         inside = any(x[0] in ("article", "main") for x in self.open)
-        furniture = tag in FURNITURE or (tag == "header" and not inside) or bool(block and marks and MARKS.search(marks))
-        if furniture and tag == "header" and inside:
-            furniture = False
+        furniture = tag in FURNITURE or (tag == "header" and not inside) or bool(block and marks and (MARKS.search(marks) or (not inside and HEADERS.search(marks))))
         number = 0
         if tag in CONTAINERS:
             number = len(self.names)
