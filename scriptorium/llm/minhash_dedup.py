@@ -2,7 +2,7 @@
 
 Signatures.  Bands of four MinHash values find candidates; their number follows from the threshold,
 so that a pair just at it is missed with a probability of at most ``MISS``.  One-permutation MinHash
-samples (the least shingle hash of each of 512 bins) are folded into a bitmap of parities, an odd
+samples (the least shingle hash of each of 4,096 bins) are folded into a bitmap of parities, an odd
 sketch.  The XOR of two sketches counts the samples that differ, precisely for similar sets.  Candidates
 whose count lies more than six standard deviations above that of the threshold are dropped; all others
 are confirmed on their full shingle sets.
@@ -12,7 +12,8 @@ Candidates without all pairs of a group.  Equal sets form a class first, through
 member.  Components of the confirmed links follow.  (2) Only buckets that still hold more than one
 component are searched further: members of the largest component meet all others, and these one
 another, in blocks of bounded size, by sketch; pairs within a component need no check, as their
-connection is known.  So every pair that shares a bucket is either confirmed, refuted, or
+connection is known.  Blocks confirm their candidates on the full sets themselves and return only links
+that join components, so no table of pairs is made.  So every pair that shares a bucket is either confirmed, refuted, or
 already connected, and no partner or candidate is capped.
 
 Scale.  The corpus is read once for signatures (some 400 bytes a document) and once for the
@@ -34,9 +35,10 @@ from .components import connected_components
 from .kernels import U
 from .shared import written
 
-ROWS, MISS, BINS, BITS = 4, 1e-5, 512, 1024
+ROWS, MISS, BIN_BITS, BITS = 4, 1e-5, 12, 1024
+BINS = 1 << BIN_BITS
 PIECE = 1 << 20
-BLOCK = 4096
+BLOCK = 1024
 _SHINGLE = 0x8CB92BA72F3D8DD7
 
 
@@ -46,15 +48,23 @@ def bands_for(threshold: float) -> int:
 
 
 def sketch_limit(na: np.ndarray, nb: np.ndarray, threshold: float) -> np.ndarray:
-    """The largest XOR count of two odd sketches of sets at ``threshold``, with six deviations to spare."""
+    """The largest XOR count of two odd sketches of sets at ``threshold``, with six deviations to spare.
+
+    Of the union's elements, those that one set alone has are ``share``; the union's samples are drawn without
+    replacement, one a bin.  A sample that one set alone has flips its own bit, and that of the
+    other set's sample if its bin is not empty there.  Flips that meet in a bit cancel.
+    """
     total = na + nb
-    differ = total * (1 - threshold) / (1 + threshold)  # elements that just one set has
+    differ = total * (1 - threshold) / (1 + threshold)
     union = (total + differ) / 2
     share = differ / union
-    bins = BINS * (1 - np.exp(-union / BINS)) * share  # expected to have other samples
-    bins = bins + 6 * np.sqrt(bins * (1 - share)) + 3
-    folded = BITS / 2 * (1 - np.exp(-4 * bins / BITS)) + 32  # two samples a bin, some of which meet in a bit
-    return np.minimum(np.minimum(2 * differ, 2 * bins), folded)
+    samples = BINS * (1 - np.exp(-union / BINS))
+    own = samples * share
+    own = np.minimum(differ, own + 6 * np.sqrt(own * (1 - share) * np.maximum(0, 1 - samples / union)) + 1)
+    both = 1 - np.exp(-union / BINS)
+    flips = np.minimum(own * (1 + both) + 6 * np.sqrt(own * both * (1 - both)) + 2, 2 * differ)
+    folded = BITS / 2 * (1 - np.exp(-2 * flips / BITS)) + 6 * flips / np.sqrt(BITS / 2)
+    return np.minimum(flips, folded)
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +116,7 @@ def _signatures(width: int, bands: int):
                         for r in range(ROWS):
                             key = K.mix(key * U(0xD6E8FEB86659FD93) ^ least[k * ROWS + r])
                         keys[some, k] = key
-                    bins = d >> U(64 - 9)
+                    bins = d >> U(64 - BIN_BITS)
                     sample = np.ones(len(d), bool)
                     sample[1:] = (bins[1:] != bins[:-1]) | (row[1:] != row[:-1])
                     bit = (K.mix(d[sample]) & U(BITS - 1)).astype(np.int64)
@@ -147,47 +157,96 @@ def _similar_sketches(threshold: float):
     return run
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")  # two sorted runs: a merge
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
 def _confirm(threshold: float):
     percent = round(threshold * 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist()):
-                x, y = np.frombuffer(x, U), np.frombuffer(y, U)
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")  # two sorted runs: a merge
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(both) - common))
+            keep = [_linked(np.frombuffer(x, U), np.frombuffer(y, U), percent) for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     return run
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_MEMBER_DDL = "bucket long, to_main boolean, i long, j long, id long, component long, n long, sketch binary, bands array<long>, side int"
 
 
-def _block_pairs(threshold: float):
-    """Candidates between the two sides of a block (side 0 alone: among themselves)."""
+class _Block:
+    """The members of one block of a bucket; candidates between its two sides (side 0 alone: among themselves).
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
+    A pair is a candidate only in the first bucket that its two sides share, if they are of two components
+    and their sketches are near enough.
+    """
+
+    def __init__(self, key: tuple, table: pa.Table, threshold: float):
+        self.bucket, self.threshold = key[0].as_py(), threshold
+        self.ids, self.component, self.n = (table[c].to_numpy() for c in ("id", "component", "n"))
+        self.sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), U).reshape(-1, BITS // 64)
+        self.bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(self.ids), -1)
         side = table["side"].to_numpy()
-        ids, comp, n = (table[c].to_numpy() for c in ("id", "component", "n"))
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), U).reshape(-1, BITS // 64)
-        left = np.flatnonzero(side == 0)
-        right = np.flatnonzero(side == 1) if (side == 1).any() else left
+        self.left = np.flatnonzero(side == 0)
+        self.right = np.flatnonzero(side == 1) if (side == 1).any() else self.left
+
+    def candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of candidate pairs, the nearest first, some left members at a time."""
+        right = self.right
+        for at in range(0, len(self.left), 16):
+            x = self.left[at : at + 16]
+            far = self.component[x][:, None] != self.component[right][None, :]
+            count = np.bitwise_count(self.sketch[x][:, None, :] ^ self.sketch[right][None, :, :]).sum(axis=2)
+            p, q = np.nonzero(far & (count <= sketch_limit(self.n[x][:, None], self.n[right][None, :], self.threshold)))
+            shared = self.bands[x][p] == self.bands[right][q]
+            first = self.bands[x][p, shared.argmax(axis=1)] == self.bucket
+            p, q = p[first], q[first]
+            order = np.argsort(count[p, q], kind="stable")
+            yield x[p[order]], right[q[order]]
+
+
+def _with_candidates(threshold: float):
+    """The members of a block that are in any candidate pair."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        block = _Block(key, table, threshold)
+        wanted = np.zeros(len(block.ids), bool)
+        for p, q in block.candidates():
+            wanted[p] = wanted[q] = True
+        return table.select([c.split()[0] for c in _MEMBER_DDL.split(", ")]).filter(pa.array(wanted))
+
+    return run
+
+
+def _block_links(threshold: float):
+    """Links that join components of a block, confirmed on full sets; none between what is joined already."""
+    percent = round(threshold * 100)
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        block = _Block(key, table, threshold)
+        sets = [np.frombuffer(x, U) for x in table["set"].to_pylist()]
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while x in parent:
+                x = parent[x]
+            return x
+
         out = []
-        for i in range(0, len(left), 16):
-            x = left[i : i + 16]
-            far = comp[x][:, None] != comp[right][None, :]
-            count = np.bitwise_count(sketch[x][:, None, :] ^ sketch[right][None, :, :]).sum(axis=2)
-            hit = far & (count <= sketch_limit(n[x][:, None], n[right][None, :], threshold))
-            p, q = np.nonzero(hit)
-            out.append((ids[x][p], ids[right][q]))
-        a = np.concatenate([x for x, _ in out]) if out else np.zeros(0, np.int64)
-        b = np.concatenate([y for _, y in out]) if out else np.zeros(0, np.int64)
-        pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIRS)
+        for ps, qs in block.candidates():
+            for p, q in zip(ps.tolist(), qs.tolist()):
+                x, y = find(int(block.component[p])), find(int(block.component[q]))
+                if x != y and _linked(sets[p], sets[q], percent):
+                    parent[max(x, y)] = min(x, y)
+                    out.append((int(block.ids[p]), int(block.ids[q])))
+        columns = list(zip(*out)) if out else [[], []]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], schema=_PAIRS)
 
     return run
 
@@ -216,7 +275,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = reps.select("id", F.explode("bands").alias("bucket"))
     buckets = written(placed.groupBy("bucket").agg(F.min("id").alias("leader"), F.count("*").alias("size")).where("size > 1"), "buckets")
     members = written(placed.join(buckets, "bucket"), "members")
-    known = reps.select("id", "n", "sketch")
+    known = reps.select("id", "n", "sketch", "bands")
     confirm_on = _Confirmation(rows, known, shingle_words, threshold)
 
     pairs = members.where("id > leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
@@ -231,7 +290,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     at = F.xxhash64("id")
     is_main = F.col("component") == F.col("main")
     mixed = mixed.withColumn("mine", F.when(is_main, F.pmod(at, main_blocks)).otherwise(F.pmod(at, rest_blocks)).cast("long"))
-    columns = ["bucket", "id", "component", "n", "sketch"]
+    columns = ["bucket", "id", "component", "n", "sketch", "bands"]
     with_main = mixed.select(
         *columns,
         F.when(is_main, 1).otherwise(0).alias("side"),
@@ -241,9 +300,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ).select(*columns, "side", "to_main", F.when(F.col("side") == 0, F.col("mine")).otherwise(F.col("other")).alias("i"), F.when(F.col("side") == 0, F.col("other")).otherwise(F.col("mine")).alias("j"))
     rest = mixed.where(~is_main & (F.col("all") - F.col("most") > 1)).select(*columns, "mine", F.explode(F.sequence(F.lit(0).cast("long"), rest_blocks - 1)).alias("other"))
     among = rest.select(*columns, F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"), F.lit(False).alias("to_main"), F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    more = with_main.unionByName(among).groupBy("bucket", "to_main", "i", "j").applyInArrow(_block_pairs(threshold), "a long, b long")
-    links_all = written(links.unionByName(confirm_on(more.distinct())), "links")
-    found = connected_components(links_all, "a", "b")
+    block = ["bucket", "to_main", "i", "j"]
+    near = with_main.unionByName(among).groupBy(*block).applyInArrow(_with_candidates(threshold), _MEMBER_DDL)
+    near = written(near, "near")
+    if not near.isEmpty():
+        sets = confirm_on.sets(near.select("id").distinct())
+        late = written(near.join(sets, "id").groupBy(*block).applyInArrow(_block_links(threshold), "a long, b long"), "late")
+        if not late.isEmpty():
+            found = connected_components(links.unionByName(late), "a", "b")
 
     of_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("component"))
     out = signed.select("id", *same).join(of_class, same, "left")
@@ -263,9 +327,13 @@ class _Confirmation:
         both = both.join(k.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
         both = both.where(F.least("na", "nb") >= F.greatest("na", "nb") * (t - 1e-9))
         likely = written(both.mapInArrow(_similar_sketches(t), "a long, b long"), "likely")
-        wanted = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
-        # a repeated identifier may have other texts: any row whose set belongs to the class will do
-        sets = self.rows.join(wanted, "id", "left_semi").mapInArrow(_sets(self.width), "id long, set binary").dropDuplicates(["id"])
-        sets = written(sets, "sets")
+        if likely.isEmpty():
+            return likely
+        sets = self.sets(likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct())
         full = likely.join(sets.select(F.col("id").alias("a"), F.col("set").alias("xa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("xb")), "b")
         return written(full.mapInArrow(_confirm(t), "a long, b long"), "confirmed")
+
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """(id, set) of the wanted representatives.  A repeated identifier may have other texts: the set must be its class's."""
+        found = self.rows.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_sets(self.width), "id long, set binary")
+        return written(found.dropDuplicates(["id"]), "sets")
