@@ -109,7 +109,7 @@ def _double(t: np.ndarray) -> np.ndarray:
     while True:
         key = (rank + 1) * step
         key[: n - h] += rank[h:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.concatenate([[False], key[order[1:]] != key[order[:-1]]])
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(new)
@@ -264,15 +264,21 @@ class _Strings:
             last = np.append(first[1:], len(starts)) - 1
             yield int(at[0]), h[place[first]], starts[first], starts[last]
 
-    def segments(self, maybe: R.CellFilter, shards: int) -> tuple[dict, np.ndarray, np.ndarray, list]:
-        """Distinct segments of repeated minimizers by shard, each with its places in the group."""
-        found: dict[int, dict[bytes, list]] = {}
+    def segments(self, maybe: R.CellFilter, shards: int) -> dict[int, dict[bytes, tuple[int, list[int]]]]:
+        """By shard, the distinct segments of repeated minimizers: (minimizer, places in the group)."""
+        found: dict[int, dict[bytes, tuple[int, list[int]]]] = {}
         raw = self.buf.tobytes()
         for base, keys, first, last in self.runs():
             hit = maybe(keys)
-            shard = (keys[hit] >> U(7)) % U(shards)
-            for s, a, b in zip(shard.tolist(), (first[hit] + base).tolist(), (last[hit] + base + self.length).tolist()):
-                found.setdefault(s, {}).setdefault(raw[a:b], []).append(a)
+            keys = keys[hit]
+            shard = (keys >> U(7)) % U(shards)
+            for k, s, a, b in zip(keys.tolist(), shard.tolist(), (first[hit] + base).tolist(), (last[hit] + base + self.length).tolist()):
+                of_shard = found.setdefault(s, {})
+                held = of_shard.get(raw[a:b])
+                if held is None:
+                    of_shard[raw[a:b]] = (k, [a])
+                else:
+                    held[1].append(a)
         return found
 
 
@@ -291,39 +297,53 @@ def _send(length: int, blocks: int, shards: int):
         for shard, found in _Strings(table, length).segments(R.CellFilter(replies, blocks), shards).items():
             order = sorted(found)
             lens = np.array([len(s) for s in order], "<u4")
-            twice = np.array([len(found[s]) > 1 for s in order])
-            rows.append((2, shard, key[0].as_py(), np.uint32(len(order)).tobytes() + lens.tobytes() + b"".join(order), np.packbits(twice).tobytes()))
+            twice = np.array([len(found[s][1]) > 1 for s in order])
+            keys = np.array([found[s][0] for s in order], U)
+            rows.append((2, shard, key[0].as_py(), np.uint32(len(order)).tobytes() + lens.tobytes() + keys.tobytes() + b"".join(order), np.packbits(twice).tobytes()))
         return R.table_of(rows, R.MESSAGE)
 
     return run
 
 
-def _open(raw: bytes) -> list[bytes]:
+def _open(raw: bytes) -> tuple[list[bytes], list[int]]:
+    """The segments of a message and their minimizers."""
     n = int(np.frombuffer(raw, "<u4", 1)[0])
-    ends = np.cumsum(np.frombuffer(raw, "<u4", n, 4).astype(np.int64)) + 4 + 4 * n
-    return [raw[a:b] for a, b in zip([4 + 4 * n, *ends[:-1].tolist()], ends.tolist())]
+    keys = np.frombuffer(raw, U, n, 4 + 4 * n).tolist()
+    ends = np.cumsum(np.frombuffer(raw, "<u4", n, 4).astype(np.int64)) + 4 + 12 * n
+    return [raw[a:b] for a, b in zip([4 + 12 * n, *ends[:-1].tolist()], ends.tolist())], keys
 
 
 def _shard(length: int):
+    """Marks for a shard's segments.
+
+    Two starts in one segment differ in their distance from its minimizer, so they cannot hold equal strings:
+    a segment repeats as a whole, or in part in another segment of the same minimizer.  Only minimizers
+    with several distinct segments, some of which stand alone, need a suffix array.
+    """
+
     def run(key: tuple, table: pa.Table) -> pa.Table:
         number: dict[bytes, int] = {}
         count: list[int] = []
+        of_minimizer: dict[int, list[int]] = {}
         asked = []
         for g, raw, twice in zip(table["g"].to_pylist(), table["keys"].to_pylist(), table["twice"].to_pylist()):
-            segments = _open(raw)
+            segments, keys = _open(raw)
             more = np.unpackbits(np.frombuffer(twice, np.uint8), count=len(segments)).tolist()
             mine = []
-            for s, m in zip(segments, more):
-                k = number.setdefault(s, len(number))
+            for s, m, minimizer in zip(segments, more, keys):
+                k = number.setdefault(s, len(count))
                 if k == len(count):
                     count.append(0)
+                    of_minimizer.setdefault(minimizer, []).append(k)
                 count[k] += 1 + m
                 mine.append(k)
             asked.append((g, mine))
-        marks = repeated_starts(list(number), length)
-        for k, n in enumerate(count):
-            if n > 1:
-                marks[k] = np.ones_like(marks[k])
+        segments = list(number)
+        marks = [np.full(len(s) - length + 1, n > 1) for s, n in zip(segments, count)]
+        open_ = [k for ks in of_minimizer.values() if len(ks) > 1 and any(count[k] == 1 for k in ks) for k in ks]
+        if open_:
+            for k, found in zip(open_, repeated_starts([segments[k] for k in open_], length)):
+                marks[k] |= found
         block = key[0].as_py()
         return R.table_of([(g, 2, block, np.packbits(np.concatenate([marks[k] for k in mine])).tobytes()) for g, mine in asked], R.REPLY)
 
@@ -351,7 +371,7 @@ def _remove(length: int, blocks: int, shards: int):
                 if not mark.any():
                     continue
                 edge = np.flatnonzero(np.diff(mark, prepend=False, append=False))
-                for a in found[s]:
+                for a in found[s][1]:
                     for x, y in zip(edge[::2].tolist(), edge[1::2].tolist()):
                         d[a + x] += 1
                         d[a + y - 1 + length] -= 1
