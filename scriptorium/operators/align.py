@@ -7,8 +7,9 @@ functions, and equal texts never reach the alignment.
 from __future__ import annotations
 
 import re
-from difflib import SequenceMatcher
+from difflib import Match, SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,11 +18,75 @@ from pyspark.sql import types as T
 OPS = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("op", "before", "after")] + [T.StructField("position", T.IntegerType())]))
 
 
+#: Ranges with at most so many pairs of places are searched place by place.
+SMALL = 4096
+
+
+class Matcher(SequenceMatcher):
+    """``SequenceMatcher`` without junk, with the same blocks, for long sequences.
+
+    Ranks of all runs of 2^k items, by doubling, make runs comparable as numbers; the longest common run of
+    two ranges is then found by bisection of its length.
+    """
+
+    def __init__(self, a, b):
+        self.fullbcount, self.matching_blocks, self.opcodes = None, None, None
+        self.a, self.b = a, b
+        codes: dict = {}
+        every = np.fromiter((codes.setdefault(x, len(codes)) for s in (a, b) for x in s), np.int64, len(a) + len(b))
+        self.ranks = [every.astype(np.int32)]
+
+    def _keys(self, length: int, start: int, stop: int) -> np.ndarray:
+        """A number for each run of ``length`` items from ``start`` on, equal for equal runs."""
+        k = length.bit_length() - 1
+        while len(self.ranks) <= k:
+            last, step = self.ranks[-1].astype(np.int64), 1 << len(self.ranks) - 1
+            pair = last[:-step] << 32 | last[step:]
+            self.ranks.append(np.unique(pair, return_inverse=True)[1].astype(np.int32))
+        r, n = self.ranks[k], stop - start - length + 1
+        first, second = r[start : start + n].astype(np.int64), r[start + length - (1 << k) :][:n]
+        return first << 32 | second
+
+    def find_longest_match(self, alo: int = 0, ahi: int | None = None, blo: int = 0, bhi: int | None = None) -> Match:
+        """The longest common run; of those the first in ``a``, of those the first in ``b``."""
+        ahi, bhi = len(self.a) if ahi is None else ahi, len(self.b) if bhi is None else bhi
+        if alo >= ahi or blo >= bhi:
+            return Match(alo, blo, 0)
+        if (ahi - alo) * (bhi - blo) <= SMALL:
+            return self._small(alo, ahi, blo, bhi)
+        n = len(self.a)
+        low, high = 0, min(ahi - alo, bhi - blo)  # a run of ``low`` is common
+        while low < high:
+            mid = (low + high + 1) // 2
+            x, y = self._keys(mid, alo, ahi), self._keys(mid, n + blo, n + bhi)
+            low, high = (mid, high) if np.isin(x, y).any() else (low, mid - 1)
+        if not low:
+            return Match(alo, blo, 0)
+        x, y = self._keys(low, alo, ahi), self._keys(low, n + blo, n + bhi)
+        i = int(np.argmax(np.isin(x, y)))
+        return Match(alo + i, blo + int(np.argmax(y == x[i])), low)
+
+    def _small(self, alo: int, ahi: int, blo: int, bhi: int) -> Match:
+        places: dict[int, list[int]] = {}
+        codes, n = self.ranks[0], len(self.a)
+        for j, c in enumerate(codes[n + blo : n + bhi].tolist(), blo):
+            places.setdefault(c, []).append(j)
+        best, runs = Match(alo, blo, 0), {}
+        for i, c in enumerate(codes[alo:ahi].tolist(), alo):
+            now = {}
+            for j in places.get(c, ()):
+                k = now[j] = runs.get(j - 1, 0) + 1
+                if k > best.size:
+                    best = Match(i - k + 1, j - k + 1, k)
+            runs = now
+        return best
+
+
 def opcodes(a: str, b: str) -> list[dict]:
     """What turns ``a`` into ``b``, equal runs included; positions count from 0 in ``a``."""
     if a == b:
         return [{"op": "equal", "before": a, "after": b, "position": 0}] if a else []
-    found = SequenceMatcher(None, a, b, autojunk=False).get_opcodes()
+    found = Matcher(a, b).get_opcodes()
     return [{"op": op, "before": a[i:j], "after": b[k:m], "position": i} for op, i, j, k, m in found]
 
 
@@ -106,7 +171,7 @@ def repair_words(source: str, output: str, chars: str = "ऀ-ॿ", least: float
     if near < least:
         return {"success": False, "text": output, "message": f"similarity {near:.1f} is below {least:g}", "n_changes": 0}
     text, changes = output, 0
-    for op, i, j, k, m in reversed(SequenceMatcher(None, b, a, autojunk=False).get_opcodes()):
+    for op, i, j, k, m in reversed(Matcher(b, a).get_opcodes()):
         if op == "equal":
             continue
         both = min(j - i, m - k) if op == "replace" else 0

@@ -159,11 +159,13 @@ def q16_header_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _near_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbouring documents of a source that share a length to the hundred: for alignment."""
-    docs = _t(spark, sf_dir, "documents").where(F.length("text") <= 1000)
-    w = Window.partitionBy("lang", F.floor(F.length("text") / 100)).orderBy("doc_id")
-    rows = docs.select("doc_id", "text", F.lead("text").over(w).alias("other"), F.lead("doc_id").over(w).alias("other_id"))
-    return rows.where("other IS NOT NULL").select(F.col("doc_id").alias("pair_id"), F.col("text").alias("source_text"), F.col("other").alias("output_text"), "other_id")
+    """Every document of a near-duplicate class but the class's representative, with that one; whole texts."""
+    from ..llm.minhash_dedup import near_duplicates
+
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    classes = near_duplicates(docs, shingle_words=3, threshold=0.85).where("NOT kept").select("doc_id", F.col("component_id").alias("other_id"))
+    rows = docs.join(classes, "doc_id").join(docs.select(F.col("doc_id").alias("other_id"), F.col("text").alias("other")), "other_id")
+    return rows.select(F.col("doc_id").alias("pair_id"), F.col("text").alias("source_text"), F.col("other").alias("output_text"), "other_id")
 
 
 def q17_diff_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,8 +179,9 @@ def q18_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q19_word_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _near_pairs(spark, sf_dir).withColumn("output_text", F.regexp_replace("source_text", "^(\\S+) (\\S+) ", "$2 $1 "))
-    return rows.withColumn("r", align.word_repair("A-Za-zÀ-ÿ")("source_text", "output_text")).select("pair_id", "r.success", (F.col("r.text") == F.col("source_text")).alias("restored"))
+    words = lambda c: script.script_words(c, script.LATIN)
+    rows = _near_pairs(spark, sf_dir).withColumn("r", align.word_repair("A-Za-zÀ-ÿ")("source_text", "output_text"))
+    return rows.select("pair_id", "r.success", (words(F.col("r.text")) == words(F.col("source_text"))).alias("restored"))
 
 
 def q20_diff_report(spark: SparkSession, sf_dir: str) -> DataFrame:

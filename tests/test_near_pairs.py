@@ -1,0 +1,81 @@
+"""Near-duplicate pairs of whole documents (q17, q19, q20) against plain Python."""
+
+import random
+import re
+from collections import Counter
+from difflib import SequenceMatcher
+
+import pytest
+
+from scriptorium.operators import align
+from scriptorium.plans import queries
+
+WORDS = [a + b for a in "ba ko ri tu se la mo ni".split() for b in "lan der vik som tep rus".split()]
+
+
+def text(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+def edited(rng, t, k):
+    words = t.split()
+    for at in rng.sample(range(len(words)), k):
+        words[at] = "changed"
+    return " ".join(words)
+
+
+@pytest.fixture(scope="module")
+def documents():
+    rng = random.Random(5)
+    base = [text(rng, n) for n in (30, 400, 3000)]
+    rows = [*base, *[edited(rng, t, max(1, len(t.split()) // 200)) for t in base], base[1], text(rng, 500), None, ""]
+    return list(enumerate(rows))
+
+
+@pytest.fixture(scope="module")
+def pairs(documents):
+    """{document: representative} by comparing every two documents."""
+    def shingles(t):
+        w = re.findall("[^ \t-\r]+", (t or "").lower())
+        return {tuple(w[k : k + 3]) for k in range(max(1, len(w) - 2))} if w else set()
+
+    sets = {i: shingles(t) for i, t in documents}
+    least = {i: i for i, _ in documents}
+    for _ in documents:
+        for i in sets:
+            for j in sets:
+                if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                    least[i] = least[j] = min(least[i], least[j])
+    return {i: k for i, k in least.items() if i != k}
+
+
+@pytest.fixture(scope="module")
+def folder(spark, documents, tmp_path_factory):
+    path = tmp_path_factory.mktemp("near")
+    spark.createDataFrame(documents, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+def test_pairs_and_records(spark, documents, pairs, folder):
+    texts = dict(documents)
+    assert {r["pair_id"]: r["other_id"] for r in queries._near_pairs(spark, folder).collect()} == pairs
+    assert set(pairs) >= {4, 5, 6}  # longer than a thousand characters
+    want = Counter()
+    for i, k in pairs.items():
+        for seq, (op, a, b, c, d) in enumerate(SequenceMatcher(None, texts[i], texts[k], autojunk=False).get_opcodes()):
+            if op != "equal":
+                want[i, seq, texts[i][a:b], texts[k][c:d], a] += 1
+    got = Counter((r["pair_id"], r["seq"], r["before"], r["after"], r["position"]) for r in queries.q17_diff_records(spark, folder).collect())
+    assert got == want
+    assert {r["pair_id"] for r in queries.q20_diff_report(spark, folder).collect()} == set(pairs)
+    assert {r["pair_id"]: (r["success"], r["restored"]) for r in queries.q19_word_repair(spark, folder).collect()} == {i: (True, True) for i in pairs}
+
+
+def test_matcher_is_difflib():
+    rng = random.Random(1)
+    for n in (0, 1, 7, 60, 300, 900):
+        for letters in ("ab", "abcdefgh "):
+            a = "".join(rng.choice(letters) for _ in range(n))
+            b = a[: n // 3] + "".join(rng.choice(letters) for _ in range(n // 5)) + a[n // 2 :]
+            for x, y in ((a, b), (b, a), (a, a[::-1]), (a.split(), b.split())):
+                assert align.Matcher(x, y).get_opcodes() == SequenceMatcher(None, x, y, autojunk=False).get_opcodes()
