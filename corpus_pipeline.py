@@ -1,11 +1,14 @@
 """The corpus pipeline: toxicity, exact dedup, near dedup, benchmark decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the last return the
-columns of ``documents``.  Decisions are joined back by ``doc_id`` (null matches null).
+columns of ``documents``.  Decisions are joined back by rows (identifier and
+text), so a null or repeated ``doc_id`` takes no other row along.
 """
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,31 +17,33 @@ from scriptorium.llm.exact_dedup import exact_dedup
 from scriptorium.llm.minhash_dedup import near_duplicates
 from scriptorium.llm.packing import pack_documents
 from scriptorium.llm.queries import tokenizer_path
-from scriptorium.llm.shared import written
+from scriptorium.llm.shared import row_key, written
 from scriptorium.llm.toxicity import score_toxicity
 
 
-def _only(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is ("left_semi") or is not ("left_anti") among the decisions'."""
-    ids = decisions.select(F.col("doc_id").alias("_decided")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_decided"]), how)
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more go."""
-    scored = score_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _only(docs, scored.where("predicted = 1"), "left_anti")
+    scored = score_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), with_key=True)
+    toxic = scored.where("predicted = 1").select(F.col("row_key").alias("_row")).distinct()
+    return docs.withColumn("_row", row_key()).join(toxic, "_row", "left_anti").select(*docs.columns)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays; of rows that repeat it, one."""
-    kept = _only(docs, exact_dedup(docs, keep="last").where("kept"), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    folded = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    keyed = docs.withColumn("_sha", F.sha2(folded, 256))
+    kept = exact_dedup(docs, keep="last").where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept"))
+    same = keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["_sha"] == kept["_kept"])
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each near-duplicate component (five words, 0.8) the smallest doc_id stays."""
-    return _only(docs, near_duplicates(docs, shingle_words=5, threshold=0.8).where("kept"), "left_semi")
+    keyed = docs.withColumn("_row", row_key())
+    found = near_duplicates(keyed, id_col="_row", shingle_words=5, threshold=0.8).select("_row", "component_id").distinct()
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    kept = keyed.select("doc_id", "_row").join(found, "_row").groupBy("component_id").agg(least.alias("least")).select("least._row")
+    return keyed.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

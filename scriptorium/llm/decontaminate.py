@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .kernels import U
-from .shared import written
+from .shared import row_key, written
 
 PIECE = 1 << 20
 SEED_SHARE = 0.6
@@ -204,7 +204,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return links.groupBy("id", "item_id").agg(best.alias("b")).select(F.col("id").alias(id_col), "item_id", "b.score", "b.n_seeds", "b.end_word")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the rows that hold a copy of a benchmark item; all columns stay as they are."""
-    hit = contamination(docs, benchmark, id_col, **options).select(F.col(id_col).alias("_hit")).distinct()
-    return docs.join(hit, docs[id_col].eqNullSafe(hit["_hit"]), "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows that hold a copy of a benchmark item; all columns stay as they are.
+
+    Rows are told apart by identifier and text, so null and repeated identifiers do no harm to clean rows.
+    """
+    keyed = docs.withColumn("_row", row_key(id_col, text_col))
+    hit = contamination(keyed, benchmark, "_row", text_col, **options).select("_row").distinct()
+    return keyed.join(hit, "_row", "left_anti").select(*docs.columns)

@@ -10,7 +10,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _written: list[tuple[SparkSession, str]] = []
@@ -50,6 +50,11 @@ def _remove_all() -> None:
             return
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A number for identifier and text, never null: rows that share it are repeated rows."""
+    return F.xxhash64(F.col(id_col).isNull(), id_col, F.col(text_col).isNull(), text_col)
+
+
 def text_bytes(df: DataFrame, column: str) -> int:
     """Bytes of UTF-8 in a text column, over all rows."""
     return int(df.agg(F.sum(F.octet_length(column)).alias("b")).first()["b"] or 0)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import row_key, written
 
 #: Hand-written lexicons.
 LEXICONS = {
@@ -97,8 +97,8 @@ def _measure(text: str, signs: Signs) -> tuple[list[int], list[float], list[int]
     return votes, dense, list(hits), [float(np.log1p(c)) for c in hits.values()]
 
 
-_FEATURES = pa.schema([("id", pa.int64()), ("votes", pa.string()), ("dense", pa.list_(pa.float32())), ("at", pa.list_(pa.int32())), ("value", pa.list_(pa.float32()))])
-_FEATURES_DDL = "id long, votes string, dense array<float>, at array<int>, value array<float>"
+_FEATURES = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("votes", pa.string()), ("dense", pa.list_(pa.float32())), ("at", pa.list_(pa.int32())), ("value", pa.list_(pa.float32()))])
+_FEATURES_DDL = "id long, key long, votes string, dense array<float>, at array<int>, value array<float>"
 
 
 def _features(signs: Signs):
@@ -107,9 +107,9 @@ def _features(signs: Signs):
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 rows = []
-                for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                for i, key, t in zip(*(part.column(c).to_pylist() for c in range(3))):
                     votes, dense, ks, vs = _measure(t, signs)
-                    rows.append((i, "".join("-0+"[v + 1] for v in votes), dense, ks, vs))
+                    rows.append((i, key, "".join("-0+"[v + 1] for v in votes), dense, ks, vs))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _FEATURES)], schema=_FEATURES)
 
     return run
@@ -228,7 +228,7 @@ def learn_signs(sample: DataFrame, max_features: int) -> Signs:
 
 
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_sample: int = 20_000, max_features: int = 4_000) -> tuple[ToxicityModel, DataFrame]:
-    """A model, and the features of all rows of ``documents`` (``id``, ``votes``, ``dense``, ``at``, ``value``).
+    """A model, and the features of all rows of ``documents`` (``id``, ``key``, ``votes``, ``dense``, ``at``, ``value``).
 
     ``max_sample`` bounds the labelled rows used, taken by a hash of their identifier among those with crc32 of the
     identifier's digits not divisible by five.  Rows without a label, with a label other than 0 and 1,
@@ -236,14 +236,14 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """
     known = labels.where(~_held_out("doc_id")).where("toxic IN (0, 1)").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most")
     known = written(known.orderBy(F.xxhash64("id"), "id").limit(max_sample).select("id", "toxic"), "labelled")
-    rows = documents.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = documents.select(F.col(id_col).cast("long").alias("id"), row_key(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sample = rows.join(F.broadcast(known), "id")  # at most max_sample rows of two numbers
     # copies teach once
-    first = Window.partitionBy(F.xxhash64("text")).orderBy("id")
+    first = Window.partitionBy(F.xxhash64("text")).orderBy("id", "key")
     sample = written(sample.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth"), "labelled-texts")
     signs = learn_signs(sample, max_features)
     features = written(rows.mapInArrow(_features(signs), _FEATURES_DDL), "toxicity-features")
-    of_sample = sample.select("id", "toxic").join(features.dropDuplicates(["id"]), "id").orderBy("id").toPandas()
+    of_sample = sample.select("key", "toxic").join(features.dropDuplicates(["key"]), "key").orderBy("id", "key").toPandas()
     patterns = features.groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").toPandas()
     votes, count = _codes(patterns["votes"].tolist()), patterns["n"].to_numpy(float)
     share = float(of_sample["toxic"].mean()) if len(of_sample) else 0.1
@@ -267,8 +267,9 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     return ToxicityModel(signs, weights, model, 0.0), features
 
 
-def score_toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_sample: int = 20_000, max_features: int = 4_000) -> DataFrame:
-    """Score every document: ``id_col``, ``held_out``, ``score`` (0 to 1), ``predicted``, ``label_posterior``.
+def score_toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_sample: int = 20_000, max_features: int = 4_000, with_key: bool = False) -> DataFrame:
+    """Score every document: ``id_col``, ``held_out``, ``score`` (0 to 1), ``predicted``, ``label_posterior``;
+    ``with_key``: also ``row_key``, the row's key by identifier and text.
 
     The text alone is scored.  ``held_out`` rows (crc32 of the identifier's digits divisible by five) never
     teach.  Defined cases: null and empty texts get the score of a text without words; a null
@@ -288,6 +289,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_i
     out = features.withColumn("s", score("votes", "dense", "at", "value"))
     return out.select(
         F.col("id").alias(id_col),
+        *([F.col("key").alias("row_key")] if with_key else []),
         F.coalesce(_held_out("id"), F.lit(False)).alias("held_out"),
         F.col("s.score").alias("score"),
         (F.col("s.score") >= 0.5).cast("int").alias("predicted"),
