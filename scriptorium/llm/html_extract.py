@@ -3,9 +3,9 @@
 The standard library's streaming parser gives events; block-level tags end a line.  Each line has
 the ratio of its text to its tags.  The ratios are smoothed with a Gaussian over neighbouring
 lines, and a two-means threshold clusters them into content and other lines.  The content region is
-the smallest block container that holds most of the content cluster's text; furniture (menus,
+the smallest block container that holds all lines of the content cluster and all headings; furniture (menus,
 headers, footers, sidebars, notices, adverts, forms, comments) is never part of it.  All lines of
-the region are kept, also its short ones, so that headings and brief paragraphs stay.
+the region are kept, also short ones and lists of links, so that headings and sources stay.
 """
 
 from __future__ import annotations
@@ -188,31 +188,15 @@ def main_text(html: str | None) -> str:
         return ""
     ratio = smooth([len(t) / max(1, x.tags) * (1 - 0.9 * min(1.0, x.linked / len(t))) for x, t in lines])
     cut = two_means(ratio)
-    content = [k for k, r in enumerate(ratio) if r >= cut]
-    mass: dict[int, int] = {}
-    total = 0
+    content = [k for k, r in enumerate(ratio) if r >= cut or lines[k][0].heading]
+    held: dict[int, int] = {}
     for k in content:
-        x, t = lines[k]
-        total += len(t)
-        for c in x.path:
-            mass[c] = mass.get(c, 0) + len(t)
+        for c in lines[k][0].path:
+            held[c] = held.get(c, 0) + 1
     depth = {c: d for x, _ in lines for d, c in enumerate(x.path)}
-    named = [c for c, m in mass.items() if parser.names[c] in ("article", "main") and m >= 0.5 * total]
-    fit = named or [c for c, m in mass.items() if m >= 0.8 * total]
-    region = max(fit, key=lambda c: (depth[c], mass[c])) if fit else 0
-    kept = [(x, t) for x, t in lines if not region or region in x.path]
-    out: list[str] = []
-    run: list[tuple[Line, str]] = []
-    for x, t in [*kept, (None, "")]:
-        if x is not None and x.item and x.linked >= 0.8 * len("".join(t.split())):
-            run.append((x, t))
-            continue
-        if len(run) < 3:  # a list of three links or more is a menu
-            out += [s for _, s in run]
-        run = []
-        if x is not None:
-            out.append(t)
-    return "\n".join(out)
+    fit = [c for c, n in held.items() if n == len(content)]
+    region = max(fit, key=lambda c: depth[c]) if fit else 0
+    return "\n".join(t for x, t in lines if not region or region in x.path)
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", keys: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
