@@ -2,17 +2,20 @@
 
 The network predicts the class of every word from the two words on either side: embeddings, a
 tanh layer, a softmax over ``CLASSES`` classes.  The most frequent words of the corpus are classes
-of their own, all others share classes by their last letter.  A document's score is the sum of
-the logarithms of the conditional probabilities of all its words.
+of their own, all others share classes by their last letter.  A word's probability is that of its class
+times its share of the class's occurrences in the whole corpus, so the vocabulary is that of the corpus.
+A document's score is the sum of the logarithms of the conditional probabilities of all its words.
 
 Training.  Word counts cover all documents.  Then every task trains on its own documents, in numpy,
 from the same parameters; the tasks' parameters are averaged, weighted by the words they saw, and the
 next round starts from the average.  Every document takes part in each round, with every ``stride``-th
-word as a target, so the evidence grows with the corpus while no text leaves its task.
+word as a target, each round with others, so that ``stride`` rounds make a target of every word, and the
+evidence grows with the corpus while no text leaves its task.
 
-Scale.  Shuffled are partial word counts and, for each task and round, one number for each
+Scale.  Shuffled are partial word counts, the distinct words of each document (as hashes, to meet their
+counts, which stay a table) and, for each task and round, one number for each
 parameter (about 8,400), summed before and after the shuffle; the driver gets the averages and the
-vocabulary, whose sizes do not depend on the corpus.
+own-class words, whose sizes do not depend on the corpus.
 """
 
 from __future__ import annotations
@@ -26,12 +29,15 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .kernels import U
+from .shared import written
 
 OWN, SHARED = 95, 32
 #: Class 0 stands beyond the ends of a document.
 CLASSES = 1 + OWN + SHARED
 SIDE, EMBED, HIDDEN, BATCH = 2, 16, 32, 8192
 PIECE = 1 << 20
+#: Logarithms of words' shares are summed in such parts, so that equal texts get equal sums in any order.
+FINE = float(1 << 32)
 SHAPES = ((CLASSES, EMBED), (2 * SIDE * EMBED, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,))
 SIZES = [int(np.prod(s)) for s in SHAPES]
 
@@ -98,6 +104,11 @@ def gradient(params: list[np.ndarray], around: np.ndarray, target: np.ndarray) -
 
 def word_classes(buf: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(class of each word, first word of each row); ``vocabulary``: sorted hashes of the own-class words."""
+    return hashed_classes(buf, offsets, vocabulary)[:2]
+
+
+def hashed_classes(buf: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``word_classes``, and the hash of each word."""
     starts, ends, first = K.words(buf, offsets)
     h = K.word_hashes(buf, starts, ends, fold=True)
     out = 1 + OWN + (buf[ends - 1] & 31).astype(np.int64)
@@ -105,20 +116,20 @@ def word_classes(buf: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -
         k = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
         own = vocabulary[k] == h
         out[own] = 1 + k[own]
-    return out, first
+    return out, first, h
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kept: list[tuple[np.ndarray, np.ndarray]] = []
+    kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        h, n = np.concatenate([x for x, _ in kept]), np.concatenate([x for _, x in kept])
-        u, place = np.unique(h, return_inverse=True)
-        return u, np.bincount(place, n, len(u)).astype(np.int64)
+    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        h, n, c = (np.concatenate(x) for x in zip(*kept))
+        u, at, place = np.unique(h, return_index=True, return_inverse=True)
+        return u, np.bincount(place, n, len(u)).astype(np.int64), c[at]
 
     def out() -> pa.RecordBatch:
-        u, n = merged()
-        return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], names=["word", "n"])
+        u, n, c = merged()
+        return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n), pa.array(c)], names=["word", "n", "class"])
 
     for batch in batches:
         buf, offsets = K.buffers(batch.column(1))
@@ -126,9 +137,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = offsets[i : j + 1]
             part = buf[at[0] : at[-1]]
             starts, ends, _ = K.words(part, at - at[0])
-            u, n = np.unique(K.word_hashes(part, starts, ends, fold=True), return_counts=True)
-            kept.append((u, n))
-        if sum(len(u) for u, _ in kept) > 4_000_000:
+            u, k, n = np.unique(K.word_hashes(part, starts, ends, fold=True), return_index=True, return_counts=True)
+            kept.append((u, n, (part[ends[k] - 1] & 31).astype(np.int32)))
+        if sum(len(u) for u, _, _ in kept) > 4_000_000:
             one = merged()
             kept[:] = [one]
             if len(one[0]) > 2_000_000:
@@ -149,9 +160,7 @@ def _train(p: np.ndarray, vocabulary: np.ndarray, stride: int, rate: float, turn
                 at = offsets[i : j + 1]
                 classes, first = word_classes(buf[at[0] : at[-1]], at - at[0], vocabulary)
                 around, target = contexts(classes, first)
-                some = np.arange((turn * 3 + i) % stride, len(target), stride)
-                if not len(some) and len(target):
-                    some = np.arange(1)
+                some = np.arange((turn + i) % stride, len(target), stride)
                 waiting.append((around[some], target[some]))
                 seen += len(some)
                 if sum(len(t) for _, t in waiting) >= BATCH:
@@ -170,7 +179,7 @@ def _train(p: np.ndarray, vocabulary: np.ndarray, stride: int, rate: float, turn
     return run
 
 
-_OUT_DDL = "id long, n_words long, sum_logp double"
+_OUT_DDL = "id long, n_words long, class_logp double, words array<long>, counts array<int>"
 
 
 def _score(model):
@@ -181,7 +190,7 @@ def _score(model):
             buf, offsets = K.buffers(batch.column(1))
             for i, j in K.pieces(offsets, PIECE):
                 at = offsets[i : j + 1]
-                classes, first = word_classes(buf[at[0] : at[-1]], at - at[0], vocabulary)
+                classes, first, hashes = hashed_classes(buf[at[0] : at[-1]], at - at[0], vocabulary)
                 around, target = contexts(classes, first)
                 logp = np.empty(len(target) + 1)
                 logp[0] = 0
@@ -189,14 +198,33 @@ def _score(model):
                     z = forward(params, around[k : k + BATCH])[2]
                     logp[k + 1 : k + 1 + len(z)] = np.log(z[np.arange(len(z)), target[k : k + BATCH]])
                 total = np.cumsum(logp)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(first).astype(np.int64)), pa.array(total[first[1:]] - total[first[:-1]])], names=["id", "n_words", "sum_logp"])
+                # the distinct words of each row that share a class
+                shared = np.flatnonzero(classes > OWN)
+                rows = np.repeat(np.arange(j - i), np.diff(first))[shared]
+                h = hashes[shared].view(np.int64)
+                order = np.lexsort((h, rows))
+                rows, h = rows[order], h[order]
+                new = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]) | (h[1:] != h[:-1])])) if len(h) else np.zeros(0, np.int64)
+                ends = pa.array(np.searchsorted(rows[new], np.arange(j - i + 1)).astype(np.int32))
+                words = pa.ListArray.from_arrays(ends, pa.array(h[new]))
+                counts = pa.ListArray.from_arrays(ends, pa.array(np.diff(np.append(new, len(h))).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, j - i), pa.array(np.diff(first).astype(np.int64)), pa.array(total[first[1:]] - total[first[:-1]]), words, counts],
+                    names=["id", "n_words", "class_logp", "words", "counts"],
+                )
 
     return run
 
 
-def train_model(rows: DataFrame, rounds: int = 2, stride: int = 4, rate: float = 0.01) -> tuple[np.ndarray, np.ndarray]:
-    """(parameters, vocabulary) from rows of (id, text as bytes)."""
-    counts = rows.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(word, n, class): every word of the corpus by hash, its occurrences, and the class it shares."""
+    counts = rows.mapInArrow(_count, "word long, n long, class int").groupBy("word").agg(F.sum("n").alias("n"), F.min("class").alias("class"))
+    return written(counts, "word-counts")
+
+
+def train_model(rows: DataFrame, rounds: int = 2, stride: int = 2, rate: float = 0.01, counts: DataFrame | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(parameters, own-class words) from rows of (id, text as bytes)."""
+    counts = word_counts(rows) if counts is None else counts
     top = counts.orderBy(F.desc("n"), "word").limit(OWN).collect()
     vocabulary = np.sort(np.array([r["word"] for r in top], np.int64).view(U))
     p = initial()
@@ -208,7 +236,7 @@ def train_model(rows: DataFrame, rounds: int = 2, stride: int = 4, rate: float =
     return p, vocabulary
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, stride: int = 4) -> DataFrame:
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, stride: int = 2) -> DataFrame:
     """Masked pseudo-likelihood of every document under a network trained on all of them.
 
     Returns ``id_col``, ``n_words``, ``sum_logp`` (the sum of the words' conditional log-probabilities) and ``score``
@@ -219,6 +247,15 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     columns are ignored; an empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    model = docs.sparkSession.sparkContext.broadcast(train_model(rows, rounds, stride))
-    out = rows.mapInArrow(_score(model), _OUT_DDL)
+    counts = word_counts(rows)
+    p, vocabulary = train_model(rows, rounds, stride, counts=counts)
+    model = docs.sparkSession.sparkContext.broadcast((p, vocabulary))
+    scored = written(rows.mapInArrow(_score(model), _OUT_DDL).withColumn("row", F.monotonically_increasing_id()), "class-scores")
+    shared = counts.where(~F.col("word").isin(vocabulary.view(np.int64).tolist()))
+    sizes = shared.groupBy("class").agg(F.sum("n").alias("all"))  # at most SHARED rows
+    share = shared.join(F.broadcast(sizes), "class").select("word", F.round(F.log(F.col("n") / F.col("all")) * FINE).cast("long").alias("logp"))
+    each = scored.select("row", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.counts").alias("k"))
+    within = each.join(share, "word").groupBy("row").agg((F.sum(F.col("k") * F.col("logp")) / FINE).alias("word_logp"))
+    out = scored.select("row", "id", "n_words", "class_logp").join(within, "row", "left")
+    out = out.withColumn("sum_logp", F.col("class_logp") + F.coalesce("word_logp", F.lit(0.0)))
     return out.select(F.col("id").alias(id_col), "n_words", "sum_logp", F.when(F.col("n_words") > 0, F.col("sum_logp") / F.col("n_words")).otherwise(0.0).alias("score"))
