@@ -116,6 +116,54 @@ def ratio(a: str, b: str) -> float:
     return 100.0 * 2 * lcs_length(a, b) / (len(a) + len(b))
 
 
+class Nearest:
+    """The most similar text seen for each of some items; of equally similar ones the smallest identifier.
+
+    Items of like length are packed into one integer, where ``lcs_length`` runs for all of them at once; a pack is
+    passed over where the lengths alone show that no item of it can gain.
+    """
+
+    PACK = 64
+
+    def __init__(self, items: list[tuple[int, str]]):
+        items = sorted(items, key=lambda x: len(x[1]))
+        self.ids, self.texts = [i for i, _ in items], [t for _, t in items]
+        self.sizes = np.array([len(t) for t in self.texts])
+        self.score, self.owner = np.full(len(items), -1.0), [None] * len(items)
+        self.packs = []
+        for k in range(0, len(items), self.PACK):
+            masks: dict[str, int] = {}
+            full, at, starts = 0, 0, []
+            for t in self.texts[k : k + self.PACK]:
+                starts.append(at // 8)
+                for i, ch in enumerate(t):
+                    masks[ch] = masks.get(ch, 0) | 1 << at + i
+                full |= (1 << len(t)) - 1 << at
+                at += -(-(len(t) + 1) // 8) * 8  # at least one bit takes the carry
+            self.packs.append((k, min(len(items), k + self.PACK), masks, full, np.array(starts), at // 8))
+
+    def add(self, ids: list[int], texts: list[str]) -> None:
+        middle = self.sizes[len(self.sizes) // 2]
+        for i, t in sorted(zip(ids, texts), key=lambda x: abs(len(x[1]) - middle)):  # good ones early
+            both = np.maximum(self.sizes + len(t), 1)
+            most = np.where(self.sizes + len(t) == 0, 100.0, 100.0 * 2 * np.minimum(self.sizes, len(t)) / both)
+            for a, b, masks, full, starts, size in self.packs:
+                if not (most[a:b] >= self.score[a:b]).any():
+                    continue
+                row = full
+                for ch in t:
+                    if u := row & masks.get(ch, 0):
+                        row = (row + u | row - u) & full
+                left = np.add.reduceat(np.bitwise_count(np.frombuffer(row.to_bytes(size, "little"), np.uint8)).astype(np.int64), starts)
+                score = np.where(self.sizes[a:b] + len(t) == 0, 100.0, 100.0 * 2 * (self.sizes[a:b] - left) / both[a:b])
+                for k in np.flatnonzero(score >= self.score[a:b]).tolist():
+                    if score[k] > self.score[a + k] or i < self.owner[a + k]:
+                        self.score[a + k], self.owner[a + k] = score[k], i
+
+    def best(self) -> list[tuple[int, int, float]]:
+        return [(i, j, s) for i, j, s in zip(self.ids, self.owner, self.score.tolist()) if j is not None]
+
+
 @F.pandas_udf(T.DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else ratio(x, y) for x, y in zip(a, b)], dtype="float64")

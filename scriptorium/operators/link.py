@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.refs import expanded, ref_key
-from .align import similarity
+from .align import Nearest, similarity
 
 
 
@@ -78,6 +81,38 @@ def best_match(left: DataFrame, right: DataFrame, block: list[str], left_text: s
     return best.where(F.col("score") >= least)
 
 
+def nearest(left: DataFrame, right: DataFrame, left_text: str = "text", right_text: str = "text", left_id: str = "id", right_id: str = "id", block_chars: int = 1_000_000) -> DataFrame:
+    """(left id, right id, score): for every left row the most similar of all right rows.
+
+    As ``best_match`` with one block: nothing is left out but what the lengths show to be worse than a row already
+    seen.  The left side is meant to be small; its texts go to every task, ``block_chars`` at a time, the right
+    side is read once for each such block, and only each task's best rows are shuffled.
+    """
+
+    def scan(items: list[tuple[int, str]]):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            packs = Nearest(items)
+            for batch in batches:
+                packs.add(batch["_id"].tolist(), batch["_text"].tolist())
+            yield pd.DataFrame(packs.best(), columns=["left_id", "right_id", "score"])
+
+        return run
+
+    rows = right.where(F.col(right_id).isNotNull() & F.col(right_text).isNotNull()).select(F.col(right_id).cast("long").alias("_id"), F.col(right_text).alias("_text"))
+    found = left.sparkSession.createDataFrame([], "left_id long, right_id long, score double")
+    items: list[tuple[int, str]] = []
+    size = 0
+    for r in left.where(F.col(left_id).isNotNull() & F.col(left_text).isNotNull()).select(left_id, left_text).toLocalIterator():
+        if items and size + len(r[1]) > block_chars:
+            found = found.unionByName(rows.mapInPandas(scan(items), found.schema))
+            items, size = [], 0
+        items.append((r[0], r[1]))
+        size += len(r[1])
+    if items:
+        found = found.unionByName(rows.mapInPandas(scan(items), found.schema))
+    return found.groupBy("left_id").agg(F.max_by("right_id", F.struct("score", -F.col("right_id"))).alias("right_id"), F.max("score").alias("score"))
+
+
 def zipped(left: DataFrame, right: DataFrame, name: str = "name", by: list[str] | None = None) -> DataFrame:
     """Both sides in order of name, first with first; as many as the shorter side has.
 

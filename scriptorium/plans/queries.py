@@ -173,9 +173,7 @@ def q17_diff_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q18_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = _t(spark, sf_dir, "benchmark").select("item_id", "text", F.expr("left(text, 2)").alias("block"))
-    right = _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("other_id"), "text", F.expr("left(text, 2)").alias("block"))
-    return link.best_match(left, right, ["block"], left_id="item_id", right_id="other_id")
+    return link.nearest(_t(spark, sf_dir, "benchmark"), _t(spark, sf_dir, "documents"), left_id="item_id", right_id="doc_id")
 
 
 def q19_word_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
