@@ -225,6 +225,12 @@ def q27_hidden_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.lit("[note "), F.col("n_name"), F.lit("] and [link](x) and <!-- hide -->[old]<!-- /hide -->"))
     return _t(spark, sf_dir, "nation").select("n_nationkey", markup.hide_notes(text).alias("text"))
 
+def q26_cleaned_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As q26_cleaned, over all documents and with their texts as they are."""
+    marked = F.concat(F.lit("---\nid: x\n---\n# Heading 1\n**"), F.col("text"), F.lit("** <!-- note\nmore -->\n"))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.regexp_replace(markup.cleaned(marked), "[\\s\\x{00A0}]+", " ").alias("text"))
+
+
 
 def q28_ref_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.col("l_orderkey"), F.lit("."), F.col("l_linenumber")).alias("ref"))
