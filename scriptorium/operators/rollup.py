@@ -91,12 +91,16 @@ def merged_headers(chunks: DataFrame, key: str = "doc_id", at: str = "chunk", he
 
 
 def diff_report(pairs: DataFrame, records: DataFrame, key: str = "pair_id") -> DataFrame:
-    """(key, n_chars, n_space, n_text, delta_percent, rank): pairs by their differences other than white space."""
+    """(key, n_chars, n_space, n_text, delta_percent, rank): pairs; the most differences other than white space rank first, equal ones share a rank."""
     counts = records.groupBy(key).agg(F.count_if("whitespace_only").alias("n_space"), F.count_if(~F.col("whitespace_only")).alias("n_text"))
     zero = F.lit(0).cast("long")
     out = pairs.join(counts, key, "left").withColumn("n_space", F.coalesce("n_space", zero)).withColumn("n_text", F.coalesce("n_text", zero))
+    # ranks from the counts of pairs by n_text: a table of distinct numbers, never all pairs in one window
+    equal = out.groupBy("n_text").agg(F.count("*").alias("k"))
+    above = F.coalesce(F.sum("k").over(Window.orderBy(F.desc("n_text")).rowsBetween(Window.unboundedPreceding, -1)), zero)
+    out = out.join(F.broadcast(equal.select("n_text", (above + 1).alias("rank"))), "n_text")
     out = out.withColumn("delta_percent", F.when(F.col("n_chars") > 0, 100.0 * (F.col("n_other") - F.col("n_chars")) / F.col("n_chars")))
-    return out.select(key, "n_chars", "n_space", "n_text", "delta_percent")
+    return out.select(key, "n_chars", "n_space", "n_text", "delta_percent", "rank")
 
 
 def diff_totals(report: DataFrame) -> DataFrame:

@@ -183,10 +183,14 @@ def q19_word_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q20_diff_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each pair, and their totals (null pair_id and rank)."""
+    from ..llm.shared import written
+
     pairs = _near_pairs(spark, sf_dir)
     records = align.diff_records(pairs, "pair_id", "source_text", "output_text")
     sized = pairs.select("pair_id", F.length("source_text").alias("n_chars"), F.length("output_text").alias("n_other"))
-    return rollup.diff_report(sized, records)
+    report = written(rollup.diff_report(sized, records), "diff-report")  # the alignment once, for rows and totals
+    return report.unionByName(rollup.diff_totals(report), allowMissingColumns=True)
 
 
 def q21_json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,16 +225,16 @@ def q26_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "documents").where(~F.contains("text", F.lit("#"))).select("doc_id", F.regexp_replace(markup.cleaned(marked), "[\\s\\x{00A0}]+", " ").alias("text"))
 
 
-def q27_hidden_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.lit("[note "), F.col("n_name"), F.lit("] and [link](x) and <!-- hide -->[old]<!-- /hide -->"))
-    return _t(spark, sf_dir, "nation").select("n_nationkey", markup.hide_notes(text).alias("text"))
-
 def q26_cleaned_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As q26_cleaned, over all documents and with their texts as they are."""
     marked = F.concat(F.lit("---\nid: x\n---\n# Heading 1\n**"), F.col("text"), F.lit("** <!-- note\nmore -->\n"))
     return _t(spark, sf_dir, "documents").select("doc_id", F.regexp_replace(markup.cleaned(marked), "[\\s\\x{00A0}]+", " ").alias("text"))
 
 
+def q27_hidden_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit("[note "), F.col("n_name"), F.lit("] and [link](x) and <!-- hide -->[old]<!-- /hide -->"))
+    return _t(spark, sf_dir, "nation").select("n_nationkey", markup.hide_notes(text).alias("text"))
+
 
 def q28_ref_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.col("l_orderkey"), F.lit("."), F.col("l_linenumber")).alias("ref"))
