@@ -187,9 +187,10 @@ def q20_diff_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..llm.shared import written
 
     pairs = _near_pairs(spark, sf_dir)
-    records = align.diff_records(pairs, "pair_id", "source_text", "output_text")
-    sized = pairs.select("pair_id", F.length("source_text").alias("n_chars"), F.length("output_text").alias("n_other"))
-    report = written(rollup.diff_report(sized, records), "diff-report")  # the alignment once, for rows and totals
+    # the alignment once, for counts, ranks and totals
+    records = written(align.diff_records(pairs, "pair_id", "source_text", "output_text").select("pair_id", "whitespace_only"), "diff-records")
+    sized = written(pairs.select("pair_id", F.length("source_text").alias("n_chars"), F.length("output_text").alias("n_other")), "diff-sizes")
+    report = rollup.diff_report(sized, records)
     return report.unionByName(rollup.diff_totals(report), allowMissingColumns=True)
 
 
