@@ -52,8 +52,9 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: Bytes that separate words: space and \t \n \v \f \r.
+SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 SPACE = np.zeros(256, bool)
-SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACE[list(SPACES)] = True
 NOT_SPACE = ~SPACE
 
 

@@ -18,13 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .kernels import buffers, pieces
+from . import kernels as K
 from .shared import written
 
 PIECE = 8 << 20
@@ -107,105 +105,128 @@ def best_fit_plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, i
 
 # ---------------------------------------------------------------- tokenising
 
-#: The pre-tokens of the vocabulary file: fixed values.
-_PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_SIMPLE = regex.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:%&$#*|]*)")
-
+#: Kinds of bytes: white space, letters, digits (each a token of its own), other ASCII, and bytes of other characters.
+SPACE, LETTER, DIGIT, OTHER, WIDE = range(5)
+_KIND = np.full(256, WIDE, np.uint8)
+_KIND[:128] = [SPACE if c in K.SPACES else LETTER if chr(c).isalpha() else DIGIT if chr(c).isdigit() else OTHER for c in range(128)]
+#: A-Z as a-z, and each white space as a space.
+_FOLD = np.array([32 if c in K.SPACES else c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
+#: Second bytes of U+00C0 to U+00FF (lead byte C3): letters, and their lower case.
+_LATIN = np.array([chr(0xC0 + (c & 63)).isalpha() if 0x80 <= c < 0xC0 else False for c in range(256)])
+_LATIN_FOLD = np.array([ord(chr(0xC0 + (c & 63)).lower()) - 0x40 if _LATIN[c] and chr(0xC0 + (c & 63)).lower() <= "\xff" else c for c in range(256)], np.uint8)
 
 _N, _MOST = 28, (1 << 28) - 1
 
 
+def segments(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(folded bytes, starts of segments) that cover all bytes; ids of a text are those of its segments in order.
+
+    A segment is white space and then a run of letters, a digit, or a run of other ASCII characters, as the
+    vocabulary's pattern cuts them.  Where the pattern or the normaliser looks further (characters
+    beyond Latin-1 letters, an apostrophe, the start of a special token), the whole word is one segment, unfolded.
+    """
+    kind, low = _KIND[buf], _FOLD[buf]
+    lead = np.flatnonzero(buf[:-1] == 0xC3)
+    after = buf[lead + 1]
+    lead, after = lead[_LATIN[after]], after[_LATIN[after]]
+    kind[lead] = kind[lead + 1] = LETTER
+    low[lead + 1] = _LATIN_FOLD[after]
+    new = np.empty(len(buf), bool)
+    new[0] = True
+    np.not_equal(kind[1:], kind[:-1], out=new[1:])
+    new[1:] |= kind[1:] == DIGIT
+    new[1:] &= kind[:-1] != SPACE
+    hard = kind == WIDE
+    hard |= buf == 39
+    hard[:-1] |= (buf[:-1] == 60) & (buf[1:] == 124)
+    at = np.flatnonzero(hard)
+    edges = offsets[:-1][np.diff(offsets) > 0]
+    if len(at):  # no cut inside the words that hold them
+        begin = np.unique(np.concatenate([[0], np.flatnonzero(kind == SPACE) + 1, edges]))
+        k = np.unique(np.searchsorted(begin, at, "right") - 1)
+        first, last = begin[k], np.append(begin, len(buf))[k + 1]
+        last = last - (kind[last - 1] == SPACE)
+        depth = np.zeros(len(buf) + 1, np.int32)
+        depth[np.minimum(first + 1, len(buf))] += 1
+        np.subtract.at(depth, last, 1)
+        inner = np.cumsum(depth[:-1]) > 0
+        new[inner] = False
+        inner[first] = True
+        low[inner] = buf[inner]  # special tokens are told by their case
+    new[edges] = True
+    return low, np.flatnonzero(new)
+
+
 class WordTokenizer:
-    """Token ids of white-space separated words, with a bounded memory of words already seen.
+    """Token ids of whole texts, with a bounded memory of segments already seen.
 
     White space always ends a token in this vocabulary and is dropped, so the ids of a text are
-    those of its words in order.  Words new to a batch are encoded together.  The ids of known words
-    lie in one table; a word's entry is its place there, times 2**28, plus its number of ids.
+    those of its segments in order.  Each distinct segment of a batch is looked up once, and encoded if it is new.  The ids of
+    known ones lie in one table; an entry is a place there, times 2**28, plus the number of ids.
     """
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 900_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
-        vocab = self.tokenizer.get_vocab(True)
-        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.words: dict[str, int] = {}
-        self.parts: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
         self.table, self.used = np.empty(1 << 16, np.uint32), 0
 
-    def _add(self, ids: np.ndarray) -> int:
+    def _add(self, ids: list[int]) -> int:
         """The entry of new ids."""
-        return self._put(ids) << _N | len(ids)
-
-    def _ids(self, entry: int) -> np.ndarray:
-        return self.table[entry >> _N : (entry >> _N) + (entry & _MOST)]
-
-    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, new: list[str]) -> None:
-        """Encode new words; most are letters and then punctuation, whose parts recur."""
-        words, parts = self.words, self.parts
-        split, todo, whole = [], {}, []
-        for w in new:
-            m = _SIMPLE.fullmatch(w)
-            if m is None:
-                whole.append(w)
+        n = len(ids)
+        while self.used + n > len(self.table):
+            self.table = np.concatenate([self.table, np.empty(len(self.table), np.uint32)])
+        self.table[self.used : self.used + n] = ids
+        self.used += n
+        return self.used - n << _N | n
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Encode new segments; a run of printable ASCII is one input of the merges."""
+        known, whole, tokenize = self.known, [], self.tokenizer.model.tokenize
+        plain: list[int] = []
+        for raw in new:
+            # with and without a space before it a segment has the same ids
+            entry = known.get(raw[1:] if raw[0] == 32 else b" " + raw)
+            if entry is not None:
+                known[raw] = entry
                 continue
-            a, b = m[1].lower(), m[2]
-            split.append((w, a, b))
-            if a not in parts:
-                todo[a] = None
-            if b and b not in parts:
-                todo[b] = None
-        for w, ids in zip(whole, self._encoded(whole)):
-            words[w] = self._add(ids)
-        todo = list(todo)
-        for i in range(0, len(todo), 4096):
-            some = todo[i : i + 4096]
-            flat = self._encoded([" ".join(some)])[0]
-            ends = np.flatnonzero(self.ends_word[flat]) + 1
-            if len(ends) == len(some):  # each part is one pre-token: it ends where a word-end token does
-                base = self._put(flat)
-                begin = ends - np.diff(ends, prepend=0)
-                parts.update(zip(some, ((base + begin) << _N | (ends - begin)).tolist()))
+            text = raw.decode().lstrip(" ")
+            if text.isascii() and text.isprintable() and "'" not in text and "<|" not in text:
+                n = len(plain)
+                if text:
+                    plain += [t.id for t in tokenize(text)]
+                known[raw] = self.used + n << _N | len(plain) - n
             else:
-                for w, ids in zip(some, self._encoded(some)):
-                    parts[w] = self._add(ids)
-        for w, a, b in split:
-            words[w] = self._add(np.concatenate([self._ids(parts[a]), self._ids(parts[b])])) if b else parts[a]
-
-    def _put(self, ids: np.ndarray) -> int:
-        """Where in the table new ids were put."""
-        while self.used + len(ids) > len(self.table):
-            self.table = np.concatenate([self.table, np.empty(len(self.table), np.uint32)])
-        self.table[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        return self.used - len(ids)
+                whole.append((raw, text))
+        self._add(plain)
+        for (raw, _), e in zip(whole, self.tokenizer.encode_batch_fast([t for _, t in whole], add_special_tokens=False)):
+            known[raw] = self._add(e.ids)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each text)."""
-        listed = pc.ascii_split_whitespace(texts)
-        coded = listed.flatten().dictionary_encode()
-        if len(self.words) + len(self.parts) > self.most:
+        buf, offsets = K.buffers(texts)
+        if not len(buf):
+            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
+        low, starts = segments(buf, offsets)
+        ends = np.append(starts, len(buf)).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(low)]).dictionary_encode()
+        if len(self.known) > self.most:
             self._forget()
-        vocabulary = coded.dictionary.to_pylist()
-        get = self.words.get
-        self._learn([w for w in vocabulary if get(w) is None])
-        entry = np.fromiter(map(self.words.__getitem__, vocabulary), np.int64, len(vocabulary))
-        code = coded.indices.to_numpy(zero_copy_only=False)
-        entry = entry[code]
+        held, at = K.buffers(coded.dictionary)
+        raw, at = held.tobytes(), at.tolist()
+        distinct = [raw[a:b] for a, b in zip(at, at[1:])]
+        get = self.known.get
+        self._learn([w for w in distinct if get(w) is None])
+        entry = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
         n = entry & _MOST
         ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        place = np.arange(total) + np.repeat((entry >> _N) - (ends - n), n)
-        words_at = listed.offsets.to_numpy().astype(np.int64)
-        return self.table[place], np.concatenate([[0], ends])[words_at - words_at[0]]
+        place = np.arange(int(ends[-1])) + np.repeat((entry >> _N) - (ends - n), n)
+        return self.table[place], np.concatenate([[0], ends])[np.searchsorted(starts, offsets)]
 
 
 _kept: dict[str, WordTokenizer] = {}
@@ -214,6 +235,29 @@ _PIECE = pa.schema([("id", pa.int64()), ("piece", pa.int32()), ("start", pa.int6
 _PIECE_DDL = "id long, piece int, start long, length long, ids_crc32 long, tokens binary, task long, nth long"
 
 
+def _cut(ids: np.ndarray, offsets: np.ndarray, capacity: int, end_id: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids with end tokens as bytes; each piece's row, number, first token in them, length)."""
+    rows = len(offsets) - 1
+    n = np.diff(offsets) + 1
+    begin = offsets[:-1] + np.arange(rows)
+    flat = np.full(len(ids) + rows, end_id, "<u4")
+    flat[np.arange(len(ids)) + np.repeat(np.arange(rows), n - 1)] = ids
+    k = -(-n // capacity)
+    row = np.repeat(np.arange(rows), k)
+    piece = np.arange(len(row)) - np.repeat(np.cumsum(k) - k, k)
+    return flat.tobytes(), row, piece, begin[row] + piece * capacity, np.minimum(capacity, n[row] - piece * capacity)
+
+
+def _numbered(length: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The number of each piece among those of its length; ``seen`` (by length) goes on."""
+    order = np.argsort(length, kind="stable")
+    ordered = length[order]
+    nth = np.empty(len(length), np.int64)
+    nth[order] = np.arange(len(length)) - np.searchsorted(ordered, ordered) + seen[ordered]
+    seen += np.bincount(length, minlength=len(seen))
+    return nth
+
+
 def _tokenise(path: str, capacity: int, end_id: int, with_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _kept:
@@ -221,19 +265,17 @@ def _tokenise(path: str, capacity: int, end_id: int, with_tokens: bool):
         tokenizer, task = _kept[path], TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for i, j in pieces(buffers(batch.column(1))[1], PIECE):
+            for i, j in K.pieces(K.buffers(batch.column(1))[1], PIECE):
                 part = batch.slice(i, j - i)
-                ids, offsets = tokenizer.encode(part.column(1))
-                n = np.diff(offsets) + 1
-                out: list[tuple] = []
-                for key, length, a, b in zip(part.column(0).to_pylist(), n.tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
-                    whole = np.append(ids[a:b], np.uint32(end_id)).astype("<u4")
-                    for k, s in enumerate(range(0, length, capacity)):
-                        raw = whole[s : s + capacity].tobytes()
-                        m = len(raw) // 4
-                        out.append((key, k, s, m, zlib.crc32(raw), raw if with_tokens else None, task, int(seen[m])))
-                        seen[m] += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PIECE)], schema=_PIECE)
+                raw, row, piece, begin, length = _cut(*tokenizer.encode(part.column(1)), capacity, end_id)
+                view = memoryview(raw)
+                spans = list(zip((4 * begin).tolist(), (4 * (begin + length)).tolist()))
+                tokens = [raw[a:b] for a, b in spans] if with_tokens else None
+                columns = [
+                    part.column(0).take(pa.array(row)), piece.astype(np.int32), piece * capacity, length, np.fromiter((zlib.crc32(view[a:b]) for a, b in spans), np.int64, len(spans)),
+                    pa.array(tokens, pa.binary()) if with_tokens else pa.nulls(len(row), pa.binary()), np.full(len(row), task), _numbered(length, seen),
+                ]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], schema=_PIECE)
 
     return run
 
