@@ -1,11 +1,16 @@
 """Main-text extraction from raw HTML by text-to-tag ratios.
 
 The standard library's streaming parser gives events; block-level tags end a line.  Each line has
-the ratio of its text to its tags.  The ratios are smoothed with a Gaussian over neighbouring
-lines, and a two-means threshold clusters them into content and other lines.  The content region is
-the smallest block container that holds all lines of the content cluster and all headings; furniture (menus,
-headers, footers, sidebars, notices, adverts, forms, comments) is never part of it.  All lines of
-the region are kept, also short ones and lists of links, so that headings and sources stay.
+the ratio of its text to its tags.  The ratios are smoothed with a Gaussian over neighbouring lines, so that
+headings and short paragraphs gain from the text around them and long lines among menus lose.  A line's
+score is the logarithm of its smoothed ratio, times the share of its text outside links (a tenth at least), times a prior
+from names of tags and classes (a menu, a notice or a reader comment counts a twentieth or a tenth); a
+two-means threshold clusters the scores into content and other lines.
+
+Regions.  The content region is the smallest block that holds all lines of the content cluster, or the
+article, main part or block named as content around it.  All its lines stay, short ones and lists of links too, but for those
+whose prior is less than half of the region's.  A main part or body whose content lies
+in several of its blocks keeps the blocks with content, and the lines between them.
 """
 
 from __future__ import annotations
@@ -26,7 +31,8 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html"
     " legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-CONTAINERS = frozenset("article main section div body td blockquote".split())
+#: Elements that may stand in a head; any other ends it.
+IN_HEAD = frozenset("html head title base link meta style script noscript template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Class, id and role words of furniture.
 MARKS = re.compile(
@@ -36,47 +42,93 @@ MARKS = re.compile(
 )
 #: Those of page headers; an article's own header is content.
 HEADERS = re.compile(r"(?:^|[\s_-])(?:masthead|header|topbar)(?:$|[\s_-])")
+#: Those that also count on elements within a line, whose text is then a line of its own.
+ADVERTS = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advert(?:isement|ising)|sponsor(?:ed)?|promo(?:tion)?s?)(?:$|[\s_-])")
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|respond|disqus|replies|reply)(?:$|[\s_-])")
+#: Class, id, role and property words of content.
+CONTENT = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|content|story|main|maincontent)(?:$|[\s_-])")
 #: A new start tag of the first kind ends an open element of the second.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SIGMA = 1.0
+#: Priors: of furniture tags, of furniture names, and the least that a page's content may have.
+TAG_PRIOR, NAME_PRIOR, LEAST_PRIOR = 0.05, 0.1, 0.2
+#: Clusters whose centres (logarithms) are nearer than this are one.
+APART = 1.5
 
 
 class Line:
-    """A block's text: its pieces, tags, characters in links, containers, whether it is furniture."""
+    """A block's text: its pieces, tags, characters in links, the block it stands in, its prior."""
 
-    __slots__ = ("parts", "tags", "linked", "path", "furniture", "item", "heading")
+    __slots__ = ("parts", "tags", "linked", "node", "prior", "at")
 
-    def __init__(self, path: tuple[int, ...], furniture: bool, item: bool, heading: bool):
-        self.parts, self.tags, self.linked, self.path, self.furniture, self.item, self.heading = [], 0, 0, path, furniture, item, heading
+    def __init__(self, node: int, prior: float, at: int):
+        self.parts, self.tags, self.linked, self.node, self.prior, self.at = [], 0, 0, node, prior, at
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
+class Open:
+    """An open element; what holds for it and all around it."""
+
+    __slots__ = ("tag", "node", "silent", "prior", "named", "resume")
+
+    def __init__(self, tag: str, node: int, silent: bool, prior: float, named: bool, resume: Line | None):
+        self.tag, self.node, self.silent, self.prior, self.named, self.resume = tag, node, silent, prior, named, resume
+
+
 class LineParser(HTMLParser):
-    """Parser events into lines."""
+    """Parser events into lines, and the blocks they stand in."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        #: Open elements: (tag, container number or 0, silent, furniture)
-        self.open: list[tuple[str, int, bool, bool]] = []
-        self.names = {0: "html"}
-        self.links = 0
-        self._fresh()
+        self.open: list[Open] = []
+        #: Blocks: tag, block around it (a smaller number), prior, whether named as content.
+        self.blocks: list[tuple[str, int, float, bool]] = [("html", -1, 1.0, False)]
+        self.depth = {"p": 0, "a": 0, "head": 0, "article": 0, "main": 0}
+        self.line = Line(0, 1.0, 0)
+        self.made = 0
 
     def _fresh(self) -> None:
-        path = tuple(x[1] for x in self.open if x[1])
-        tags = {x[0] for x in self.open}
-        self.line = Line(path, any(x[3] for x in self.open), "li" in tags, bool(tags & {"h1", "h2", "h3", "h4", "h5", "h6"}))
-        self.silent = any(x[2] for x in self.open)
+        top = self.open[-1] if self.open else None
+        self.made += 1
+        self.line = Line(top.node if top else 0, top.prior if top else 1.0, self.made)
 
     def _break(self) -> None:
         if self.line.parts and not "".join(self.line.parts).isspace():
             self.lines.append(self.line)
         self._fresh()
 
+    def _prior(self, tag: str, attrs: list[tuple[str, str | None]], block: bool) -> tuple[float, bool]:
+        """(prior of an element's text, whether it is named as content)."""
+        around = self.open[-1].prior if self.open else 1.0
+        words, hidden = "", False
+        for name, value in attrs:
+            if name in ("class", "id", "role", "itemprop") and value:
+                words += f" {value.lower()}"
+            elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and re.search(r"display\s*:\s*none", value)):
+                hidden = True
+        if hidden:
+            return around * TAG_PRIOR, False
+        if tag in ("html", "body"):
+            return around, False
+        inside = self.depth["article"] or self.depth["main"]
+        good = tag in ("article", "main") or bool(words and block and CONTENT.search(words))
+        if tag in ("article", "main") and not COMMENTS.search(words):
+            in_tag = any(o.tag in FURNITURE - {"form"} for o in self.open)
+            return (around if in_tag else max(around, 0.5)), True
+        if tag in FURNITURE or (tag == "header" and not inside):
+            return around * TAG_PRIOR, False
+        if words and (block and (MARKS.search(words) or (not inside and HEADERS.search(words))) or not block and ADVERTS.search(words)):
+            if good and not COMMENTS.search(words):
+                return around * 0.5, True
+            return around * NAME_PRIOR, False
+        return around, good
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.depth["head"] and tag not in IN_HEAD:
+            self._close("head")
         if tag == "br":
             self.line.parts.append(" ")
         if tag in VOID:
@@ -86,29 +138,24 @@ class LineParser(HTMLParser):
             return
         block = tag in BLOCKS
         if block:
-            if any(x[0] == "p" for x in self.open[-8:]):
+            if self.depth["p"]:
                 self._close("p", limit=BLOCKS - {"p"})
             for old in CLOSES.get(tag, ()):
                 self._close(old, limit={"ul", "ol", "dl", "table", "select"})
-        marks = ""
-        if tag not in ("html", "body", "main"):
-            for name, value in attrs:
-                if name in ("class", "id", "role") and value:
-                    marks += f" {value.lower()}"
-                elif name in ("hidden",) or (name == "aria-hidden" and value == "true"):
-                    marks += " popup"
-                elif name == "style" and value and re.search(r"display\s*:\s*none", value):
-                    marks += " popup"
-        inside = any(x[0] in ("article", "main") for x in self.open)
-        furniture = tag in FURNITURE or (tag == "header" and not inside) or bool(block and marks and (MARKS.search(marks) or (not inside and HEADERS.search(marks))))
-        number = 0
-        if tag in CONTAINERS:
-            number = len(self.names)
-            self.names[number] = tag
-        self.open.append((tag, number, tag in SILENT, furniture))
-        self.links += tag == "a"
-        if block or tag in SILENT or furniture:
+        prior, named = self._prior(tag, attrs, block)
+        top = self.open[-1] if self.open else None
+        node, silent = (top.node, top.silent) if top else (0, False)
+        if block:
+            self.blocks.append((tag, node, prior, named))
+            node = len(self.blocks) - 1
+        resume = self.line if not block and prior < (top.prior if top else 1.0) else None
+        self.open.append(Open(tag, node, silent or tag in SILENT, prior, named, resume))
+        if tag in self.depth:
+            self.depth[tag] += 1
+        if block:
             self._break()
+        elif resume is not None:
+            self._fresh()
         self.line.tags += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -116,14 +163,24 @@ class LineParser(HTMLParser):
 
     def _close(self, tag: str, limit: frozenset | set = frozenset()) -> None:
         for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
+            if self.open[k].tag == tag:
                 gone = self.open[k:]
                 del self.open[k:]
-                self.links -= sum(x[0] == "a" for x in gone)
-                if any(x[0] in BLOCKS or x[2] or x[3] for x in gone):
+                resume = None
+                for o in gone:
+                    if o.tag in self.depth:
+                        self.depth[o.tag] -= 1
+                    resume = resume or o.resume
+                if any(o.tag in BLOCKS for o in gone):
+                    self._break()
+                    if resume is not None and resume.parts:
+                        self.lines.append(resume)
+                elif resume is not None:
                     self._break()
+                    self.line = resume
+                    resume.parts.append(" ")
                 return
-            if self.open[k][0] in limit:
+            if self.open[k].tag in limit:
                 return
 
     def handle_endtag(self, tag: str) -> None:
@@ -135,17 +192,22 @@ class LineParser(HTMLParser):
                 self._break()
 
     def handle_data(self, data: str) -> None:
-        if not self.silent:
+        if self.depth["head"] and self.open and self.open[-1].tag == "head" and not data.isspace():
+            self._close("head")
+        if not (self.open and self.open[-1].silent):
             self.line.parts.append(data)
-            if self.links:
+            if self.depth["a"]:
                 self.line.linked += len("".join(data.split()))
 
-    def finish(self) -> list[Line]:
+    def finish(self) -> list[tuple[Line, str]]:
+        """The lines with text, in page order."""
         if self.rawdata.startswith("<!--"):  # a comment without end hides the rest
             self.rawdata = ""
         self.close()
+        while self.open:
+            self._close(self.open[-1].tag)
         self._break()
-        return self.lines
+        return sorted(((x, t) for x in self.lines if (t := x.text())), key=lambda x: x[0].at)
 
 
 def smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
@@ -160,20 +222,65 @@ def smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
-def two_means(values: list[float]) -> float:
-    """The threshold between two clusters of the values' logarithms."""
-    logs = [math.log1p(v) for v in values]
-    low, high = min(logs), max(logs)
+def two_means(scores: list[float]) -> float | None:
+    """The threshold between two clusters; none if these are one."""
+    low, high = min(scores), max(scores)
     for _ in range(30):
         cut = (low + high) / 2
-        a, b = [x for x in logs if x <= cut], [x for x in logs if x > cut]
+        a, b = [x for x in scores if x <= cut], [x for x in scores if x > cut]
         if not a or not b:
             break
         new = (sum(a) / len(a), sum(b) / len(b))
         if new == (low, high):
             break
         low, high = new
-    return math.expm1((low + high) / 2)
+    return (low + high) / 2 if high - low >= APART else None
+
+
+def content_lines(lines: list[tuple[Line, str]]) -> list[bool]:
+    """Whether each line is of the content cluster."""
+    ratio = smooth([len(t) / max(1, x.tags) for x, t in lines])
+    scores = [x.prior * (1 - 0.9 * min(1.0, x.linked / len(t))) * math.log1p(r) for (x, t), r in zip(lines, ratio)]
+    cut = two_means(scores)
+    if cut is None:  # the texts don't differ: the names alone decide
+        most = max(x.prior for x, _ in lines)
+        return [x.prior >= 0.5 * most for x, _ in lines]
+    return [s >= cut for s in scores]
+
+
+def region_lines(blocks: list[tuple[str, int, float, bool]], lines: list[tuple[Line, str]], content: list[bool]) -> list[str]:
+    """The texts of the content region."""
+    total = sum(content)
+    held = [0] * len(blocks)
+    for (x, _), c in zip(lines, content):
+        held[x.node] += c
+    for k in range(len(blocks) - 1, 0, -1):
+        held[blocks[k][1]] += held[k]
+    region = max(k for k, n in enumerate(held) if n == total)  # the deepest: numbers grow inwards along its one chain
+    spread = blocks[region][0] in ("html", "body", "main")
+    around = region
+    while around >= 0:
+        if blocks[around][0] in ("article", "main") or blocks[around][3]:
+            region, spread = around, spread or blocks[around][0] == "main"
+        around = blocks[around][1]
+    # the block of the region that each block stands in; 0 outside
+    part = [0] * len(blocks)
+    for k in range(region + 1, len(blocks)):
+        up = blocks[k][1]
+        part[k] = k if up == region else part[up]
+    inside = [k for k, c in enumerate(content) if c]
+    first, last = inside[0], inside[-1]
+    out = []
+    for k, (x, t) in enumerate(lines):
+        if x.node != region and not part[x.node] or not content[k] and x.prior < 0.5 * blocks[region][2]:
+            continue
+        if spread and not content[k]:
+            own = x.node == region or not held[part[x.node]]
+            between = first < k < last or blocks[region][0] == "main" and x.linked < 0.5 * len(t)
+            if own and not between:
+                continue
+        out.append(t)
+    return out
 
 
 def main_text(html: str | None) -> str:
@@ -183,27 +290,20 @@ def main_text(html: str | None) -> str:
     parser = LineParser()
     for i in range(0, len(html), 1 << 16):
         parser.feed(html[i : i + (1 << 16)])
-    lines = [(x, t) for x in parser.finish() if not x.furniture and (t := x.text())]
+    lines = parser.finish()
     if not lines:
         return ""
-    ratio = smooth([len(t) / max(1, x.tags) * (1 - 0.9 * min(1.0, x.linked / len(t))) for x, t in lines])
-    cut = two_means(ratio)
-    content = [k for k, r in enumerate(ratio) if r >= cut or lines[k][0].heading]
-    held: dict[int, int] = {}
-    for k in content:
-        for c in lines[k][0].path:
-            held[c] = held.get(c, 0) + 1
-    depth = {c: d for x, _ in lines for d, c in enumerate(x.path)}
-    fit = [c for c, n in held.items() if n == len(content)]
-    region = max(fit, key=lambda c: depth[c]) if fit else 0
-    return "\n".join(t for x, t in lines if not region or region in x.path)
+    content = content_lines(lines)
+    if max(x.prior for (x, _), c in zip(lines, content) if c) < LEAST_PRIOR:
+        return ""  # nothing but furniture
+    return "\n".join(region_lines(parser.blocks, lines, content))
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", keys: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The main text of every page: ``keys``, ``text`` and ``n_chars`` (code points).
 
     One map over the rows, whole pages: no shuffle.  Defined cases: a null or empty page, or one
-    without content, has an empty text; markup that breaks off is read as far as it goes; an
+    without content or with nothing but furniture, has an empty text; markup that breaks off is read as far as it goes; an
     unknown character reference stays as it is; repeated rows give repeated results; other
     columns are ignored; an empty table gives an empty result.
     """

@@ -376,7 +376,8 @@ def test_extract_main_text(spark):
 def test_smoothing():
     assert html_extract.smooth([3.0]) == [3.0]
     assert all(abs(x - 2) < 1e-9 for x in html_extract.smooth([2.0] * 9))
-    assert 1 < html_extract.two_means([1, 1, 2, 90, 100]) < 90
+    assert 2 < html_extract.two_means([1, 1, 2, 9, 10]) < 9
+    assert html_extract.two_means([2.0]) is None and html_extract.two_means([1.0, 1.5, 2.0]) is None
 
 
 def test_toxicity(spark):
