@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .shared import written
 
-PIECE = 8 << 20
+PIECE = 4 << 20
 
 
 class CapacityTree:
@@ -146,10 +146,10 @@ def segments(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         k = np.unique(np.searchsorted(begin, at, "right") - 1)
         first, last = begin[k], np.append(begin, len(buf))[k + 1]
         last = last - (kind[last - 1] == SPACE)
-        depth = np.zeros(len(buf) + 1, np.int32)
+        depth = np.zeros(len(buf) + 1, np.int8)
         depth[np.minimum(first + 1, len(buf))] += 1
         np.subtract.at(depth, last, 1)
-        inner = np.cumsum(depth[:-1]) > 0
+        inner = np.cumsum(depth[:-1], dtype=np.int8) > 0
         new[inner] = False
         inner[first] = True
         low[inner] = buf[inner]  # special tokens are told by their case
@@ -162,19 +162,23 @@ class WordTokenizer:
 
     White space always ends a token in this vocabulary and is dropped, so the ids of a text are
     those of its segments in order.  Each distinct segment of a batch is looked up once, and encoded if it is new.  The ids of
-    known ones lie in one table; an entry is a place there, times 2**28, plus the number of ids.
+    known ones lie in one table; an entry is a place there, times 2**28, plus the number of ids.  Beyond ``most``
+    entries a new generation begins; what it meets again it takes over from the last one.
     """
 
-    def __init__(self, path: str, most: int = 900_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.table, self.used = np.empty(1 << 16, np.uint32), 0
+        self._age()
+
+    def _age(self) -> None:
+        self.old, self.old_table = self.known, self.table
+        self.known = {}
+        self.table, self.used = np.empty(1 << 16, np.uint32), 0
 
     def _add(self, ids: list[int]) -> int:
         """The entry of new ids."""
@@ -187,7 +191,7 @@ class WordTokenizer:
 
     def _learn(self, new: list[bytes]) -> None:
         """Encode new segments; a run of printable ASCII is one input of the merges."""
-        known, whole, tokenize = self.known, [], self.tokenizer.model.tokenize
+        known, old, whole, tokenize = self.known, self.old, [], self.tokenizer.model.tokenize
         plain: list[int] = []
         for raw in new:
             # with and without a space before it a segment has the same ids
@@ -195,6 +199,11 @@ class WordTokenizer:
             if entry is not None:
                 known[raw] = entry
                 continue
+            entry = old.get(raw)
+            if entry is not None:
+                known[raw] = self.used + len(plain) << _N | entry & _MOST
+                plain += self.old_table[entry >> _N : (entry >> _N) + (entry & _MOST)].tolist()
+                continue
             text = raw.decode().lstrip(" ")
             if text.isascii() and text.isprintable() and "'" not in text and "<|" not in text:
                 n = len(plain)
@@ -216,7 +225,7 @@ class WordTokenizer:
         ends = np.append(starts, len(buf)).astype(np.int32)
         coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(low)]).dictionary_encode()
         if len(self.known) > self.most:
-            self._forget()
+            self._age()
         held, at = K.buffers(coded.dictionary)
         raw, at = held.tobytes(), at.tolist()
         distinct = [raw[a:b] for a, b in zip(at, at[1:])]
@@ -225,7 +234,8 @@ class WordTokenizer:
         entry = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
         n = entry & _MOST
         ends = np.cumsum(n)
-        place = np.arange(int(ends[-1])) + np.repeat((entry >> _N) - (ends - n), n)
+        place = np.repeat((entry >> _N) - (ends - n), n)
+        place += np.arange(len(place))
         return self.table[place], np.concatenate([[0], ends])[np.searchsorted(starts, offsets)]
 
 
