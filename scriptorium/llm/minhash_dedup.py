@@ -2,12 +2,13 @@
 
 Signatures.  Bands of four MinHash values find candidates; their number follows from the threshold,
 so that a pair just at it is missed with a probability of at most ``MISS``.  One-permutation MinHash
-samples (the least shingle hash of each of 4,096 bins) are folded into a bitmap of parities, an odd
-sketch.  The XOR of two sketches counts the samples that differ, precisely for similar sets.  Candidates
+samples (the least shingle hash of each of 1,024 bins) are folded into a bitmap of 2,048 parities, an odd
+sketch.  The XOR of two sketches counts the samples that differ, precisely for similar sets; as there are
+at most half as many samples as bits, it tells unlike sets of any size apart.  Candidates
 whose count lies more than six standard deviations above that of the threshold are dropped; all others
 are confirmed on their full shingle sets.
 
-Candidates without all pairs of a group.  Equal sets form a class first, through one aggregation.
+Candidates without all pairs of a group.  Equal sets (by SHA-256 of the whole set) form a class first, through one aggregation.
 (1) Each bucket's smallest class is compared with the others of the bucket: one pair for each
 member.  Components of the confirmed links follow.  (2) Only buckets that still hold more than one
 component are searched further: members of the largest component meet all others, and these one
@@ -16,14 +17,16 @@ connection is known.  Blocks confirm their candidates on the full sets themselve
 that join components, so no table of pairs is made.  So every pair that shares a bucket is either confirmed, refuted, or
 already connected, and no partner or candidate is capped.
 
-Scale.  The corpus is read once for signatures (some 400 bytes a document) and once for the
-sets of candidate documents; everything else handles signatures, identifiers and pairs.
+Scale.  The corpus is read once for signatures (some 550 bytes a document) and once for the
+sets of candidate documents; everything else handles signatures, class numbers and pairs.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +38,7 @@ from .components import connected_components
 from .kernels import U
 from .shared import written
 
-ROWS, MISS, BIN_BITS, BITS = 4, 1e-5, 12, 1024
+ROWS, MISS, BIN_BITS, BITS = 4, 1e-5, 10, 2048
 BINS = 1 << BIN_BITS
 PIECE = 1 << 20
 BLOCK = 1024
@@ -85,7 +88,11 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.n
     return np.concatenate(sets) if sets else np.zeros(0, U), np.concatenate([[0], np.cumsum(sizes)])
 
 
-_SIGNATURE_DDL = "id long, n long, set_a long, set_b long, bands array<long>, sketch binary"
+_SIGNATURE_DDL = "id long, text_key long, n long, digest binary, bands array<long>, sketch binary"
+
+
+def _digest(one: np.ndarray) -> bytes:
+    return hashlib.sha256(one.tobytes()).digest()
 
 
 def _signatures(width: int, bands: int):
@@ -94,7 +101,7 @@ def _signatures(width: int, bands: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, offsets = K.buffers(batch.column(1))
+            buf, offsets = K.buffers(batch.column(2))
             for i, j in K.pieces(offsets, PIECE):
                 at = offsets[i : j + 1]
                 d, ends = shingle_sets(buf[at[0] : at[-1]], at - at[0], width)
@@ -102,12 +109,9 @@ def _signatures(width: int, bands: int):
                 some = np.flatnonzero(n)
                 begin = ends[:-1][some]
                 row = np.repeat(np.arange(len(some)), n[some])
-                set_a, set_b = np.zeros(j - i, U), np.zeros(j - i, U)
                 keys = np.zeros((j - i, bands), U)
                 parity = np.zeros((j - i, BITS // 8), np.uint8)
                 if len(some):
-                    mixed = K.mix(d ^ U(0x5851F42D4C957F2D))
-                    set_a[some], set_b[some] = np.add.reduceat(mixed, begin), np.bitwise_xor.reduceat(d, begin)
                     least = np.empty((bands * ROWS, len(some)), U)
                     for k in range(bands * ROWS):
                         least[k] = np.minimum.reduceat((d ^ seeds[0, k]) * (seeds[1, k] | U(1)), begin)
@@ -124,9 +128,10 @@ def _signatures(width: int, bands: int):
                     parity[some] = np.packbits(odd.reshape(-1, BITS).astype(np.uint8), axis=1)
                 flat = pa.array(keys.view(np.int64).ravel())
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * bands, bands, dtype=np.int32)), flat)
+                digests = [_digest(d[x:y]) for x, y in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(n), pa.array(set_a.view(np.int64)), pa.array(set_b.view(np.int64)), lists, pa.array([r.tobytes() for r in parity], pa.binary())],
-                    names=["id", "n", "set_a", "set_b", "bands", "sketch"],
+                    [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(n), pa.array(digests, pa.binary()), lists, pa.array([r.tobytes() for r in parity], pa.binary())],
+                    names=["id", "text_key", "n", "digest", "bands", "sketch"],
                 )
 
     return run
@@ -135,11 +140,12 @@ def _signatures(width: int, bands: int):
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, offsets = K.buffers(batch.column(1))
+            buf, offsets = K.buffers(batch.column(0))
             for i, j in K.pieces(offsets, PIECE):
                 at = offsets[i : j + 1]
                 d, ends = shingle_sets(buf[at[0] : at[-1]], at - at[0], width)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([d[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())], names=["id", "set"])
+                sets = [d[a:b] for a, b in zip(ends[:-1], ends[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array([_digest(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["digest", "set"])
 
     return run
 
@@ -157,27 +163,27 @@ def _similar_sketches(threshold: float):
     return run
 
 
-def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+def _linked(x: np.ndarray, y: np.ndarray, least: Fraction) -> bool:
     """Whether two sorted sets reach the similarity."""
     both = np.concatenate([x, y])
     both.sort(kind="stable")  # two sorted runs: a merge
     common = int((both[1:] == both[:-1]).sum())
-    return 100 * common >= percent * (len(both) - common)
+    return least.denominator * common >= least.numerator * (len(both) - common)
 
 
 def _confirm(threshold: float):
-    percent = round(threshold * 100)
+    least = Fraction(str(threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [_linked(np.frombuffer(x, U), np.frombuffer(y, U), percent) for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist())]
+            keep = [_linked(np.frombuffer(x, U), np.frombuffer(y, U), least) for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     return run
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-_MEMBER_DDL = "bucket long, to_main boolean, i long, j long, id long, component long, n long, sketch binary, bands array<long>, side int"
+_MEMBER_DDL = "bucket long, to_main boolean, i long, j long, c long, component long, n long, sketch binary, bands array<long>, side int"
 
 
 class _Block:
@@ -189,7 +195,7 @@ class _Block:
 
     def __init__(self, key: tuple, table: pa.Table, threshold: float):
         self.bucket, self.threshold = key[0].as_py(), threshold
-        self.ids, self.component, self.n = (table[c].to_numpy() for c in ("id", "component", "n"))
+        self.ids, self.component, self.n = (table[c].to_numpy() for c in ("c", "component", "n"))
         self.sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), U).reshape(-1, BITS // 64)
         self.bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(self.ids), -1)
         side = table["side"].to_numpy()
@@ -226,7 +232,7 @@ def _with_candidates(threshold: float):
 
 def _block_links(threshold: float):
     """Links that join components of a block, confirmed on full sets; none between what is joined already."""
-    percent = round(threshold * 100)
+    least = Fraction(str(threshold))
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         block = _Block(key, table, threshold)
@@ -242,7 +248,7 @@ def _block_links(threshold: float):
         for ps, qs in block.candidates():
             for p, q in zip(ps.tolist(), qs.tolist()):
                 x, y = find(int(block.component[p])), find(int(block.component[q]))
-                if x != y and _linked(sets[p], sets[q], percent):
+                if x != y and _linked(sets[p], sets[q], least):
                     parent[max(x, y)] = min(x, y)
                     out.append((int(block.ids[p]), int(block.ids[q])))
         columns = list(zip(*out)) if out else [[], []]
@@ -259,38 +265,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     (the smallest identifier reachable over links, its own included) and ``kept`` (it is that one).
 
     Defined cases: a null, empty or blank text has no shingles and is linked with nothing; rows that
-    repeat an identifier and text are one node; a null identifier never names a component that
-    has another and links only by an equal set; other columns are ignored; an empty table
+    share an identifier are one document with several texts, whose links all count; a row with a null identifier takes
+    part, but never names a component (a component of such rows alone has a null name); other columns are ignored; an empty table
     gives an empty result.
     """
     if not 0.5 <= threshold <= 1:
         raise ValueError("threshold is from 0.5 to 1")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    signed = written(rows.mapInArrow(_signatures(shingle_words, bands_for(threshold)), _SIGNATURE_DDL), "signatures")
-    same = ["n", "set_a", "set_b"]
-    classes = signed.where("n > 0").groupBy(*same).agg(F.min("id").alias("rep"))
-    classes = written(classes.where("rep IS NOT NULL"), "classes")
-    reps = signed.where("n > 0").join(classes.select(F.col("rep").alias("id"), *same), ["id", *same], "left_semi").dropDuplicates(["id", *same])
-    reps = written(reps.select("id", "n", "bands", "sketch"), "representatives")
-    placed = reps.select("id", F.explode("bands").alias("bucket"))
-    buckets = written(placed.groupBy("bucket").agg(F.min("id").alias("leader"), F.count("*").alias("size")).where("size > 1"), "buckets")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = texts.select("id", F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text"))
+    signatures = rows.mapInArrow(_signatures(shingle_words, bands_for(threshold)), _SIGNATURE_DDL)
+    signed = written(signatures.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    full = signed.where("n > 0")
+    classes = full.groupBy("digest").agg(F.min("id").alias("least"), F.min("row").alias("row"))
+    classes = written(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
+    reps = written(signed.join(classes.select("row", "c"), "row").select("c", "id", "text_key", "digest", "n", "bands", "sketch"), "representatives")
+    placed = reps.select("c", F.explode("bands").alias("bucket"))
+    buckets = written(placed.groupBy("bucket").agg(F.min("c").alias("leader"), F.count("*").alias("size")).where("size > 1"), "buckets")
     members = written(placed.join(buckets, "bucket"), "members")
-    known = reps.select("id", "n", "sketch", "bands")
-    confirm_on = _Confirmation(rows, known, shingle_words, threshold)
+    confirm_on = _Confirmation(rows, reps, shingle_words, threshold)
 
-    pairs = members.where("id > leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-    links = confirm_on(pairs)
+    pairs = members.where("c > leader").select(F.col("c").alias("a"), F.col("leader").alias("b")).distinct()
+    links = confirm_on(pairs).unionByName(_of_one_identifier(full, classes))
     found = connected_components(links, "a", "b")
     # buckets that still hold more than one component
-    inside = members.where("size > 2").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    inside = members.where("size > 2").join(found.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     parts = inside.groupBy("bucket", "component").agg(F.count("*").alias("k"))
     largest = parts.groupBy("bucket").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.sum("k").alias("all"), F.max("k").alias("most")).where("most < all")
-    mixed = inside.select("bucket", "id", "component").join(largest, "bucket").join(known, "id")
+    largest = written(largest, "mixed-buckets")  # a table, so that the join below can split a hot bucket
+    known = reps.select("c", "n", "sketch", "bands")
+    mixed = inside.select("bucket", "c", "component").join(largest, "bucket").join(known, "c")
     main_blocks, rest_blocks = F.ceil(F.col("most") / BLOCK), F.ceil((F.col("all") - F.col("most")) / BLOCK)
-    at = F.xxhash64("id")
+    at = F.xxhash64("c")
     is_main = F.col("component") == F.col("main")
     mixed = mixed.withColumn("mine", F.when(is_main, F.pmod(at, main_blocks)).otherwise(F.pmod(at, rest_blocks)).cast("long"))
-    columns = ["bucket", "id", "component", "n", "sketch", "bands"]
+    columns = ["bucket", "c", "component", "n", "sketch", "bands"]
     with_main = mixed.select(
         *columns,
         F.when(is_main, 1).otherwise(0).alias("side"),
@@ -304,36 +312,50 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = with_main.unionByName(among).groupBy(*block).applyInArrow(_with_candidates(threshold), _MEMBER_DDL)
     near = written(near, "near")
     if not near.isEmpty():
-        sets = confirm_on.sets(near.select("id").distinct())
-        late = written(near.join(sets, "id").groupBy(*block).applyInArrow(_block_links(threshold), "a long, b long"), "late")
+        sets = confirm_on.sets(near.select("c").distinct())
+        late = written(near.join(sets, "c").groupBy(*block).applyInArrow(_block_links(threshold), "a long, b long"), "late")
         if not late.isEmpty():
             found = connected_components(links.unionByName(late), "a", "b")
 
-    of_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("component"))
-    out = signed.select("id", *same).join(of_class, same, "left")
-    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    of_class = classes.select("c", "digest", "least").join(found.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
+    names = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = full.select("id", "n", "digest").join(of_class.join(names, "component").select("digest", "component_id"), "digest").drop("digest")
+    alone = signed.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
+    out = named.unionByName(alone)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _of_one_identifier(full: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): links between the classes of an identifier that has several texts."""
+    key = F.xxhash64("digest")
+    repeated = full.where("id IS NOT NULL").groupBy("id").agg(F.min(key).alias("x"), F.max(key).alias("y")).where("x <> y").select("id")
+    each = full.join(repeated, "id").select("id", "digest").distinct().join(classes.select("digest", "c"), "digest").select("id", "c")
+    least = each.groupBy("id").agg(F.min("c").alias("b"))
+    return written(each.join(least, "id").where("c > b").select(F.col("c").alias("a"), "b").distinct(), "same-identifier")
 
 
 class _Confirmation:
     """Links among candidate pairs: odd sketches first, then the full sets of those that pass."""
 
-    def __init__(self, rows: DataFrame, known: DataFrame, width: int, threshold: float):
-        self.rows, self.known, self.width, self.threshold = rows, known, width, threshold
+    def __init__(self, rows: DataFrame, reps: DataFrame, width: int, threshold: float):
+        self.rows, self.reps, self.width, self.threshold = rows, reps, width, threshold
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
-        k, t = self.known, self.threshold
-        both = pairs.join(k.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
-        both = both.join(k.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
+        k, t = self.reps, self.threshold
+        both = pairs.join(k.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
+        both = both.join(k.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
         both = both.where(F.least("na", "nb") >= F.greatest("na", "nb") * (t - 1e-9))
         likely = written(both.mapInArrow(_similar_sketches(t), "a long, b long"), "likely")
         if likely.isEmpty():
             return likely
-        sets = self.sets(likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct())
-        full = likely.join(sets.select(F.col("id").alias("a"), F.col("set").alias("xa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("xb")), "b")
+        sets = self.sets(likely.select(F.col("a").alias("c")).unionByName(likely.select(F.col("b").alias("c"))).distinct())
+        full = likely.join(sets.select(F.col("c").alias("a"), F.col("set").alias("xa")), "a").join(sets.select(F.col("c").alias("b"), F.col("set").alias("xb")), "b")
         return written(full.mapInArrow(_confirm(t), "a long, b long"), "confirmed")
 
     def sets(self, wanted: DataFrame) -> DataFrame:
-        """(id, set) of the wanted representatives.  A repeated identifier may have other texts: the set must be its class's."""
-        found = self.rows.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(_sets(self.width), "id long, set binary")
-        return written(found.dropDuplicates(["id"]), "sets")
+        """(c, set) of the wanted classes, from the texts of their representatives."""
+        asked = self.reps.join(wanted, "c").select("c", "id", "text_key", "digest")
+        by_row = asked.select(F.coalesce("id", F.lit(0)).alias("_id"), "text_key").distinct()
+        some = self.rows.withColumn("_id", F.coalesce("id", F.lit(0))).join(by_row.hint("merge"), ["_id", "text_key"], "left_semi").select("text")
+        found = some.mapInArrow(_sets(self.width), "digest binary, set binary").dropDuplicates(["digest"])
+        return written(found.join(asked.select("c", "digest"), "digest").select("c", "set"), "sets")

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -144,39 +145,56 @@ def test_suffix_arrays():
             assert (lcp[b], before[b]) == (c, a)
 
 
-def expected_components(rows, width, percent):
+def expected_components(rows, width, least):
+    """By brute force: equal identifiers and similar sets join rows."""
     sets = []
     for i, t in rows:
         w = (t or "").encode().translate(FOLD).split()
         sets.append((i, frozenset(tuple(w[k : k + width]) for k in range(len(w) - width + 1)) if len(w) >= width else frozenset([tuple(w)] if w else [])))
-    some = [(i, s) for i, s in sets if s and i is not None]
-    parent = {i: i for i, _ in some}
+    parent = list(range(len(sets)))
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for k, (i, a) in enumerate(some):
-        for j, b in some[:k]:
+    for k, (i, a) in enumerate(sets):
+        for j, (o, b) in enumerate(sets[:k]):
             common = len(a & b)
-            if 100 * common >= percent * (len(a) + len(b) - common):
-                x, y = sorted((find(i), find(j)))
-                parent[y] = x
-    of_set = {s: find(i) for i, s in some}
-    return [(i, len(s), i if not s else of_set.get(s), i == (i if not s else of_set.get(s))) for i, s in sets]
+            if a and b and ((i is not None and i == o) or least.denominator * common >= least.numerator * (len(a) + len(b) - common)):
+                parent[find(k)] = find(j)
+    name = {}
+    for k, (i, _) in enumerate(sets):
+        name[find(k)] = min((x for x in (i, name.get(find(k))) if x is not None), default=None)
+    return [(i, len(s), c := i if not s else name[find(k)], i == c) for k, (i, s) in enumerate(sets)]
 
 
-@pytest.mark.parametrize(("width", "threshold"), [(3, 0.85), (5, 0.8)])
+@pytest.mark.parametrize(("width", "threshold"), [(3, 0.85), (5, 0.8), (3, 0.855)])
 def test_near_duplicates(docs, rows, width, threshold):
     got = [tuple(r) for r in minhash_dedup.near_duplicates(docs, shingle_words=width, threshold=threshold).collect()]
-    assert sorted(got, key=key) == sorted(expected_components(rows, width, round(threshold * 100)), key=key)
+    assert sorted(got, key=key) == sorted(expected_components(rows, width, Fraction(str(threshold))), key=key)
 
 
 def test_near_duplicates_in_blocks(docs, rows, monkeypatch):
     monkeypatch.setattr(minhash_dedup, "BLOCK", 3)
     got = [tuple(r) for r in minhash_dedup.near_duplicates(docs, shingle_words=3, threshold=0.95).collect()]
-    assert sorted(got, key=key) == sorted(expected_components(rows, 3, 95), key=key)
+    assert sorted(got, key=key) == sorted(expected_components(rows, 3, Fraction(95, 100)), key=key)
+
+
+def test_near_duplicates_of_one_identifier(spark):
+    rng = random.Random(21)
+    a, b = words(rng, 60), words(rng, 60)
+    some = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (None, b + " end"), (None, words(rng, 9)), (5, None), (5, a + " x")]
+    got = [tuple(r) for r in minhash_dedup.near_duplicates(spark.createDataFrame(some, "doc_id long, text string"), shingle_words=3, threshold=0.85).collect()]
+    assert sorted(got, key=key) == sorted(expected_components(some, 3, Fraction(85, 100)), key=key)
+    assert {r[2] for r in got if r[0] in (1, 2, 3)} == {1}
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.85])
+def test_sketches_tell_long_unlike_sets_apart(threshold):
+    for n in (300, 1000, 5000, 50_000):
+        unlike = minhash_dedup.BITS / 2 * (1 - np.exp(-4 * min(n, minhash_dedup.BINS * (1 - np.exp(-n / minhash_dedup.BINS))) / minhash_dedup.BITS))
+        assert minhash_dedup.sketch_limit(np.array([n]), np.array([n]), threshold)[0] < unlike - 5 * np.sqrt(minhash_dedup.BITS) / 2
 
 
 def test_sketch_limit_loses_nothing():
