@@ -13,6 +13,7 @@ rank among all of its length, and the plan maps the rank to a sequence and an of
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -166,7 +167,7 @@ class WordTokenizer:
     entries a new generation begins; what it meets again it takes over from the last one.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -239,7 +240,11 @@ class WordTokenizer:
         return self.table[place], np.concatenate([[0], ends])[np.searchsorted(starts, offsets)]
 
 
-_kept: dict[str, WordTokenizer] = {}
+@functools.cache
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One for each worker, which all its tasks share: a function of the module, as tasks get copies of plain globals."""
+    return WordTokenizer(path)
+
 
 _PIECE = pa.schema([("id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("tokens", pa.binary()), ("task", pa.int64()), ("nth", pa.int64())])
 _PIECE_DDL = "id long, piece int, start long, length long, ids_crc32 long, tokens binary, task long, nth long"
@@ -270,9 +275,7 @@ def _numbered(length: np.ndarray, seen: np.ndarray) -> np.ndarray:
 
 def _tokenise(path: str, capacity: int, end_id: int, with_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _kept:
-            _kept[path] = WordTokenizer(path)
-        tokenizer, task = _kept[path], TaskContext.get().partitionId()
+        tokenizer, task = word_tokenizer(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for i, j in K.pieces(K.buffers(batch.column(1))[1], PIECE):
