@@ -8,8 +8,9 @@ strings of repeated minimizers.  A shard builds one suffix array over its segmen
 sorting, computes the permuted common-prefix array, and marks the starts whose common prefix with
 a neighbour in suffix order reaches ``length``.  Pass 3 removes the bytes that marked strings cover.
 
-Induced sorting runs on whole buckets: the suffixes of a bucket induce their predecessors as one
-stable distribution, and a bucket is scanned again only for the predecessors it induced into itself.
+Induced sorting recurses until all names differ.  Where buckets are large it runs on whole buckets: the suffixes of a
+bucket induce their predecessors as one stable distribution, and a bucket is scanned again only for the
+predecessors it induced into itself.  Where they are small (names of the recursion) it runs entry by entry.
 
 Scale.  Texts are shuffled once.  A group sends a segment once, however often it has it, so a
 passage or document that a third of all rows share is one segment for each group.
@@ -17,6 +18,8 @@ passage or document that a third of all rows share is one segment for each group
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,8 +32,8 @@ from .shared import groups_for
 GRAM = 32
 PIECE = 256 << 10
 SHARD_BYTES = 8 << 20
-#: A recursion level with more symbols than this is ordered by rank doubling.
-MOST_SYMBOLS = 2048
+#: Whole buckets induce at once where they hold so many suffixes on average.
+LARGE_BUCKET = 64
 
 # ---------------------------------------------------------------- suffix arrays
 
@@ -59,6 +62,8 @@ def _scatter(out: np.ndarray, at: np.ndarray, step: int, chars: np.ndarray, valu
 
 def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The order that follows for all suffixes from the given order of the leftmost-smaller ones."""
+    if len(t) < LARGE_BUCKET * len(size):
+        return _induce_each(t, small, lms, size)
     end = np.cumsum(size)
     begin = end - size
     sa = np.full(len(t), -1, np.int32)
@@ -102,20 +107,33 @@ def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, size: np.ndarray)
     return sa
 
 
-def _double(t: np.ndarray) -> np.ndarray:
-    """Suffix order of integers by rank doubling."""
-    rank, h, n = t.astype(np.int64), 1, len(t)
-    step = max(n, int(rank.max(initial=0))) + 2
-    while True:
-        key = (rank + 1) * step
-        key[: n - h] += rank[h:] + 1
-        order = np.argsort(key)
-        new = np.concatenate([[False], key[order[1:]] != key[order[:-1]]])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-        if rank[order[-1]] == n - 1 or h >= n:
-            return order
-        h *= 2
+def _induce_each(t: np.ndarray, small: np.ndarray, lms: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """As ``_induce``, entry by entry, in flat arrays of 32-bit numbers."""
+    ends = np.cumsum(size)
+    held = np.bincount(t[lms], minlength=len(size))
+    order = np.argsort(t[lms], kind="stable")
+    start = np.full(len(t), -1, np.int32)
+    start[np.repeat(ends - np.cumsum(held), held) + np.arange(len(lms))] = lms[order]  # each bucket's end, in order
+    sa, n = array("i", start.tobytes()), len(t)
+    # by suffix: its predecessor's bucket, if that is of the kind that a pass places
+    before = np.concatenate([[-1], np.where(small[:-1], -1, t[:-1])]).astype(np.int32)
+    into, at = array("i", before.tobytes()), array("i", (ends - size).astype(np.int32).tobytes())
+    for i in sa:  # grows ahead of the scan
+        if i > 0 and (c := into[i]) >= 0:
+            k = at[c]
+            sa[k] = i - 1
+            at[c] = k + 1
+    before = np.concatenate([[-1], np.where(small[:-1], t[:-1], -1)]).astype(np.int32)
+    into, at = array("i", before.tobytes()), array("i", ends.astype(np.int32).tobytes())
+    for x in range(n - 1, -1, -1):
+        i = sa[x]
+        if i > 0 and (c := into[i]) >= 0:
+            k = at[c] - 1
+            sa[k] = i - 1
+            at[c] = k
+    out = np.frombuffer(sa, np.int32).copy()
+    out[0] = n - 1
+    return out
 
 
 def _equal_neighbours(t: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -160,8 +178,7 @@ def suffix_array(t: np.ndarray, symbols: int) -> np.ndarray:
     count = int(name[order[-1]]) + 1
     if count == len(lms):
         return _induce(t, small, order, size)
-    inner = suffix_array(reduced, count) if count <= MOST_SYMBOLS else _double(reduced)
-    return _induce(t, small, lms[inner], size)
+    return _induce(t, small, lms[suffix_array(reduced, count)], size)
 
 
 def permuted_lcp(t: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
