@@ -1,7 +1,7 @@
 """Groups of documents that ask, in bounded messages, which of their keys also occur elsewhere.
 
-Documents are dealt into groups of about ``GROUP_BYTES`` by a hash of their identifier, one
-shuffle that every pass over the texts reuses.  A pass tells each block of the key space which
+Documents are dealt into groups of about ``GROUP_BYTES`` by a hash of identifier and
+text (so that neither null nor repeated identifiers meet in one group), one shuffle that every pass over the texts reuses.  A pass tells each block of the key space which
 keys its group has (each once, with a mark if the group alone has it twice); the block answers
 every group with those of its keys that more than one occurrence has.  A key that a third of
 all rows share is one entry for each group, never a row for each occurrence.
@@ -33,7 +33,7 @@ def dealt(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = max(groups_for(total, GROUP_BYTES), min(parts, total >> 20))  # small inputs still use all cores
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    return rows.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).repartition(max(n, parts), "g"), total
+    return rows.withColumn("g", F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int")).repartition(max(n, parts), "g"), total
 
 
 def pack(cells: np.ndarray) -> bytes:
