@@ -1,13 +1,15 @@
 """Toxicity by weak supervision.
 
 Voters.  Lexicons written by hand, lexicons and word stems learned from labelled rows, and patterns
-(address, shouting, repetition, absence of any sign) each vote toxic, clean or abstain.  A
+(address, shouting, repetition, absence of any sign) each vote toxic, clean or abstain.  What is learned is
+cross-fitted: labelled rows are dealt into ``FOLDS`` folds by text, and a row's voters know only the labels of
+other folds; all other documents get the voters learned from all folds.  A
 generative label model, fitted by expectation maximisation on the counts of vote patterns over all
 documents, estimates each voter's accuracy in either class and the correlation of voters within a
 class; a voter's log-odds is divided by one plus its correlations, so that voters that repeat one another count
-once.  Labels of training rows enter as one more voter whose accuracy is estimated with the others.  A logistic
+once.  Labelled rows say where the estimation starts, and nothing more.  A logistic
 classifier is then trained on the posterior labels of a bounded sample of labelled rows, and
-scores every document.
+scores every document; no row's own label enters its target.
 
 Scale.  Texts are read once for the labelled sample and once for all documents; the second pass
 leaves a few numbers for each document in the shared folder, from which the vote patterns are counted
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import row_key, written
@@ -43,7 +45,10 @@ _SETS = {k: frozenset(v.split()) for k, v in LEXICONS.items()}
 _HAND = frozenset().union(*_SETS.values()) - _SETS["threat"]
 _ADDRESS = re.compile(r"\b(?:you(?:'re| are)?|your|du bist|ihr seid|tu es|vous êtes|eres|sois)(?: \S+){0,3}? (?:" + "|".join(sorted(_HAND)) + r")\b")
 _WORD = re.compile(r"[^\W_]+")
-VOTERS = ("hand", "hand_dense", "contempt", "rude", "threat", "address", "learned", "learned_two", "learned_dense", "stem", "shout", "nothing")
+VOTERS = ("hand", "hand_dense", "contempt", "rude", "threat", "address", "learned", "learned_two", "learned_dense", "stem", "stem_dense", "shout", "nothing")
+FOLDS = 4
+#: Letters of a stem.
+STEM = 5
 #: Numbers of the classifier besides words: see ``_measure``.
 DENSE = ("log_hand", "hand_share", "log_learned", "learned_share", "log_stem", "stem_share", "log_words", "shout")
 
@@ -79,7 +84,7 @@ def _measure(text: str, signs: Signs) -> tuple[list[int], list[float], list[int]
                 if w not in seen:
                     seen.add(w)
                     distinct += 1
-        k = stem(w[:6])
+        k = stem(w[:STEM])
         if k is not None:
             hits[k] = hits.get(k, 0) + 1
             stems += 1
@@ -90,7 +95,7 @@ def _measure(text: str, signs: Signs) -> tuple[list[int], list[float], list[int]
     any_sign = hand or rude or threat or learned or stems
     votes = [
         1 if hand else 0, 1 if hand >= 3 or hand > 0.02 * n else 0, 1 if contempt else 0, 1 if rude else 0, 1 if threat else 0, address,
-        1 if learned else (-1 if n >= 30 else 0), 1 if distinct >= 2 else 0, 1 if learned > 0.01 * n and learned else 0, 1 if stems >= 2 else (-1 if n >= 30 and not stems else 0),
+        1 if learned else (-1 if n >= 30 else 0), 1 if distinct >= 2 else 0, 1 if learned > 0.01 * n and learned else 0, 1 if stems >= 2 else (-1 if n >= 30 and not stems else 0), 1 if stems and stems > 0.02 * n else 0,
         1 if shout > 0.6 else 0, 0 if any_sign else -1,
     ]
     dense = [np.log1p(hand), hand / max(n, 10), np.log1p(learned), learned / max(n, 10), np.log1p(stems), stems / max(n, 10), np.log1p(n) / 10, shout]
@@ -101,14 +106,18 @@ _FEATURES = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("votes", pa.str
 _FEATURES_DDL = "id long, key long, votes string, dense array<float>, at array<int>, value array<float>"
 
 
-def _features(signs: Signs):
+def _features(signs: Signs, by_fold: list[Signs]):
+    """Votes and numbers of rows (id, key, text, fold): by the fold's signs, or all signs where the fold is null; words are of all signs."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 rows = []
-                for i, key, t in zip(*(part.column(c).to_pylist() for c in range(3))):
+                for i, key, t, fold in zip(*(part.column(c).to_pylist() for c in range(4))):
                     votes, dense, ks, vs = _measure(t, signs)
+                    if fold is not None:
+                        votes, dense, _, _ = _measure(t, by_fold[fold])
                     rows.append((i, key, "".join("-0+"[v + 1] for v in votes), dense, ks, vs))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _FEATURES)], schema=_FEATURES)
 
@@ -201,30 +210,47 @@ class ToxicityModel:
     signs: Signs
     weights: np.ndarray
     label_model: LabelModel
-    threshold_shift: float
 
 
 def _held_out(column: str):
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(5)) == 0
 
 
-def learn_signs(sample: DataFrame, max_features: int) -> Signs:
-    """Words and six-letter stems whose share of toxic texts stands out (z over 3)."""
+def learn_signs(sample: DataFrame, max_features: int) -> tuple[Signs, list[Signs]]:
+    """Words and stems of five letters whose share of toxic texts stands out (z over 3): of all folds, and of all but each."""
     words = F.array_distinct(F.split(F.lower("text"), "[^\\p{L}\\p{N}]+"))
     tokens = F.filter(words, lambda w: F.length(w) > 1)
-    both = F.array_union(F.transform(tokens, lambda w: F.concat(F.lit("w:"), w)), F.transform(F.filter(tokens, lambda w: F.length(w) >= 6), lambda w: F.concat(F.lit("s:"), F.left(w, F.lit(6)))))
-    counts = sample.select("toxic", F.explode(both).alias("token")).groupBy("token").agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
-    sizes = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("a"), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0)).alias("b")).first()
-    na, nb = float(sizes["a"]), float(sizes["b"])
-    odds = F.log((F.col("a") + 0.5) / (F.lit(na + 0.5) - F.col("a") + 0.5)) - F.log((F.col("b") + 0.5) / (F.lit(nb + 0.5) - F.col("b") + 0.5))
-    z = odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    found = counts.withColumn("odds", odds).withColumn("z", z).where("a >= 3 AND z > 3").orderBy(F.desc("z"), "token").limit(max_features).collect()
-    names, stems = [r for r in found if r["token"][0] == "w"], [r for r in found if r["token"][0] == "s"]
-    return Signs(
-        {r["token"][2:]: k for k, r in enumerate(names)},
-        {r["token"][2:]: len(names) + k for k, r in enumerate(stems)},
-        frozenset(r["token"][2:] for r in names if r["odds"] > 3 and r["z"] > 4),
-    )
+    both = F.array_union(F.transform(tokens, lambda w: F.concat(F.lit("w:"), w)), F.transform(F.filter(tokens, lambda w: F.length(w) >= STEM), lambda w: F.concat(F.lit("s:"), F.left(w, F.lit(STEM)))))
+    groups = [None, *range(FOLDS)]
+
+    def of(k: int | None, toxic: int) -> Column:
+        hit = F.col("toxic") == toxic
+        return F.count_if(hit if k is None else hit & (F.col("fold") != k)).cast("double")
+
+    sums = [of(k, toxic).alias(f"{c}{'' if k is None else k}") for k in groups for c, toxic in (("a", 1), ("b", 0))]
+    counts = sample.select("toxic", "fold", F.explode(both).alias("token")).groupBy("token").agg(*sums)
+    sizes = sample.agg(*sums).first()
+    scored = []
+    for k in groups:
+        a, b = (F.col(f"{c}{'' if k is None else k}") for c in "ab")
+        na, nb = (sizes[f"{c}{'' if k is None else k}"] for c in "ab")
+        odds = F.log((a + 0.5) / (F.lit(na + 0.5) - a + 0.5)) - F.log((b + 0.5) / (F.lit(nb + 0.5) - b + 0.5))
+        z = odds / F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+        scored.append(F.when((a >= 3) & (z > 3), F.struct(z.alias("z"), odds.alias("odds"))).alias("all" if k is None else f"fold{k}"))
+    found = counts.select("token", *scored)
+    signs = []
+    for k in groups:
+        c = "all" if k is None else f"fold{k}"
+        best = found.where(F.col(c).isNotNull()).select("token", f"{c}.z", f"{c}.odds").orderBy(F.desc("z"), "token").limit(max_features).collect()
+        own, stems = [r for r in best if r["token"][0] == "w"], [r for r in best if r["token"][0] == "s"]
+        signs.append(
+            Signs(
+                {r["token"][2:]: i for i, r in enumerate(own)},
+                {r["token"][2:]: len(own) + i for i, r in enumerate(stems)},
+                frozenset(r["token"][2:] for r in own if r["odds"] > 3 and r["z"] > 4),
+            )
+        )
+    return signs[0], signs[1:]
 
 
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_sample: int = 20_000, max_features: int = 4_000) -> tuple[ToxicityModel, DataFrame]:
@@ -240,11 +266,16 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     sample = rows.join(F.broadcast(known), "id")  # at most max_sample rows of two numbers
     # copies teach once
     first = Window.partitionBy(F.xxhash64("text")).orderBy("id", "key")
-    sample = written(sample.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth"), "labelled-texts")
-    signs = learn_signs(sample, max_features)
-    features = written(rows.mapInArrow(_features(signs), _FEATURES_DDL), "toxicity-features")
-    of_sample = sample.select("key", "toxic").join(features.dropDuplicates(["key"]), "key").orderBy("id", "key").toPandas()
-    patterns = features.groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").toPandas()
+    sample = sample.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth")
+    sample = written(sample.withColumn("fold", F.pmod(F.xxhash64("text", F.lit(3)), F.lit(FOLDS)).cast("int")), "labelled-texts")
+    signs, by_fold = learn_signs(sample, max_features)
+    columns = ["id", "key", "text", "fold"]
+    features = written(rows.withColumn("fold", F.lit(None).cast("int")).select(*columns).mapInArrow(_features(signs, by_fold), _FEATURES_DDL), "toxicity-features")
+    fitted = written(sample.select(*columns).mapInArrow(_features(signs, by_fold), _FEATURES_DDL), "toxicity-sample")
+    of_sample = sample.select("key", "toxic").join(fitted, "key").orderBy("id", "key").toPandas()
+    # labelled rows count with the votes that don't know their labels
+    others = features.join(F.broadcast(sample.select("key").distinct()), "key", "left_anti").select("votes")
+    patterns = others.unionByName(fitted.select("votes")).groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").toPandas()
     votes, count = _codes(patterns["votes"].tolist()), patterns["n"].to_numpy(float)
     share = float(of_sample["toxic"].mean()) if len(of_sample) else 0.1
     start = 1 / (1 + np.exp(-(votes - 1).sum(axis=1) + 0.5))
@@ -255,16 +286,12 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     model = fit_label_model(votes, count, start, share) if len(votes) else LabelModel(0.1, np.full((2, len(VOTERS), 3), 1 / 3), np.ones(len(VOTERS)))
     width = len(signs.words) + len(signs.stems)
     if len(of_sample):
-        y = of_sample["toxic"].to_numpy(float)
-        own = model.posterior(_codes(of_sample["votes"].tolist()))
-        right = np.clip(np.mean(np.where(y == 1, own, 1 - own)), 0.6, 0.97)  # the label voter's accuracy
-        odds = np.log(np.clip(own, 1e-3, 1 - 1e-3) / (1 - np.clip(own, 1e-3, 1 - 1e-3))) * 0.5 + np.where(y == 1, 1, -1) * np.log(right / (1 - right)) * 1.5
-        target = 1 / (1 + np.exp(-odds))
+        target = model.posterior(_codes(of_sample["votes"].tolist()))
         weights = fit_classifier(np.stack(of_sample["dense"].to_numpy()).astype(float), list(of_sample["at"]), list(of_sample["value"]), target, width)
     else:
         weights = np.zeros(width + len(DENSE) + 1)
         weights[width], weights[-1] = 3.0, -2.0
-    return ToxicityModel(signs, weights, model, 0.0), features
+    return ToxicityModel(signs, weights, model), features
 
 
 def score_toxicity(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_sample: int = 20_000, max_features: int = 4_000, with_key: bool = False) -> DataFrame:
