@@ -1,12 +1,18 @@
-"""The queries over whole tables that apply the training-data operators, and their SQL."""
+"""The queries over whole tables that apply the training-data operators, and their SQL.
+
+Three queries (q17, q19, q20) compare near-duplicate documents with the engine's alignment.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import script
+from ..operators import align, rollup
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .html_extract import extract_main_text
@@ -14,6 +20,7 @@ from .license_scan import scan_licenses
 from .lm_score import lm_scores
 from .minhash_dedup import near_duplicates
 from .packing import pack_documents
+from .shared import written
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .toxicity import score_toxicity
@@ -72,9 +79,37 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="last")
 
 
+def _near_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document of a near-duplicate class but the class's representative, with that one; whole texts."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    classes = near_duplicates(docs, shingle_words=3, threshold=0.85).where("NOT kept").select("doc_id", F.col("component_id").alias("other_id"))
+    rows = docs.join(classes, "doc_id").join(docs.select(F.col("doc_id").alias("other_id"), F.col("text").alias("other")), "other_id")
+    return rows.select(F.col("doc_id").alias("pair_id"), F.col("text").alias("source_text"), F.col("other").alias("output_text"), "other_id")
+
+
+def q17_diff_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.diff_records(_near_pairs(spark, sf_dir), "pair_id", "source_text", "output_text")
+
+
+def q19_word_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = lambda c: script.script_words(c, script.LATIN)
+    rows = _near_pairs(spark, sf_dir).withColumn("r", align.word_repair("A-Za-zÀ-ÿ")("source_text", "output_text"))
+    return rows.select("pair_id", "r.success", (words(F.col("r.text")) == words(F.col("source_text"))).alias("restored"))
+
+
+def q20_diff_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each pair, and their totals (null pair_id and rank)."""
+    pairs = _near_pairs(spark, sf_dir)
+    # the alignment once, for counts, ranks and totals
+    records = written(align.diff_records(pairs, "pair_id", "source_text", "output_text").select("pair_id", "whitespace_only"), "diff-records")
+    sized = written(pairs.select("pair_id", F.length("source_text").alias("n_chars"), F.length("output_text").alias("n_other")), "diff-sizes")
+    report = rollup.diff_report(sized, records)
+    return report.unionByName(rollup.diff_totals(report), allowMissingColumns=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query of this subpackage."""
-    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    return {k: f for k, f in globals().items() if re.match(r"op\d+_|q\d+_", k) and callable(f)}
 
 
 ORACLES = {

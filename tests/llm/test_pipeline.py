@@ -46,7 +46,7 @@ def test_run(spark):
 def test_registered(spark, name):
     df = queries.queries()[name](spark, SF)
     n = df.count()
-    assert n >= (1 if name.startswith("op6") else 50)
+    assert n >= (1 if name.startswith(("op6", "q")) else 50)
 
 
 def test_exact_oracle(spark):
