@@ -72,26 +72,39 @@ VOWELS = dict(zip("अ आ इ ई उ ऊ ऋ ॠ ऌ ॡ ए ऐ ओ औ".spli
 SIGNS = dict(zip("ा ि ी ु ू ृ ॄ ॢ ॣ े ै ो ौ".split(), "A i I u U R RR lR lRR e ai o au".split()))
 OTHERS = {"ं": "M", "ः": "H", "ँ": "~", "ऽ": "'", "।": "|", "॥": "||", "ॐ": "OM", **dict(zip(NATIVE_DIGITS, "0123456789"))}
 VIRAMA = "्"
+_IAST = {
+    **dict(zip("ङ च छ ञ ट ठ ड ढ ण श ष ळ आ ई ऊ ऋ ॠ ऌ ॡ ा ी ू ृ ॄ ॢ ॣ ं ः ँ ॐ".split(), "ṅ c ch ñ ṭ ṭh ḍ ḍh ṇ ś ṣ ḷ ā ī ū ṛ ṝ ḷ ḹ ā ī ū ṛ ṝ ḷ ḹ ṃ ḥ m̐ oṃ".split())),
+}
+_ITRANS = dict(zip("ङ च छ ञ श ष ळ आ ई ऊ ऋ ॠ ऌ ॡ ा ी ू ृ ॄ ॢ ॣ ँ ऽ".split(), "~N ch Ch ~n sh Sh L A I U RRi RRI LLi LLI A I U RRi RRI LLi LLI .N .a".split()))
+#: Letters that a scheme writes otherwise than Harvard-Kyoto does: fixed values.
+SCHEMES = {"HK": {}, "IAST": _IAST, "ITRANS": _ITRANS}
 
 
-def romanise(text: str | None) -> str | None:
-    """One text in Harvard-Kyoto letters; a consonant without a sign has its inherent vowel."""
+def romanise(text: str | None, scheme: str = "HK") -> str | None:
+    """One text in a scheme's letters; a consonant without a sign has its inherent vowel."""
     if text is None:
         return None
+    own = SCHEMES[scheme]
     out, bare = [], False  # bare: a consonant waits for its vowel
     for ch in text:
         if bare and (ch in SIGNS or ch == VIRAMA):
-            out.append(SIGNS.get(ch, ""))
+            out.append(own.get(ch) or SIGNS.get(ch, ""))
             bare = False
             continue
         if bare:
             out.append("a")
         bare = ch in CONSONANTS
-        out.append(CONSONANTS.get(ch) or VOWELS.get(ch) or OTHERS.get(ch) or ch)
+        out.append(own.get(ch) or CONSONANTS.get(ch) or VOWELS.get(ch) or OTHERS.get(ch) or ch)
     return "".join(out) + ("a" if bare else "")
 
 
-@F.pandas_udf(T.StringType())
-def transliterated(texts: pd.Series) -> pd.Series:
-    """For display: Devanagari as Harvard-Kyoto."""
-    return texts.map(romanise)
+def transliterated(texts: Column, scheme: str = "HK") -> Column:
+    """For display: Devanagari in a scheme of ``SCHEMES``."""
+    if scheme not in SCHEMES:
+        raise ValueError(f"unknown scheme {scheme}")
+
+    @F.pandas_udf(T.StringType())
+    def run(found: pd.Series) -> pd.Series:
+        return found.map(lambda t: romanise(t, scheme))
+
+    return run(texts)

@@ -7,6 +7,7 @@ functions, and equal texts never reach the alignment.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from difflib import Match, SequenceMatcher
 
 import numpy as np
@@ -90,6 +91,31 @@ def opcodes(a: str, b: str) -> list[dict]:
     return [{"op": op, "before": a[i:j], "after": b[k:m], "position": i} for op, i, j, k, m in found]
 
 
+def tidied(ops: list[dict]) -> list[dict]:
+    """Opcodes for reading: equal runs no longer than the edits on both sides of them become part of the edits.
+
+    An edit's size is the longer of what it removes and adds; the run joins its neighbours when it is not longer than
+    either.  Runs that join make larger edits, which may take further runs.
+    """
+    out: list[dict] = []
+    for op in ops:
+        out.append(dict(op))
+        while len(out) >= 3 and out[-1]["op"] != "equal" and out[-2]["op"] == "equal" and out[-3]["op"] != "equal":
+            size = [max(len(x["before"]), len(x["after"])) for x in (out[-3], out[-1])]
+            if len(out[-2]["before"]) > min(size):
+                break
+            last = out[-3:]
+            del out[-3:]
+            out.append({"op": "replace", "before": "".join(x["before"] for x in last), "after": "".join(x["after"] for x in last), "position": last[0]["position"]})
+    return out
+
+
+@F.pandas_udf(OPS)
+def tidy_diff_ops(a: pd.Series, b: pd.Series) -> pd.Series:
+    """As ``diff_ops``, tidied for reading."""
+    return pd.Series([None if x is None or y is None else tidied(opcodes(x, y)) for x, y in zip(a, b)])
+
+
 @F.pandas_udf(OPS)
 def diff_ops(a: pd.Series, b: pd.Series) -> pd.Series:
     """Opcodes of each pair; null if a side is null."""
@@ -276,12 +302,12 @@ def repair_if_better(pairs: DataFrame, chars: str = "ऀ-ॿ", least: float = 85
     return out.withColumn("final", F.when(F.col("after") < F.col("before"), F.col("repair.text")).otherwise(F.col("output_text")))
 
 
-def diff_records(pairs: DataFrame, key: str, before: str, after: str, context: int = 40) -> DataFrame:
-    """(key, seq, type, whitespace_only, before, after, position, left, right) of every difference.
+def diff_records(pairs: DataFrame, key: str, before: str, after: str, context: int = 40, tidy: bool = False) -> DataFrame:
+    """(key, seq, type, whitespace_only, before, after, position, left, right) of every difference; ``tidy``: of the tidied ones.
 
     Positions are code points of ``before``; ``left`` and ``right`` are its neighbouring equal runs, cut to ``context``.
     """
-    ops = pairs.select(key, F.posexplode(diff_ops(before, after)).alias("seq", "d"))
+    ops = pairs.select(key, F.posexplode((tidy_diff_ops if tidy else diff_ops)(before, after)).alias("seq", "d"))
     w = Window.partitionBy(key).orderBy("seq")
     kind = F.when(F.col("d.op") == "replace", "REPLACEMENT").when(F.col("d.op") == "delete", "DELETION").otherwise("INSERTION")
     near = ops.withColumn("left", F.right(F.coalesce(F.lag("d.before").over(w), F.lit("")), F.lit(context))).withColumn("right", F.left(F.coalesce(F.lead("d.before").over(w), F.lit("")), F.lit(context)))
@@ -290,14 +316,33 @@ def diff_records(pairs: DataFrame, key: str, before: str, after: str, context: i
     )
 
 
+def _largest(bits: int, holds: Callable[[Column], Column]) -> Column:
+    """The largest n from 0 to 2**bits - 1 for which ``holds``, which is true up to some n: a bit at a time."""
+    powers = F.array(*[F.lit(1 << k) for k in range(bits - 1, -1, -1)])
+    return F.aggregate(powers, F.lit(0), lambda n, p: F.when(holds(n + p), n + p).otherwise(n))
+
+
 def first_difference(a: Column, b: Column) -> Column:
-    """1-based place of the first character that differs; null for equal texts."""
-    places = F.sequence(F.lit(1), F.greatest(F.least(F.length(a), F.length(b)), F.lit(1)))
-    inner = F.get(F.filter(places, lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1))), F.lit(0))
-    return F.when(a != b, F.coalesce(inner, F.least(F.length(a), F.length(b)) + 1))
+    """1-based place of the first character that differs; null for equal texts.
+
+    The common prefix is halved in, by some thirty comparisons of prefixes.
+    """
+    common = _largest(30, lambda n: (n <= F.least(F.length(a), F.length(b))) & (F.left(a, n) == F.left(b, n)))
+    return F.when(a != b, common + 1)
 
 
 def original_index(text: Column, dropped: str, place: Column) -> Column:
-    """1-based place in ``text`` of the ``place``-th character that a class of dropped ones leaves."""
-    kept = F.filter(F.sequence(F.lit(1), F.length(text)), lambda i: ~F.substring(text, i, F.lit(1)).rlike(f"(?U)[{dropped}]"))
-    return F.get(kept, place - 1)
+    """1-based place in ``text`` of the ``place``-th character that a class of dropped ones leaves; null beyond the last."""
+    kept = lambda n: F.length(F.regexp_replace(F.left(text, n), f"(?U)[{dropped}]", ""))
+    before = _largest(30, lambda n: (n <= F.length(text)) & (kept(n) < place))
+    return F.when((place >= 1) & (before < F.length(text)), before + 1)
+
+
+def line_at(text: Column, place: Column) -> Column:
+    """1-based number of the line that holds the 1-based ``place``."""
+    return F.size(F.split(F.left(text, place - 1), "\n"))
+
+
+def context_at(text: Column, place: Column, around: int = 20) -> Column:
+    """Up to ``around`` characters on either side of the 1-based ``place``, its own included."""
+    return F.substring(text, F.greatest(F.lit(1), place - around), F.least(place, F.lit(around + 1)) + around)

@@ -77,7 +77,7 @@ def best_match(left: DataFrame, right: DataFrame, block: list[str], left_text: s
     a = left.select(*block, F.col(left_id).alias("left_id"), F.col(left_text).alias("_a"))
     b = right.select(*block, F.col(right_id).alias("right_id"), F.col(right_text).alias("_b"))
     scored = a.join(b, block).select("left_id", "right_id", similarity(F.col("_a"), F.col("_b")).alias("score"))
-    best = scored.groupBy("left_id").agg(F.max_by("right_id", F.struct("score", -F.col("right_id"))).alias("right_id"), F.max("score").alias("score"))
+    best = scored.groupBy("left_id").agg(F.min_by("right_id", F.struct(-F.col("score"), "right_id")).alias("right_id"), F.max("score").alias("score"))
     return best.where(F.col("score") >= least)
 
 

@@ -50,7 +50,7 @@ def totals(docs: DataFrame, by: list[str], size: Column) -> DataFrame:
 def modes(df: DataFrame, by: list[str], value: str, order: Column) -> DataFrame:
     """(by, value, n, share): each group's most frequent value; of equally frequent ones the first seen."""
     counts = df.groupBy(*by, value).agg(F.count("*").alias("n"), F.min(order).alias("_first"))
-    best = counts.groupBy(*by).agg(F.max_by(value, F.struct("n", -F.col("_first"))).alias(value), F.max("n").alias("n"), F.sum("n").alias("total"))
+    best = counts.groupBy(*by).agg(F.min_by(value, F.struct(-F.col("n"), "_first")).alias(value), F.max("n").alias("n"), F.sum("n").alias("total"))
     return best.select(*by, value, "n", (F.col("total") - F.col("n")).alias("deviating"))
 
 
@@ -60,10 +60,9 @@ def header_profile(headers: DataFrame, by: str = "work_id", file: str = "file",
     ``header`` is a map of strings; composite values are expected as canonical JSON.
     """
     files = headers.groupBy(by).agg(F.count_distinct(file).alias("files"))
-    order = Window.partitionBy(by).orderBy(file)
-    cells = headers.withColumn("_at", F.row_number().over(order)).select(by, file, "_at", F.explode(header).alias("field", "value")).where(~F.col("field").isin(*protected))
+    cells = headers.select(by, file, F.explode(header).alias("field", "value")).where(~F.col("field").isin(*protected))
     shared = cells.groupBy(by, "field").agg(F.count_distinct(file).alias("k")).join(files, by).where("k = files").select(by, "field")
-    return modes(cells.join(shared, [by, "field"]), [by, "field"], "value", F.col("_at"))
+    return modes(cells.join(shared, [by, "field"]), [by, "field"], "value", F.col(file))
 
 
 def deviating_files(headers: DataFrame, profile: DataFrame, by: str = "work_id", file: str = "file", header: str = "header") -> DataFrame:

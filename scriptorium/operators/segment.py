@@ -132,7 +132,10 @@ def paired(blocks: DataFrame, is_text: Column, is_comment: Column, key: str = "d
 
 
 #: Ordinals and division words, in the order in which they are tried.
-ORDINALS = "प्रथम द्वितीय तृतीय चतुर्थ पञ्चम षष्ठ सप्तम अष्टम नवम दशम एकादश द्वादश त्रयोदश चतुर्दश पञ्चदश षोडश".split()
+ORDINALS = (
+    "प्रथम द्वितीय द्वितीया तृतीय तृतीया चतुर्थ चतुर्थी पञ्चम पञ्चमी षष्ठ षष्ठी सप्तम सप्तमी अष्टम अष्टमी नवम नवमी दशम दशमी"
+    " एकादश द्वादश त्रयोदश चतुर्दश पञ्चदश षोडश"
+).split()
 _ANY = "|".join(ORDINALS)
 BOUNDARIES = [
     ("khanda", 1, f"\\*\\*({_ANY})[ःोम]?\\*\\*\\s+\\*\\*खण्ड[ःम]\\*\\*"),

@@ -158,42 +158,10 @@ def q16_header_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.violations(_t(spark, sf_dir, "documents"), ["doc_id"], own).drop("message")
 
 
-def _near_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document of a near-duplicate class but the class's representative, with that one; whole texts."""
-    from ..llm.minhash_dedup import near_duplicates
-
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    classes = near_duplicates(docs, shingle_words=3, threshold=0.85).where("NOT kept").select("doc_id", F.col("component_id").alias("other_id"))
-    rows = docs.join(classes, "doc_id").join(docs.select(F.col("doc_id").alias("other_id"), F.col("text").alias("other")), "other_id")
-    return rows.select(F.col("doc_id").alias("pair_id"), F.col("text").alias("source_text"), F.col("other").alias("output_text"), "other_id")
-
-
-def q17_diff_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return align.diff_records(_near_pairs(spark, sf_dir), "pair_id", "source_text", "output_text")
-
-
 def q18_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link.nearest(_t(spark, sf_dir, "benchmark"), _t(spark, sf_dir, "documents"), left_id="item_id", right_id="doc_id")
 
 
-def q19_word_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = lambda c: script.script_words(c, script.LATIN)
-    rows = _near_pairs(spark, sf_dir).withColumn("r", align.word_repair("A-Za-zÀ-ÿ")("source_text", "output_text"))
-    return rows.select("pair_id", "r.success", (words(F.col("r.text")) == words(F.col("source_text"))).alias("restored"))
-
-
-def q20_diff_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row for each pair, and their totals (null pair_id and rank)."""
-    from ..llm.shared import written
-
-    pairs = _near_pairs(spark, sf_dir)
-    # the alignment once, for counts, ranks and totals
-    records = written(align.diff_records(pairs, "pair_id", "source_text", "output_text").select("pair_id", "whitespace_only"), "diff-records")
-    sized = written(pairs.select("pair_id", F.length("source_text").alias("n_chars"), F.length("output_text").alias("n_other")), "diff-sizes")
-    report = rollup.diff_report(sized, records)
-    return report.unionByName(rollup.diff_totals(report), allowMissingColumns=True)
-
-
 def q21_json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     fenced = F.concat(F.lit("Answer:\n```json\n"), F.col("props"), F.lit("\n```\n"))
     value = F.get_json_object(markup.json_block(fenced), "$.k")

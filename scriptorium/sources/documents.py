@@ -157,6 +157,19 @@ def directory_targets(files: DataFrame) -> DataFrame:
     return agg.select("dir", F.transform("f", lambda x: x["path"]).alias("files"), (F.size("f") > 1).alias("multipart"))
 
 
+def report_lines(df: DataFrame, title: str, columns: list[str]) -> DataFrame:
+    """(at, line): a table as the lines of a text report, a heading first, then a row a line in the order of ``columns``."""
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    rows = df.select(F.lit(2).alias("at"), F.concat(F.lit("| "), F.concat_ws(" | ", *map(cell, columns)), F.lit(" |")).alias("line"))
+    head = [(0, f"# {title}"), (1, "| " + " | ".join(columns) + " |")]
+    return df.sparkSession.createDataFrame(head, "at int, line string").unionByName(rows).orderBy("at", "line")
+
+
+def write_report(df: DataFrame, path: str, title: str, columns: list[str]) -> None:
+    """``report_lines`` as a folder of text files that hold the lines in order."""
+    report_lines(df, title, columns).select("line").write.mode("errorifexists").text(path)
+
+
 def write_texts(df: DataFrame, path: str, by: str, text: str = "text") -> None:
     """One text file a row below ``path``/``by``=value; line ends stay as they are."""
     df.select(by, text).write.partitionBy(by).mode("errorifexists").option("lineSep", "\n").text(path)
