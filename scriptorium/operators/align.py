@@ -340,9 +340,9 @@ def original_index(text: Column, dropped: str, place: Column) -> Column:
 
 def line_at(text: Column, place: Column) -> Column:
     """1-based number of the line that holds the 1-based ``place``."""
-    return F.size(F.split(F.left(text, place - 1), "\n"))
+    return F.when(place.isNotNull(), F.size(F.split(F.left(text, place - 1), "\n")))
 
 
 def context_at(text: Column, place: Column, around: int = 20) -> Column:
     """Up to ``around`` characters on either side of the 1-based ``place``, its own included."""
-    return F.substring(text, F.greatest(F.lit(1), place - around), F.least(place, F.lit(around + 1)) + around)
+    return F.when(place.isNotNull(), F.substring(text, F.greatest(F.lit(1), place - around), F.least(place, F.lit(around + 1)) + around))

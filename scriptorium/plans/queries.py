@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markup, refs, script
 from ..operators import align, chunk, fingerprint, link, render, rollup, rules, segment
-from . import model
+from . import model, operator_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,14 +43,15 @@ def q04_cache_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q05_normalise_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.regexp_replace(script.script_text(F.col("text"), script.LATIN, ""), "[0-9]", "")
-    letters = F.filter(F.split(text, ""), lambda x: x != "")
-    return _t(spark, sf_dir, "documents").select("doc_id", F.length(text).cast("long").alias("n_total"), F.size(F.array_distinct(letters)).cast("long").alias("n_distinct"))
+    stats = script.text_stats(F.col("text"), script.LATIN)
+    return _t(spark, sf_dir, "documents").select("doc_id", stats["total"].alias("n_total"), stats["distinct"].alias("n_distinct"))
 
 
 def q06_duplicate_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _t(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("hash"), "doc_id")
-    return rows.groupBy("hash").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
+    docs = _t(spark, sf_dir, "documents")
+    files = docs.select(F.col("doc_id").alias("path"), F.encode("text", "UTF-8").alias("content"), F.octet_length("text").alias("length"))
+    rows = fingerprint.file_hashes(files)
+    return rows.groupBy(F.col("sha256").alias("hash")).agg(F.count("*").alias("n"), F.min("path").alias("first_doc")).where("n > 1")
 
 
 def q07_range_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,9 +97,9 @@ def q09_parse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q10_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _t(spark, sf_dir, "conversations")
-    user = turns.where("role = 'user'").select("conv_id", F.col("turn").alias("ref"), "text")
-    answers = turns.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("ref"), F.col("text").alias("commentary"))
-    return user.join(answers, ["conv_id", "ref"], "left")
+    user = turns.where("role = 'user'").select("conv_id", F.col("turn").alias("ref"), "text", F.array("turn").alias("ref_key"), F.col("turn").alias("block"))
+    answers = turns.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("ref"), F.col("role").alias("commentary_id"), F.lit(0).alias("ord"), F.col("text").alias("content"))
+    return link.interleaved(user, answers, "conv_id").select("conv_id", "ref", "text", "commentary")
 
 
 def q11_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,7 +274,7 @@ def q38_first_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every registered query of the structured-text engine."""
-    return {k: f for k, f in globals().items() if k.startswith("q") and k[1:3].isdigit()}
+    return {k: f for k, f in globals().items() if k.startswith("q") and k[1:3].isdigit()} | operator_queries.queries()
 
 
 _WORDS = "regexp_extract_all(text, '[A-Za-z\\x{00C0}-\\x{00FF}]+')"
@@ -369,3 +370,4 @@ ORACLES = {
     "q37_prompts": "SELECT n_nationkey, 'Convert ' || n_name || ' in region ' || n_regionkey || '.' AS prompt FROM nation",
     "q38_first_difference": "SELECT item_id, text = left(text, 5) || '#' || substring(text, 7) AS same, CASE WHEN substring(text, 6, 1) <> '#' THEN CAST(6 AS BIGINT) END AS first_difference FROM benchmark",
 }
+ORACLES |= operator_queries.ORACLES
