@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import dropped, written
 
 
 def _minima(both: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         large = large.where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        e = written(small.distinct(), "stars")
+        last, e = e, written(small.distinct(), "stars")
+        dropped(last)
         ends = e.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(e.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
         if ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 OR out = 1 AND into = 1").isEmpty():
             break

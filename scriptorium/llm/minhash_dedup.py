@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .components import connected_components
 from .kernels import U
-from .shared import written
+from .shared import dropped, written
 
 ROWS, MISS, BIN_BITS, BITS = 4, 1e-5, 10, 2048
 BINS = 1 << BIN_BITS
@@ -316,6 +316,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         late = written(near.join(sets, "c").groupBy(*block).applyInArrow(_block_links(threshold), "a long, b long"), "late")
         if not late.isEmpty():
             found = connected_components(links.unionByName(late), "a", "b")
+        dropped(sets, late)
+    dropped(near, largest, members, buckets, reps)
 
     of_class = classes.select("c", "digest", "least").join(found.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     names = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -350,7 +352,9 @@ class _Confirmation:
             return likely
         sets = self.sets(likely.select(F.col("a").alias("c")).unionByName(likely.select(F.col("b").alias("c"))).distinct())
         full = likely.join(sets.select(F.col("c").alias("a"), F.col("set").alias("xa")), "a").join(sets.select(F.col("c").alias("b"), F.col("set").alias("xb")), "b")
-        return written(full.mapInArrow(_confirm(t), "a long, b long"), "confirmed")
+        out = written(full.mapInArrow(_confirm(t), "a long, b long"), "confirmed")
+        dropped(likely, sets)
+        return out
 
     def sets(self, wanted: DataFrame) -> DataFrame:
         """(c, set) of the wanted classes, from the texts of their representatives."""

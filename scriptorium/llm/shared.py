@@ -1,12 +1,13 @@
 """Tables in the folder that driver and executors share, and sizing helpers.
 
-``spark.checkpoint.dir`` names the shared folder.  Where it is unset (tests on one machine)
-a folder of our own is made and set, so that every operator can rely on it.
+``spark.checkpoint.dir`` names the shared folder.  Where it is unset on one machine (tests)
+a folder of our own is made and set, so that every operator can rely on it; on a cluster it must be set.
 """
 
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -17,9 +18,11 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder; a new one only where the session names none."""
+    """The shared folder; a new one only where the session names none and all tasks run in the driver."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="scriptorium-")
         spark.conf.set("spark.checkpoint.dir", found)
         spark.sparkContext.setCheckpointDir(found)
@@ -30,7 +33,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: lineage ends there.
 
     A lost executor then costs a re-read, never a recomputation of what stands before.  The
-    folders are removed when the driver's Python ends.
+    folder is removed by ``dropped``, at the latest when the driver's Python ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
@@ -38,14 +41,29 @@ def written(df: DataFrame, label: str) -> DataFrame:
     if not _written:
         atexit.register(_remove_all)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scriptorium_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` made and that no later plan reads."""
+    for df in tables:
+        path = getattr(df, "_scriptorium_path", None)
+        if path is not None:
+            _remove(df.sparkSession, path)
+            _written[:] = [x for x in _written if x[1] != path]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def _remove_all() -> None:
     for spark, path in _written:
         try:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            _remove(spark, path)
         except Exception:  # the session has ended: its owner clears the shared folder
             return
 
