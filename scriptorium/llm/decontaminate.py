@@ -208,7 +208,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """``docs`` without the rows that hold a copy of a benchmark item; all columns stay as they are.
 
     Rows are told apart by identifier and text, so null and repeated identifiers do no harm to clean rows.
+
+    Defined cases: null and empty texts hold nothing and stay; a text of any length is searched whole; repeated rows share their
+    decision; null, empty, repeated and very short items do nothing more; columns of any name stay; an empty table on either side changes nothing.
     """
-    keyed = docs.withColumn("_row", row_key(id_col, text_col))
-    hit = contamination(keyed, benchmark, "_row", text_col, **options).select("_row").distinct()
-    return keyed.join(hit, "_row", "left_anti").select(*docs.columns)
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    keyed = docs.withColumn(key, row_key(id_col, text_col))
+    hit = contamination(keyed, benchmark, key, text_col, **options).select(key).distinct()
+    return keyed.join(hit, key, "left_anti").select(*docs.columns)

@@ -48,3 +48,26 @@ def test_every_word_teaches_once(monkeypatch):
     for turn in range(rounds):
         list(lm_score._train(lm_score.initial(), np.zeros(0, np.uint64), stride, 0.01, turn)(iter([batch])))
     assert seen == Counter(range(1, 101))
+
+
+def test_natural_order_scores_above_shuffled(spark):
+    rng = random.Random(14)
+    words = [f"{a}{b}{c}" for a in "bdkt" for b in "aeiou" for c in "lmnr"]
+    follows = {w: rng.sample(words, 4) for w in words}
+
+    def natural(n):
+        out = [rng.choice(words)]
+        while len(out) < n:
+            out.append(rng.choice(follows[out[-1]]))
+        return out
+
+    rows = [(k, " ".join(natural(80))) for k in range(400)]
+    pairs = []
+    for k in range(40):  # unseen texts, and the same words in another order
+        w = natural(80)
+        mixed = w[:]
+        rng.shuffle(mixed)
+        pairs.append((1000 + k, 2000 + k))
+        rows += [(1000 + k, " ".join(w)), (2000 + k, " ".join(mixed))]
+    got = {r["doc_id"]: r["score"] for r in lm_score.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[a] > got[b] for a, b in pairs) >= 38
