@@ -88,6 +88,55 @@ NOTICES = [
     ("cc0", r"cc0", ("cc0",)),
     ("proprietary", r"all rights reserved", ("rights", "reserved")),
     ("proprietary", r"(?:proprietary and confidential|confidential and proprietary)", ("proprietary", "confidential")),
+    ("gpl", r"the gnu general public license is a free copyleft license for software and other kinds of works", ("copyleft", "gnu")),
+    ("gpl", r"the licenses for most software (?:and other practical works )?are designed to take away your freedom to share and change (?:it|the works)", ("freedom", "designed")),
+    ("gpl", r"you should have received a copy of the gnu general public license along with this program", ("received", "gnu")),
+    ("lgpl", r"you should have received a copy of the gnu (?:lesser|library) general public license along with this library", ("received", "library")),
+    ("lgpl", r"this license the (?:lesser|library) general public license applies to (?:some|certain) specially designated", ("specially", "designated")),
+    ("agpl", r"your modified version must prominently offer all users interacting with it remotely through a computer network", ("remotely", "prominently")),
+    ("gfdl", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", ("document", "gnu")),
+    ("apache-2.0", r"terms and conditions for use reproduction and distribution 1 definitions", ("reproduction", "definitions")),
+    ("apache-2.0", r"grant of (?:copyright|patent) license subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide", ("contributor", "perpetual")),
+    ("apache-2.0", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", ("unless", "agreed")),
+    ("apache-1.1", r"the end user documentation included with the redistribution if any must include the following acknowledgment", ("acknowledgment", "redistribution")),
+    ("mit", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", ("substantial", "portions")),
+    ("mit", r"the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability", ("warranty", "merchantability")),
+    ("x11", r"except as contained in this notice the name of (?:\S+ ){1,8}?shall not be used in advertising or otherwise to promote the sale", ("contained", "promote")),
+    ("bsd", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", ("redistributions", "retain")),
+    ("bsd", r"redistributions in binary form must reproduce the above copyright notice this list of conditions", ("redistributions", "reproduce")),
+    ("bsd", r"this software is provided by (?:\S+ ){1,10}?as is and any express or implied warranties including", ("warranties", "express")),
+    ("bsd-4-clause", r"this product includes software developed by the university of california", ("university", "developed")),
+    ("openssl", r"this product includes software developed by the openssl project", ("openssl",)),
+    ("zlib", r"the origin of this software must not be misrepresented you must not claim that you wrote the original software", ("misrepresented", "origin")),
+    ("zlib", r"altered source versions must be plainly marked as such", ("altered", "plainly")),
+    ("mpl-2.0", r"if a copy of the mpl was not distributed with this file you can obtain one at", ("mpl", "obtain")),
+    ("mpl-2.0", r"covered software is provided under this license on an as is basis", ("covered", "basis")),
+    ("mpl-1.1", r"the contents of this file are subject to the mozilla public license version 1 1", ("contents", "mozilla")),
+    ("epl", r"the accompanying program is provided under the terms of this eclipse public license", ("accompanying", "eclipse")),
+    ("epl-2.0", r"this program and the accompanying materials are made available under the terms of the eclipse public license (?:v |version )?2 0", ("accompanying", "eclipse")),
+    ("cddl", r"the contents of this file are subject to the terms of the common development and distribution license", ("contents", "distribution")),
+    ("artistic", r"the intent of this document is to state the conditions under which a package may be copied", ("intent", "package")),
+    ("artistic", r"this package is free software you can redistribute it and or modify it under the same terms as perl", ("perl", "package")),
+    ("wtfpl", r"everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed", ("verbatim", "changing")),
+    ("unlicense", r"anyone is free to copy modify publish use compile sell or distribute this software", ("anyone", "compile")),
+    ("cc0-1.0", r"to the extent possible under law (?:\S+ ){1,12}?has waived all copyright and related or neighboring rights", ("waived", "neighboring")),
+    ("ofl", r"the goals of the open font license ofl are to stimulate worldwide development of collaborative font projects", ("ofl", "stimulate")),
+    ("ofl", r"this font software is licensed under the sil open font license", ("font", "sil")),
+    ("psf-2.0", r"this license agreement is between the python software foundation psf and the individual or organization", ("psf", "agreement")),
+    ("postgresql", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement", ("fee", "agreement")),
+    ("isc", r"the software is provided as is and the author disclaims all warranties with regard to this software", ("disclaims", "warranties")),
+    ("boost", r"boost software license version 1 0 august 17th 2003", ("boost",)),
+    ("ms-pl", r"this license governs use of the accompanying software if you use the software you accept this license", ("governs", "accompanying")),
+    ("beerware", r"as long as you retain this notice you can do whatever you want with this stuff", ("retain", "whatever")),
+    ("odbl-1.0", r"this (?:\S+ ){1,6}?is made available under the open database license", ("open", "database")),
+    ("eupl", r"licensed under the eupl", ("eupl", "licensed")),
+    ("elastic-2.0", r"you may not provide the software to third parties as a hosted or managed service", ("hosted", "managed")),
+    ("sspl-1.0", r"server side public license", ("server", "side")),
+    ("busl-1.1", r"business source license 1 1", ("business", "source")),
+    ("json", r"the software shall be used for good not evil", ("evil", "good")),
+    ("proprietary", r"(?:unauthorized|unauthorised) copying of this file via any medium is strictly prohibited", ("copying", "strictly")),
+    ("proprietary", r"this (?:software|material|document) is the (?:confidential and )?proprietary (?:information|property) of", ("proprietary",)),
+    ("public-domain", r"this (?:work|file|software) is (?:hereby )?in the public domain", ("public", "domain")),
     ("no-redistribution", r"(?:may|must) not be (?:copied|reproduced|redistributed)(?: \S+){0,6}? without (?:\S+ ){0,3}?permission", ("without", "permission")),
 ]
 
@@ -140,7 +189,12 @@ class Scanner:
         self.rules = build_rules() if rules is None else rules
         self.compiled = [re.compile(f" (?:{r.pattern})(?= )".encode()) for r in self.rules]
         self.gates = [[frozenset(x.encode() for x in need.split("|")) for need in r.needs] for r in self.rules]
-        self.keywords = sorted({k for gate in self.gates for need in gate for k in need})
+        self.keywords = frozenset(k for gate in self.gates for need in gate for k in need)
+        #: Rules by the words of one of their needs, the one with the longest words.
+        self.of_word: dict[bytes, list[int]] = {}
+        for r, gate in enumerate(self.gates):
+            for k in max(gate, key=lambda need: min(map(len, need))):
+                self.of_word.setdefault(k, []).append(r)
         self.base = [(f" {phrase} ".encode(), label, phrase.count(" ") + 1) for phrase, label in BASE.items()]
 
     def base_places(self, canonical: bytes) -> list[tuple[int, int, str]]:
@@ -154,22 +208,22 @@ class Scanner:
                 at = canonical.find(phrase, at + 1)
         return sorted(out)
 
-    def detect(self, canonical: bytes) -> list[tuple[int, int, str, int, float]]:
+    def detect(self, canonical: bytes, words: list[bytes] | None = None) -> list[tuple[int, int, str, int, float]]:
         """Resolved detections (first word, one past the last, label, priority, weight).
 
         In order of priority, then length: a detection inside one already taken is suppressed; one
         that only overlaps stays.
         """
-        present = {k for k in self.keywords if b" " + k + b" " in canonical}
-        if not present:
-            return []
+        present = self.keywords.intersection(canonical.split() if words is None else words)
         found = []
-        for rule, regex, gate in zip(self.rules, self.compiled, self.gates):
-            if all(not need.isdisjoint(present) for need in gate):
-                word = last = 0
-                for m in regex.finditer(canonical):
+        for r in sorted({r for k in present for r in self.of_word.get(k, ())}):
+            if all(not need.isdisjoint(present) for need in self.gates[r]):
+                rule, word, last = self.rules[r], 0, 0
+                for m in self.compiled[r].finditer(canonical):
                     word, last = word + canonical.count(b" ", last, m.start()), m.start()
                     found.append((word, word + m[0].count(b" "), rule.label, rule.priority, rule.weight))
+        if not found:
+            return []
         kept: list[tuple[int, int, str, int, float]] = []
         starts = sorted({d[0] for d in found})
         furthest = [0] * (len(starts) + 1)  # Fenwick tree: the largest end among kept detections by start

@@ -25,7 +25,7 @@ def scan_text(scanner: Scanner, text: bytes) -> tuple:
     words = text.translate(_WORD).split()
     canonical = b" " + b" ".join(words) + b" "
     base = scanner.base_places(canonical)
-    found = scanner.detect(canonical)
+    found = scanner.detect(canonical, words)
     base_labels = {b[2] for b in base}
     clear = 1.0
     for d in found:

@@ -54,6 +54,11 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents")).drop("detections")
 
 
+def q71_license_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of the licence scan: the base phrases."""
+    return op4_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=4096, end_id=1)
 
@@ -134,6 +139,12 @@ ORACLES = {
              kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
         SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM w LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "q71_license_base": """
+        WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+             p(phrase, label) AS (VALUES (['gnu', 'general', 'public', 'license'], 'gpl'), (['apache', 'license'], 'apache'), (['cc', 'by'], 'cc-by'), (['mit', 'license'], 'mit')),
+             hits AS (SELECT doc_id, label, unnest(list_filter(range(0, len(ws)), lambda i: ws[i + 1] = phrase[1] AND ws[i + 1 : i + len(phrase)] = phrase)) AS place FROM w, p),
+             sums AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM hits GROUP BY 1)
+        SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels FROM w LEFT JOIN sums USING (doc_id)""",
     "op10_exact_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
