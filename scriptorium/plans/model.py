@@ -10,9 +10,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.markup import outer_fence
+from ..functions.markup import markdown_fence, outer_fence
 from ..functions.script import DEVANAGARI, script_text
-from ..operators.chunk import ordered_merge
+from ..operators.align import repair_if_better
+from ..operators.chunk import all_present, ordered_merge, page_ranges, plan_chunks
 
 
 class Client(Protocol):
@@ -103,3 +104,34 @@ def converted(chunks: DataFrame, responses: DataFrame, key: str = "doc_id", char
     state = checked.groupBy(key).agg(F.bool_and("ok").alias("ok"))
     merged = ordered_merge(checked.select(key, "chunk", F.col("answer").alias("content")), key)
     return merged.join(state, key).select(key, F.when(F.col("ok") & F.col("complete"), F.col("body")).alias("body"), "n_chunks", F.when(F.col("ok") & F.col("complete"), "ok").otherwise("failed").alias("status"))
+
+
+def convert_documents(docs: DataFrame, plans: DataFrame, client: Client, instruction: str, key: str = "doc_id", chars: str = DEVANAGARI, word_chars: str = "ऀ-ॿ", attempts: int = 3, first_delay: float = 2.0) -> DataFrame:
+    """(key, body, n_chunks, status) of documents (key, text) converted by a model, chunk by chunk.
+
+    ``plans``: (key, plan), each an array of (chunk_id, start_marker, end_marker) from the analysis; a document without one
+    is a single chunk.  Every chunk's answer loses its fences; where its words are not the chunk's they are repaired, if that
+    leaves fewer differences; a document with a failed, missing or still altered chunk is "failed" and has no body.
+    """
+    whole = F.array(F.struct(F.lit(0).alias("chunk_id"), F.lit("").alias("start_marker"), F.lit("").alias("end_marker")))
+    planned = docs.select(key, "text").join(plans.select(key, "plan"), key, "left")
+    pieces = F.when(F.col("plan").isNull() | (F.size("plan") == 0), F.array("text")).otherwise(plan_chunks(F.col("text"), F.coalesce("plan", whole.cast(dict(plans.dtypes)["plan"]))))
+    chunks = planned.select(key, F.posexplode(pieces).alias("chunk", "content"))
+    prompts = chunks.withColumn("prompt", F.concat(F.lit(instruction), F.lit("\n\n"), F.col("content")))
+    answers = generated(prompts, client, [key, "chunk"], attempts=attempts, first_delay=first_delay)
+    pairs = chunks.join(answers, [key, "chunk"], "left").select(key, "chunk", F.col("content").alias("source_text"), outer_fence(F.col("response")).alias("output_text"))
+    repaired = repair_if_better(pairs, word_chars, script=chars)
+    return converted(chunks, repaired.select(key, "chunk", F.col("final").alias("response")), key, chars)
+
+
+def read_pages(files: DataFrame, client: Client, instruction: str, size: int, step: int, key: str = "path", pages: str = "n_pages", attempts: int = 3, first_delay: float = 2.0) -> DataFrame:
+    """(key, body, n_chunks) of scanned files read by a model, a page range at a time; only files of which every range was read.
+
+    The prompt names file and range; getting the pages out of the file is the client's part.
+    """
+    ranges = page_ranges(files, size, step, key, pages)
+    named = F.concat(F.lit(instruction), F.lit("\n"), F.col(key).cast("string"), F.lit(" "), F.col("first").cast("string"), F.lit("-"), F.col("until").cast("string"))
+    answers = generated(ranges.withColumn("prompt", named), client, [key, "chunk"], attempts=attempts, first_delay=first_delay)
+    read = answers.where("response IS NOT NULL").select(key, "chunk", markdown_fence(F.col("response")).alias("content"))
+    whole = all_present(ranges.select(key, "chunk"), read, key)
+    return ordered_merge(read.join(whole, key), key).select(key, "body", "n_chunks")

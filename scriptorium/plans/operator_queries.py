@@ -32,12 +32,20 @@ def q17_diff_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q19_repaired_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first word of each document struck out, and repaired from the document."""
+    repaired = align.word_repair("A-Za-zÀ-ÿ")("source_text", "output_text")
+    rows = _struck(spark, sf_dir).withColumn("r", repaired)
+    return rows.select("doc_id", "r.success", (F.col("r.text") == F.col("source_text")).alias("restored"))
+
+
+def _struck(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.regexp_extract("text", f"^[{script.LATIN}]+", 0)
     struck = F.concat(F.repeat(F.lit("÷"), F.length(first)), F.substring(F.col("text"), F.length(first) + 1, F.length("text")))
-    rows = _t(spark, sf_dir, "documents").select("doc_id", "text", struck.alias("output"))
-    r = align.word_repair("A-Za-zÀ-ÿ")("text", "output")
-    rows = rows.withColumn("r", r)
-    return rows.select("doc_id", "r.success", (F.col("r.text") == F.col("text")).alias("restored"))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("source_text"), struck.alias("output_text"))
+
+
+def q76_repair_if_better(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = align.repair_if_better(_struck(spark, sf_dir), "A-Za-zÀ-ÿ", script=script.LATIN)
+    return out.select("doc_id", (F.col("final") == F.col("source_text")).alias("restored"))
 
 
 def q20_line_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,6 +358,9 @@ ORACLES = {
     "q19_repaired_words": f"""
         WITH w AS (SELECT doc_id, text, length(regexp_extract(text, '^[{_LETTERS}]+')) AS k, length(array_to_string(regexp_extract_all({_NO_SKIPPED}, '[{_LETTERS}]+'), ' ')) AS n FROM documents)
         SELECT doc_id, k = 0 OR CAST(200 * (n - k) AS DOUBLE) / (2 * n) >= 85.0 AS success, k = 0 OR CAST(200 * (n - k) AS DOUBLE) / (2 * n) >= 85.0 AS restored FROM w""",
+    "q76_repair_if_better": f"""
+        WITH w AS (SELECT doc_id, length(regexp_extract(text, '^[{_LETTERS}]+')) AS k, length(array_to_string(regexp_extract_all({_NO_SKIPPED}, '[{_LETTERS}]+'), ' ')) AS n FROM documents)
+        SELECT doc_id, k = 0 OR CAST(200 * (n - k) AS DOUBLE) / (2 * n) >= 85.0 AS restored FROM w""",
     "q20_line_report": f"""
         WITH c AS (SELECT doc_id AS pair_id, length(text) AS n_chars, {_NEWLINES} AS nl, len(regexp_extract_all(text, '\\n+')) AS n_text FROM documents)
         SELECT pair_id, CAST(n_chars AS BIGINT) AS n_chars, CAST(0 AS BIGINT) AS n_space, CAST(n_text AS BIGINT) AS n_text, CASE WHEN n_chars > 0 THEN round(100.0::DOUBLE * nl / n_chars, 6) END AS delta_percent,
