@@ -202,28 +202,42 @@ def line_grammar(docs: DataFrame, key: str = "doc_id", body: str = "body") -> Da
     kind = F.coalesce(*[F.when(t.rlike(GRAMMAR[k]), F.lit(k)) for k in ("main", "prefatory", "concluding", "commentary", "open", "meta")])
     rows = rows.withColumn("kind", F.when(~F.col("inside") & (t != ""), F.coalesce(kind, F.lit("other"))))
     rows = rows.withColumn("ref", F.coalesce(*[F.when(F.col("kind") == k, F.regexp_extract("t", GRAMMAR[k], 1)) for k in ("main", "prefatory", "concluding", "commentary")]))
-    seen = rows.where("kind IS NOT NULL")
-    near = seen.withColumn("prev", F.lag("kind").over(order)).withColumn("next", F.lead("kind").over(order))
     at = (F.col("pos") + 1).alias("line_num")
-    refs = near.where("kind IN ('main', 'prefatory', 'concluding')").select(key, "pos", "ref")
-    nth = F.row_number().over(Window.partitionBy(key, "ref").orderBy("pos"))
-    comments = near.where("kind = 'commentary'")
-    members = comments.select(key, "pos", F.col("ref").alias("detail"), F.explode_outer(expanded(F.col("ref"))).alias("ref"))
-    out = [
-        refs.withColumn("n", nth).where("n > 1").select(key, at, F.lit("duplicate_ref").alias("rule_id"), F.col("ref").alias("detail")),
-        comments.where("prev IS NULL OR prev <> 'meta'").select(key, at, F.lit("missing_meta").alias("rule_id"), F.col("ref").alias("detail")),
-        near.where("kind = 'meta' AND next <> 'commentary'").select(key, at, F.lit("meta_without_commentary").alias("rule_id"), F.col("t").alias("detail")),
-        near.where("kind = 'meta'").where(F.get_json_object(F.regexp_extract("t", GRAMMAR["meta"], 1), "$.commentary_id").isNull()).select(key, at, F.lit("bad_meta").alias("rule_id"), F.col("t").alias("detail")),
-        members.where("ref IS NULL").select(key, at, F.lit("bad_range").alias("rule_id"), "detail"),
-        members.where("ref IS NOT NULL").join(refs.select(key, "ref").distinct(), [key, "ref"], "left_anti").select(key, at, F.lit("no_passage").alias("rule_id"), F.col("ref").alias("detail")),
-        rows.where(F.col("inside") & closes & (F.col("last.script") != F.regexp_extract("t", GRAMMAR["close"], 1))).select(key, at, F.lit("mismatched_end").alias("rule_id"), F.col("last.script").alias("detail")),
-        near.where("kind = 'other'").select(key, at, F.lit("unrecognised").alias("rule_id"), F.col("t").alias("detail")),
-        rows.groupBy(key).agg(F.max_by("tag", F.when(F.col("tag").isNotNull(), F.col("pos"))).alias("tag"), F.max("pos").alias("pos")).where("tag.open").select(key, at, F.lit("unclosed_block").alias("rule_id"), F.col("tag.script").alias("detail")),
-    ]
-    found = out[0]
-    for more in out[1:]:
-        found = found.unionByName(more)
-    return found
+    is_main = F.col("kind").isin("main", "prefatory", "concluding")
+    is_comment, is_meta = F.col("kind") == "commentary", F.col("kind") == "meta"
+    near = rows.where("kind IS NOT NULL").withColumn("prev", F.lag("kind").over(order)).withColumn("next", F.lead("kind").over(order))
+    near = near.withColumn("main", is_main).withColumn("nth", F.row_number().over(Window.partitionBy(key, "main", "ref").orderBy("pos"))).withColumn("members", F.when(is_comment, expanded(F.col("ref"))))
+
+    def breaches(**found: tuple[Column, Column]) -> Column:
+        each = F.array(*[F.struct(F.lit(k).alias("rule_id"), detail.alias("detail"), F.coalesce(broken, F.lit(False)).alias("broken")) for k, (broken, detail) in found.items()])
+        return F.inline(F.transform(F.filter(each, lambda x: x["broken"]), lambda x: F.struct(x["rule_id"].alias("rule_id"), x["detail"].alias("detail"))))
+
+    no_id = F.get_json_object(F.regexp_extract("t", GRAMMAR["meta"], 1), "$.commentary_id").isNull()
+    headings = near.select(
+        key,
+        at,
+        breaches(
+            duplicate_ref=(is_main & (F.col("nth") > 1), F.col("ref")),
+            missing_meta=(is_comment & ~F.col("prev").eqNullSafe("meta"), F.col("ref")),
+            meta_without_commentary=(is_meta & (F.col("next") != "commentary"), F.col("t")),
+            bad_meta=(is_meta & no_id, F.col("t")),
+            bad_range=(is_comment & F.col("members").isNull(), F.col("ref")),
+            unrecognised=(F.col("kind") == "other", F.col("t")),
+        ),
+    )
+    now = F.last("tag", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    tagged = rows.withColumn("now", now).withColumn("ends", F.lead("pos").over(order).isNull())
+    blocks = tagged.where(F.col("ends") | closes).select(
+        key,
+        at,
+        breaches(
+            mismatched_end=(F.col("inside") & closes & (F.col("last.script") != F.regexp_extract("t", GRAMMAR["close"], 1)), F.col("last.script")),
+            unclosed_block=(F.col("ends") & F.col("now.open"), F.col("now.script")),
+        ),
+    )
+    refs = rows.where(is_main).select(key, "ref").distinct()
+    missing = near.where(F.col("members").isNotNull()).select(key, "pos", F.explode("members").alias("ref")).join(refs, [key, "ref"], "left_anti")
+    return headings.unionByName(blocks).unionByName(missing.select(key, at, F.lit("no_passage").alias("rule_id"), F.col("ref").alias("detail")))
 
 
 def preservation(a: Column, b: Column, context: int = 20) -> Column:
