@@ -311,6 +311,18 @@ ORACLES = {
              p AS (SELECT *, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY line_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS position FROM l)
         SELECT doc_id, 'the' AS type, position, line_number, regexp_extract(line, '^The ') AS marker_text FROM p WHERE regexp_matches(line, '^The ')
         UNION ALL SELECT doc_id, 'number', position, line_number, regexp_extract(line, '[0-9]{4}') FROM p WHERE regexp_matches(line, '[0-9]{4}')""",
+    "q12_boundary_chunks": """
+        WITH RECURSIVE l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS k FROM documents),
+             p AS (SELECT *, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos FROM l),
+             c AS (SELECT doc_id, list(pos ORDER BY pos) FILTER (WHERE regexp_matches(line, '^The ')) AS a, list(pos ORDER BY pos) FILTER (WHERE regexp_matches(line, '^[A-Z]')) AS b FROM p GROUP BY 1),
+             d AS (SELECT doc_id, coalesce(a, b, []) AS cuts FROM documents LEFT JOIN c USING (doc_id)),
+             walk AS (SELECT doc_id, 0 AS i, CAST(0 AS BIGINT) AS start, CAST(NULL AS BIGINT) AS since, CAST(NULL AS BIGINT) AS until FROM d
+                      UNION ALL SELECT doc_id, i + 1, CASE WHEN cut THEN pos ELSE start END, CASE WHEN cut THEN start END, CASE WHEN cut THEN pos END
+                      FROM (SELECT doc_id, i, start, cuts[i + 1] AS pos, cuts[i + 1] > start AND (cuts[i + 1] - start >= 2000 OR i + 1 = len(cuts)) AS cut FROM walk JOIN d USING (doc_id) WHERE i < len(cuts))),
+             spans AS (SELECT doc_id, since, until FROM walk WHERE until IS NOT NULL UNION ALL SELECT doc_id, start, NULL FROM walk JOIN d USING (doc_id) WHERE i = len(cuts)),
+             raw AS (SELECT doc_id, since, CASE WHEN until IS NULL THEN substring(text, since + 1) ELSE substring(text, since + 1, until - since) END AS t FROM spans JOIN documents USING (doc_id)),
+             kept AS (SELECT doc_id, since, CASE WHEN since = 0 THEN t ELSE trim(t, ' ' || chr(9) || chr(10) || chr(13)) END AS content FROM raw WHERE trim(t, ' ' || chr(9) || chr(10) || chr(13)) <> '')
+        SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY since) - 1 AS INTEGER) AS chunk, CAST(count(*) OVER (PARTITION BY doc_id) AS INTEGER) AS n_chunks, CAST(length(content) AS INTEGER) AS size, content FROM kept""",
     "q13_plan_split": """
         WITH a AS (SELECT doc_id, text, instr(text, '. ') AS p FROM documents),
              b AS (SELECT *, CASE WHEN p = 0 THEN '' ELSE substring(text, p + 2) END AS r1 FROM a),
@@ -364,6 +376,7 @@ ORACLES = {
         SELECT a.n_regionkey, a.n, a.n_name AS left_name, b.n_name AS right_name FROM a JOIN b ON a.n_regionkey = b.n_regionkey AND a.n = b.n""",
     "q33_still_to_do": "SELECT CAST(doc_id AS VARCHAR) AS stem FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality > 0)",
     "q34_verse_numbers": "SELECT CAST(l_linenumber AS BIGINT) AS number, count(*) AS n FROM lineitem GROUP BY 1",
+    "q35_line_grammar": "SELECT conv_id, 'no_passage' AS rule_id, count(*) AS n FROM conversations WHERE role = 'assistant' GROUP BY 1",
     "q36_cached": """
         WITH d AS (SELECT doc_id, sha256(text) AS hash FROM documents)
         SELECT hash, doc_id FROM d WHERE hash IN (SELECT hash FROM d WHERE doc_id % 3 = 0 GROUP BY 1 HAVING max(doc_id) >= 100)""",
