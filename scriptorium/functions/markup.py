@@ -96,16 +96,10 @@ FENCE = "```"
 
 def fenced_lines(c: Column) -> Column:
     """If the text starts with a fence: the lines inside fences, the fence lines dropped."""
-    lines = F.split(c, "\n")
-    state = F.aggregate(
-        lines,
-        F.struct(F.lit(False).alias("inside"), F.array().cast("array<string>").alias("kept")),
-        lambda s, x: F.when(F.startswith(strip(x), F.lit(FENCE)), F.struct((~s["inside"]).alias("inside"), s["kept"].alias("kept"))).otherwise(
-            F.struct(s["inside"].alias("inside"), F.when(s["inside"], F.concat(s["kept"], F.array(x))).otherwise(s["kept"]).alias("kept"))
-        ),
-        lambda s: F.array_join(s["kept"], "\n"),
-    )
-    return F.when(F.startswith(strip(c), F.lit(FENCE)), state).otherwise(c)
+    # cut at fence lines, every second part stands inside
+    parts = F.split(F.concat(c, F.lit("\n")), f"(?mdU)^[\\s&&[^\\n]]*{FENCE}[^\\n]*\\n")
+    inside = F.array_join(F.filter(parts, lambda _, i: i % 2 == 1), "")
+    return F.when(F.startswith(strip(c), F.lit(FENCE)), F.regexp_replace(inside, "\\n\\z", "")).otherwise(c)
 
 
 def outer_fence(c: Column) -> Column:
