@@ -238,6 +238,8 @@ def learn_signs(sample: DataFrame, max_features: int) -> tuple[Signs, list[Signs
         z = odds / F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
         scored.append(F.when((a >= 3) & (z > 3), F.struct(z.alias("z"), odds.alias("odds"))).alias("all" if k is None else f"fold{k}"))
     found = counts.select("token", *scored)
+    some = [c for c in found.columns if c != "token"]
+    found = written(found.where(F.coalesce(*some).isNotNull()), "signs")  # counted once for all folds
     signs = []
     for k in groups:
         c = "all" if k is None else f"fold{k}"
