@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.refs import ref_key
 from ..functions.script import DEVANAGARI
 from .fingerprint import HASH_VERSION, text_hash
 from .link import last_by
@@ -54,6 +55,41 @@ def document_fragments(passages: DataFrame, commentaries: DataFrame, key: str =
     return rows.drop("ref").unionByName(placed.select(key, "at.section", "at.seq", "sub", "fragment"))
 
 
+def _spaced(content: Column, scripts: tuple[str, ...]) -> Column:
+    """A passage's non-empty texts between script tags, an empty line on either side of each."""
+    one = lambda s: F.when(F.try_element_at(content, F.lit(s)) != "", F.concat(F.lit(f"<!-- sanskrit:{s} -->\n\n"), F.element_at(content, F.lit(s)), F.lit(f"\n\n<!-- /sanskrit:{s} -->")))
+    return F.concat_ws("\n", *[one(s) for s in SCRIPTS if s in scripts])
+
+
+def nested_body(passages: DataFrame, commentaries: DataFrame, levels: list[str], key: str = "doc_id", scripts: tuple[str, ...] = SCRIPTS) -> DataFrame:
+    """(key, body): the nested form, with a heading for every level and closed commentary tags.
+
+    ``passages``: (key, passage_type, ref, label, content, seq); ``commentaries``: (key, ref, commentary_id, content, ord);
+    ``levels``: names from the top down.  A heading has as many marks as its level is deep; main passages stand
+    at references of the lowest level or deeper, a commentary's heading is one deeper; levels beyond the last have its name.
+    """
+    names, depth = F.array(*map(F.lit, levels)), F.size("node")
+    main = passages.where("passage_type = 'main'").withColumn("path", ref_key(F.col("ref")))
+    nodes = main.select(key, F.explode(F.sequence(F.lit(1), F.size("path"))).alias("n"), "path").select(key, F.slice("path", F.lit(1), F.col("n")).alias("node")).distinct()
+    name = F.element_at(names, F.least(depth, F.lit(len(levels))))
+    place = lambda section, path, sub, seq: (F.lit(section).alias("section"), path.alias("path"), F.lit(sub).alias("sub"), seq.cast("long").alias("seq"))
+    headings = nodes.select(key, *place(1, F.col("node"), 0, F.lit(0)), F.concat(F.repeat(F.lit("#"), depth), F.lit(" "), name, F.lit(" "), F.array_join(F.col("node").cast("array<string>"), "."), F.lit("\n")).alias("fragment"))
+    deep = main.where(F.size("path") >= len(levels))
+    texts = deep.select(key, *place(1, F.col("path"), 1, F.col("seq")), F.concat(_spaced(F.col("content"), scripts), F.lit("\n")).alias("fragment"))
+    tag = lambda slash: F.concat(F.lit(f'<!-- {slash}commentary: {{"commentary_id": "'), F.col("commentary_id"), F.lit('"} -->'))
+    head = F.concat(tag(""), F.lit("\n\n"), F.repeat(F.lit("#"), F.size("path") + 1), F.lit(" Commentary: "), F.col("ref"), F.lit("\n\n"))
+    noted = F.concat(head, F.concat_ws("\n", F.nullif(_spaced(F.col("content"), scripts), F.lit("")), tag("/")), F.lit("\n"))
+    notes = commentaries.join(deep.select(key, "ref", "path").distinct(), [key, "ref"]).select(key, *place(1, F.col("path"), 2, F.col("ord")), noted.alias("fragment"))
+    title = F.concat(F.lit("# "), F.initcap("passage_type"), F.lit(": "), F.col("ref"), F.lit(' (devanagari: "'), F.coalesce(F.try_element_at("label", F.lit("devanagari")), F.lit("")), F.lit('")\n'))
+    around = passages.where("passage_type <> 'main'").select(
+        key, F.when(F.col("passage_type") == "prefatory", 0).otherwise(2).alias("section"), F.array().cast("array<int>").alias("path"), F.lit(0).alias("sub"), F.col("seq").cast("long").alias("seq"),
+        F.concat(title, _spaced(F.col("content"), scripts), F.lit("\n")).alias("fragment"),
+    )
+    rows = headings.unionByName(texts).unionByName(notes).unionByName(around)
+    parts = F.array_sort(F.collect_list(F.struct("section", "path", "sub", "seq", "fragment")))
+    return rows.groupBy(key).agg(F.array_join(F.transform(parts, lambda x: x["fragment"]), "\n").alias("body"))
+
+
 def with_header(header: Column, body: Column, chars: str = DEVANAGARI) -> Column:
     """A whole document: header lines with the body's fingerprint, then the body."""
     stamp = F.concat(F.lit(f"\nhash_version: {HASH_VERSION}\nvalidation_hash: "), text_hash(body, chars))

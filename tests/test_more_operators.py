@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.functions import script
-from scriptorium.operators import align, link, rules, segment
+from scriptorium.operators import align, link, render, rules, segment
 from scriptorium.sources import documents as sources
 
 
@@ -88,3 +88,20 @@ def test_report(spark, tmp_path):
     assert [r["line"] for r in sources.report_lines(df, "Report", ["n", "t"]).collect()] == ["# Report", "| n | t |", "| 1 | x |", "| 2 | - |"]
     sources.write_report(df, f"{tmp_path}/out", "Report", ["n", "t"])
     assert spark.read.text(f"{tmp_path}/out").count() == 4
+
+
+def test_nested_body(spark):
+    schema = "doc_id int, passage_type string, ref string, label map<string,string>, content map<string,string>, seq int"
+    rows = [
+        (1, "main", "1.10", None, {"devanagari": "ten"}, 2), (1, "main", "1.2", None, {"devanagari": "two", "roman": "ii", "kannada": ""}, 1), (1, "main", "2", None, {"devanagari": "too high"}, 3),
+        (1, "prefatory", "0.1", {"devanagari": "P"}, {"devanagari": "peace"}, 0), (1, "concluding", "9", None, {"devanagari": "end"}, 0),
+    ]
+    notes = spark.createDataFrame([(1, "1.2", "c", {"devanagari": "note"}, 0), (1, "7.7", "c", {"devanagari": "lost"}, 0)], "doc_id int, ref string, commentary_id string, content map<string,string>, ord int")
+    block = lambda t, s="devanagari": f"<!-- sanskrit:{s} -->\n\n{t}\n\n<!-- /sanskrit:{s} -->"
+    want = [
+        '# Prefatory: 0.1 (devanagari: "P")', block("peace"), "", "# Part 1", "", "## Verse 1.2", "", block("two"), block("ii", "roman"), "",
+        '<!-- commentary: {"commentary_id": "c"} -->', "", "### Commentary: 1.2", "", block("note"), '<!-- /commentary: {"commentary_id": "c"} -->', "",
+        "## Verse 1.10", "", block("ten"), "", "# Part 2", "", '# Concluding: 9 (devanagari: "")', block("end"), "",
+    ]
+    got = render.nested_body(spark.createDataFrame(rows, schema), notes, ["Part", "Verse"]).collect()
+    assert [tuple(r) for r in got] == [(1, "\n".join(want))]
