@@ -287,6 +287,9 @@ def test_word_tokenizer():
 
     path = tokenizer_path("word_bpe_49k.json")
     texts = ["", "  ", "İstanbul ΣΑΣ é don't 12ab <|endoftext|> 日本語。", "áb　c d", "Mixed, case! %%% a|b", "x" * 5000]
+    rng = random.Random(18)
+    odd = ["a", "B", "É", "ß", "×", "÷", "'", "'s", "'LL", "<", "|", "<|endoftext|>", "<|STARTOFTEXT|>", " ", "\t", "\n", "\x0b", "\x1c", "\x00", "\x85", "\xa0", "\u3000", "0", "9", "²", "e\u0301", "\u0301", "İ", "ſ", "Å", "ﬁ", "中", "。", "-", "...", "_", "ª", "Ω", "\u200b", "😀", "Ÿ", "re"]
+    texts += ["".join(rng.choice(odd) for _ in range(rng.randrange(25))) for _ in range(400)]
     small = packing.WordTokenizer(path, most=3)
     for tokenizer in (packing.WordTokenizer(path), small, small):
         ids, at = tokenizer.encode(pa.array(texts))
