@@ -191,12 +191,7 @@ def q25_conversation_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q26_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = F.concat(F.lit("---\nid: x\n---\n# Heading 1\n**"), F.regexp_replace("text", "\\*\\*", ""), F.lit("** <!-- note\nmore -->\n"))
-    return _t(spark, sf_dir, "documents").where(~F.contains("text", F.lit("#"))).select("doc_id", F.regexp_replace(markup.cleaned(marked), "[\\s\\x{00A0}]+", " ").alias("text"))
-
-
-def q26_cleaned_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As q26_cleaned, over all documents and with their texts as they are."""
+    """Every document as the body of a marked text, cleaned."""
     marked = F.concat(F.lit("---\nid: x\n---\n# Heading 1\n**"), F.col("text"), F.lit("** <!-- note\nmore -->\n"))
     return _t(spark, sf_dir, "documents").select("doc_id", F.regexp_replace(markup.cleaned(marked), "[\\s\\x{00A0}]+", " ").alias("text"))
 
@@ -278,6 +273,8 @@ def queries() -> dict[str, Query]:
 
 
 _WORDS = "regexp_extract_all(text, '[A-Za-z\\x{00C0}-\\x{00FF}]+')"
+#: White space as Unicode has it.
+_SPACES = "\\x09-\\x0D\\x20\\x{0085}\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
 ORACLES = {
     "q01_fingerprint": f"SELECT doc_id, CAST(len({_WORDS}) AS BIGINT) AS n_words, sha256(array_to_string({_WORDS}, ' ')) AS hash FROM documents",
     "q02_clean_page": "SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'), '<[^>]+>', '', 'g'), '[ \\t\\n\\r]+', ' ', 'g')) AS text FROM pages",
@@ -359,8 +356,10 @@ ORACLES = {
     "q25_conversation_hash": f"""
         SELECT work_id, sha256(array_to_string({_WORDS}, ' ')) AS hash, n_records
         FROM (SELECT conv_id AS work_id, string_agg(text, '' ORDER BY turn) AS text, count(*) AS n_records FROM conversations GROUP BY 1)""",
-    "q26_cleaned": """
-        SELECT doc_id, trim(regexp_replace(replace(text, '**', ''), '[ \\t\\n\\r\\x{00A0}]+', ' ', 'g')) AS text FROM documents WHERE NOT contains(text, '#')""",
+    "q26_cleaned": f"""
+        WITH m AS (SELECT doc_id, chr(10) || '# Heading 1' || chr(10) || '**' || text || '** <!-- note' || chr(10) || 'more -->' AS t FROM documents),
+             h AS (SELECT doc_id, regexp_replace(regexp_replace(t, '(?m)^#+[{_SPACES}]+.*$', '', 'g'), '(?s)<!--.*?-->', ' ', 'g') AS t FROM m)
+        SELECT doc_id, trim(regexp_replace(replace(t, '**', ''), '[{_SPACES}]+', ' ', 'g')) AS text FROM h""",
     "q27_hidden_notes": "SELECT n_nationkey, '<!-- hide -->[note ' || n_name || ']<!-- /hide --> and [link](x) and <!-- hide -->[old]<!-- /hide -->' AS text FROM nation",
     "q28_ref_order": """
         SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, (l_orderkey, l_linenumber) >= (100, 2) AND (l_orderkey, l_linenumber) <= (2000, 3) AS inside,

@@ -14,5 +14,5 @@ def test_all_documents(spark, tmp_path):
         t = re.sub(r"^#+\s+.*$", "", t, flags=re.M)
         return re.sub(r"\s+", " ", re.sub(r"<!--.*?-->", " ", t, flags=re.S).replace("**", "")).strip()
 
-    got = {r["doc_id"]: r["text"] for r in queries.q26_cleaned_all(spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: r["text"] for r in queries.q26_cleaned(spark, str(tmp_path)).collect()}
     assert got == {k: t if t is None else cleaned(t) for k, t in enumerate(texts)}
