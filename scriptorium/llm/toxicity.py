@@ -7,9 +7,9 @@ other folds; all other documents get the voters learned from all folds.  A
 generative label model, fitted by expectation maximisation on the counts of vote patterns over all
 documents, estimates each voter's accuracy in either class and the correlation of voters within a
 class; a voter's log-odds is divided by one plus its correlations, so that voters that repeat one another count
-once.  Labelled rows say where the estimation starts, and nothing more.  A logistic
+once.  In these counts labelled rows stand with their labels, all others with their posteriors.  A logistic
 classifier is then trained on the posterior labels of a bounded sample of labelled rows, and
-scores every document; no row's own label enters its target.
+scores every document; a row's target is the posterior of its votes, which its own label has no part in but as one row of the counts.
 
 Scale.  Texts are read once for the labelled sample and once for all documents; the second pass
 leaves a few numbers for each document in the shared folder, from which the vote patterns are counted
@@ -95,7 +95,7 @@ def _measure(text: str, signs: Signs) -> tuple[list[int], list[float], list[int]
     any_sign = hand or rude or threat or learned or stems
     votes = [
         1 if hand else 0, 1 if hand >= 3 or hand > 0.02 * n else 0, 1 if contempt else 0, 1 if rude else 0, 1 if threat else 0, address,
-        1 if learned else (-1 if n >= 30 else 0), 1 if distinct >= 2 else 0, 1 if learned > 0.01 * n and learned else 0, 1 if stems >= 2 else (-1 if n >= 30 and not stems else 0), 1 if stems and stems > 0.02 * n else 0,
+        1 if learned else (-1 if n >= 30 and signs.strong else 0), 1 if distinct >= 2 else 0, 1 if learned > 0.01 * n and learned else 0, 1 if stems >= 2 else (-1 if n >= 30 and not stems and signs.stems else 0), 1 if stems and stems > 0.02 * n else 0,
         1 if shout > 0.6 else 0, 0 if any_sign else -1,
     ]
     dense = [np.log1p(hand), hand / max(n, 10), np.log1p(learned), learned / max(n, 10), np.log1p(stems), stems / max(n, 10), np.log1p(n) / 10, shout]
@@ -145,17 +145,20 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(self.log_odds(votes), -30, 30)))
 
 
-def fit_label_model(votes: np.ndarray, count: np.ndarray, start: np.ndarray, prior: float, steps: int = 60) -> LabelModel:
+def fit_label_model(votes: np.ndarray, count: np.ndarray, start: np.ndarray, prior: float, steps: int = 60, known: tuple[np.ndarray, np.ndarray] | None = None) -> LabelModel:
     """Expectation maximisation on distinct vote rows, ``count`` documents each.
 
-    ``start``: first posteriors.  Correlations are those of votes about their class means,
+    ``start``: first posteriors; ``known``: of each row, how many of its documents are labelled toxic, and how many are
+    labelled at all; these keep their labels in the counts of votes, all others have their posteriors.  Correlations are those of votes about their class means,
     weighted by the posterior; a voter's discount is one over one plus the sum of its positive ones.
     """
     m = votes.shape[1]
     q, discount = start.astype(float), np.ones(m)
     one_hot = np.eye(3)[votes]  # (rows, voters, votes)
     model = LabelModel(prior, np.full((2, m, 3), 1 / 3), discount)
+    toxic, labelled = (np.zeros(len(count)), np.zeros(len(count))) if known is None else known
     for step in range(steps):
+        q = (toxic + (count - labelled) * q) / np.maximum(count, 1)
         for c, w in ((0, (1 - q) * count), (1, q * count)):
             model.table[c] = (np.einsum("r,rmv->mv", w, one_hot) + 0.5) / (w.sum() + 1.5)
         model.prior = float(np.clip((q * count).sum() / count.sum(), 0.005, 0.5))
@@ -280,12 +283,12 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     patterns = others.unionByName(fitted.select("votes")).groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").toPandas()
     votes, count = _codes(patterns["votes"].tolist()), patterns["n"].to_numpy(float)
     share = float(of_sample["toxic"].mean()) if len(of_sample) else 0.1
-    start = 1 / (1 + np.exp(-(votes - 1).sum(axis=1) + 0.5))
-    if len(of_sample):  # labelled rows say where to start
+    start, told = 1 / (1 + np.exp(-(votes - 1).sum(axis=1) + 0.5)), None
+    if len(of_sample):
         seen = of_sample.groupby("votes")["toxic"].agg(["sum", "count"])
         told = patterns["votes"].map(seen["sum"]).fillna(0).to_numpy(), patterns["votes"].map(seen["count"]).fillna(0).to_numpy()
         start = (told[0] + 2 * start) / (told[1] + 2)
-    model = fit_label_model(votes, count, start, share) if len(votes) else LabelModel(0.1, np.full((2, len(VOTERS), 3), 1 / 3), np.ones(len(VOTERS)))
+    model = fit_label_model(votes, count, start, share, known=told) if len(votes) else LabelModel(0.1, np.full((2, len(VOTERS), 3), 1 / 3), np.ones(len(VOTERS)))
     width = len(signs.words) + len(signs.stems)
     if len(of_sample):
         target = model.posterior(_codes(of_sample["votes"].tolist()))
