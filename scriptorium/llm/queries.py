@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import script
 from ..operators import align, rollup
+from .centroids import cluster_vectors
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .html_extract import extract_main_text
@@ -20,7 +21,9 @@ from .license_scan import scan_licenses
 from .lm_score import lm_scores
 from .minhash_dedup import near_duplicates
 from .packing import pack_documents
+from .periodic_runs import listed, periodic_runs, strongest
 from .shared import written
+from .simhash_dedup import simhash_duplicates
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .toxicity import score_toxicity
@@ -84,6 +87,41 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="last")
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(_table(spark, sf_dir, "embeddings"), width=64, scale=64, k=16, rounds=3, seed=1)
+
+
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4, threshold=4)
+
+
+def _with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """Texts of which every tenth (by the checksum of its doc_id) repeats a stretch of its words up to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))).alias("words"))
+    sized = words.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    sized = sized.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))).withColumn("p", F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)) + 1)
+    a, p, rest = F.col("a").cast("int"), F.col("p").cast("int"), (F.col("n") - F.col("a")).cast("int")
+    unit = F.slice("words", a + 1, p)
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil(rest / p).cast("int"))), F.lit(1), rest)
+    text = F.when(F.col("a").isNotNull(), F.array_join(F.concat(F.slice("words", F.lit(1), a), tail), " ")).otherwise(F.col("text"))
+    return sized.select("doc_id", text.alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_with_periodic_tails(_table(spark, sf_dir, "documents")), least=24, times=3).withColumn("best", strongest(F.col("runs")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def _near_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document of a near-duplicate class but the class's representative, with that one; whole texts."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -117,7 +155,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if re.match(r"op\d+_|q\d+_", k) and callable(f)}
 
 
+def _clusters_sql(k: int, rounds: int) -> str:
+    """Lloyd's rounds over components as rows, one after the other."""
+    parts = [
+        """v AS (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+                   FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        "long AS (SELECT n, unnest(range(64)) AS j, unnest(e) AS x FROM v)",
+        f"""c0 AS (SELECT c - 1 AS c, unnest(range(64)) AS j, unnest(e) AS y FROM
+                   (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), e) AS c, e FROM v) WHERE c <= {k})""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"d{i} AS (SELECT n, c, sum((x - y) * (x - y)) AS d FROM long JOIN c{i} USING (j) GROUP BY 1, 2)")
+        parts.append(f"a{i} AS (SELECT n, arg_min(c, d * {k} + c) AS c, min(d) AS d FROM d{i} GROUP BY 1)")
+        if i < rounds:
+            parts.append(f"s{i} AS (SELECT c, j, sum(x) AS s, count(*) AS m FROM long JOIN a{i} USING (n) GROUP BY 1, 2)")
+            parts.append(f"c{i + 1} AS (SELECT c{i}.c, c{i}.j, CASE WHEN m > 0 THEN CAST((s - ((s % m) + m) % m) // m AS BIGINT) ELSE y END AS y FROM c{i} LEFT JOIN s{i} USING (c, j))")
+    parts.append(f"names AS (SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY j)) AS h FROM c{rounds} GROUP BY 1)")
+    return f"""
+        WITH {", ".join(parts)}
+        SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+        FROM a{rounds} JOIN v USING (n) JOIN names USING (c)"""
+
+
 ORACLES = {
+    "op11_centroid_clusters": _clusters_sql(16, 3),
     "op1_minhash_near_dedup": """
         WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
              s AS (SELECT DISTINCT doc_id, md5(array_to_string(ws[k : k + 2], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS k FROM w WHERE len(ws) > 0)),
