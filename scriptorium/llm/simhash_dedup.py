@@ -10,10 +10,13 @@ the threshold t, let u be the one nearer to its home: the other, v, lies within
 meet there and no link is lost.  (With the covering radius in the place of each fingerprint's own distance the same holds, with
 many more copies.)  At each anchor those at home are compared with all that are there.
 
-Scale.  With N distinct fingerprints and A anchors, placing costs A comparisons each and meeting some 40 N / A; A is
-chosen near the square root of 40 N, where both are least, so that work grows as N^1.5.  Equal fingerprints are one row.  An anchor
-that a large group of similar fingerprints shares is split into blocks of its homes and its guests.  A block returns
-only links that join what was apart within it, never all pairs.  Shuffled are some 40 numbers for each distinct fingerprint.
+Comparing.  Two numbers within t bits agree in one of t + 1 parts of their bits, so at an anchor only those are compared that
+share a part; where most would, all are.  A block of an anchor returns links that join what was apart within it, never all pairs.
+
+Scale.  Equal fingerprints are one row.  The number of anchors is near the square root of the number N of distinct fingerprints, so
+placing costs N^1.5 comparisons of 64 bits.  Shuffled are eight bytes for each copy, in lists by anchor that each task makes: 13 copies
+of a fingerprint with 2^7 anchors, 57 with 2^12 (14 million fingerprints), 272 with 2^18.  An anchor that a large group of similar
+fingerprints shares is split into blocks of its homes and its guests.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +36,10 @@ from .kernels import U
 from .shared import dropped, written
 
 SEED = 42
-#: Shingles hashed at once, and fingerprints in one side of a block of an anchor.
-PIECE, BLOCK = 1 << 16, 2048
-#: Anchors within a fingerprint's distance plus four, on average.
-COPIES = 40
+#: Shingles hashed at once, fingerprints in one side of a block of an anchor, and in one row of a list.
+PIECE, BLOCK, LIST = 1 << 16, 1 << 16, 1024
+#: Copies that a task gathers before it writes its lists.
+GATHERED = 4_000_000
 LEAST_ROWS, MOST_ROWS = 7, 20
 
 
@@ -112,16 +116,33 @@ def anchors(rows: int) -> np.ndarray:
 
 def rows_for(n: int) -> int:
     """Rows of the code for ``n`` distinct fingerprints."""
-    return min(MOST_ROWS, max(LEAST_ROWS, round(math.log2(max(1, COPIES * n)) / 2)))
+    return min(MOST_ROWS, max(LEAST_ROWS, round(math.log2(max(1, n)) / 2)))
+
+
+_PLACED_DDL = "anchor int, home boolean, n int, prints binary"
 
 
-_PLACED_DDL = "anchor int, home boolean, print long"
+def _lists(anchor: np.ndarray, home: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+    """Rows of at most LIST fingerprints of one anchor, all of them at home or all guests."""
+    order = np.lexsort((prints, home, anchor))
+    group = anchor[order].astype(np.int64) * 2 + home[order]
+    new = np.ones(len(group), bool)
+    new[1:] = group[1:] != group[:-1]
+    first = np.flatnonzero(new)
+    new[(np.arange(len(group)) - np.repeat(first, np.diff(first, append=len(group)))) % LIST == 0] = True
+    cuts = np.flatnonzero(new)
+    offsets = pa.py_buffer(np.append(cuts, len(group)).astype(np.int32) * 8)
+    lists = pa.BinaryArray.from_buffers(pa.binary(), len(cuts), [None, offsets, pa.py_buffer(prints[order].tobytes())])
+    sizes = np.diff(cuts, append=len(group)).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array((group[cuts] // 2).astype(np.int32)), pa.array(group[cuts] % 2 == 1), pa.array(sizes), lists], names=["anchor", "home", "n", "prints"])
 
 
 def _place(rows: int, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = anchors(rows)
         step = max(1, (1 << 20) // len(code))
+        kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
         for batch in batches:
             prints = batch.column(0).to_numpy().view(U)
             for at in range(0, len(prints), step):
@@ -130,34 +151,74 @@ def _place(rows: int, threshold: int):
                 home = far.argmin(axis=1)
                 least = far[np.arange(len(some)), home]
                 row, anchor = np.nonzero(far <= (least + threshold)[:, None])
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.astype(np.int32)), pa.array(home[row] == anchor), pa.array(some[row].view(np.int64))], names=["anchor", "home", "print"])
+                kept.append((anchor.astype(np.int32), home[row] == anchor, some[row]))
+                size += len(row)
+                if size >= GATHERED:
+                    yield _lists(*(np.concatenate(c) for c in zip(*kept)))
+                    kept, size = [], 0
+        if size:
+            yield _lists(*(np.concatenate(c) for c in zip(*kept)))
 
     return run
 
 
-def forest(left: np.ndarray, every: np.ndarray, threshold: int) -> list[tuple[int, int]]:
-    """Links (places in ``every``) that connect what is within ``threshold``; ``left``: places to compare with all."""
+def _joined(label: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Labels (the least place of each component) after the links p-q."""
+    while True:
+        least = np.minimum(label[p], label[q])
+        if (least == label[p]).all() and (least == label[q]).all():
+            return label
+        np.minimum.at(label, label[p], least)
+        np.minimum.at(label, label[q], least)
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def components(left: np.ndarray, every: np.ndarray, threshold: int) -> np.ndarray:
+    """The least place of the component of each of ``every`` (distinct), by links from the places in ``left``."""
     label = np.arange(len(every))
-    out = []
-    for at in range(0, len(left), 16):
-        some = left[at : at + 16]
-        near = np.bitwise_count(every[some][:, None] ^ every[None, :]) <= threshold
-        for row in np.flatnonzero(near.sum(axis=1) > 1).tolist():
-            parts = np.unique(label[near[row]])
-            for other in parts[1:].tolist():
-                label[label == other] = parts[0]
-                out.append((int(parts[0]), other))
-    return out
+    edges = [64 * k // (threshold + 1) for k in range(threshold + 2)]
+    parts = []
+    for low, high in zip(edges, edges[1:]):
+        key = every >> U(low) & U((1 << high - low) - 1)
+        order = np.argsort(key, kind="stable")
+        begin, end = (np.searchsorted(key[order], key[left], side) for side in ("left", "right"))
+        parts.append((order, begin, end - begin))
+    if 2 * sum(int(n.sum()) for _, _, n in parts) < len(left) * len(every):
+        for order, begin, n in parts:
+            ends = np.cumsum(n)
+            for i, j in _spans(ends, 1 << 20):
+                p = np.repeat(np.arange(i, j), n[i:j])
+                q = order[np.arange(len(p)) - np.repeat(ends[i:j] - n[i:j] - (ends[i - 1] if i else 0), n[i:j]) + np.repeat(begin[i:j], n[i:j])]
+                near = np.bitwise_count(every[left[p]] ^ every[q]) <= threshold
+                label = _joined(label, left[p[near]], q[near])
+    else:
+        step = max(1, (1 << 22) // max(1, len(every)))
+        for at in range(0, len(left), step):
+            p, q = np.nonzero(np.bitwise_count(every[left[at : at + step]][:, None] ^ every[None, :]) <= threshold)
+            label = _joined(label, left[at + p], q)
+    return label
+
+
+def _spans(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that make about ``most`` pairs together; ``ends``: running counts of pairs."""
+    i = 0
+    while i < len(ends):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + most, "right")))
+        yield i, j
+        i = j
 
 
 def _meet(threshold: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        side, prints = table["side"].to_numpy(), table["print"].to_numpy()
-        every, place = np.unique(prints, return_inverse=True)
-        links = np.array(forest(np.unique(place[side == 0]), every.view(U), threshold), np.int64).reshape(-1, 2)
-        return pa.table([pa.array(every[links[:, 0]]), pa.array(every[links[:, 1]])], schema=schema)
+        sides = [np.frombuffer(b"".join(table.filter(pc.equal(table["side"], s))["prints"].to_pylist()), np.int64) for s in (0, 1)]
+        every = np.unique(np.concatenate(sides))
+        left = np.searchsorted(every, np.unique(sides[0]))
+        label = components(left, every.view(U), threshold)
+        some = np.flatnonzero(label != np.arange(len(every)))
+        return pa.table([pa.array(every[label[some]]), pa.array(every[some])], schema=schema)
 
     return run
 
@@ -165,17 +226,18 @@ def _meet(threshold: int):
 def hamming_links(prints: DataFrame, threshold: int = 4) -> DataFrame:
     """(a, b): links that connect all pairs of distinct ``print`` (long) with at most ``threshold`` differing bits.
 
-    Every such pair is connected by returned links, each between two that are within the threshold or connected by others.
+    Every such pair is connected by returned links, and what they connect is connected by such pairs.
     """
     placed = prints.mapInArrow(_place(rows_for(prints.count()), threshold), _PLACED_DDL)
-    placed = written(placed, "anchored")
-    sizes = placed.groupBy("anchor").agg(F.count_if("home").alias("homes"), F.count("*").alias("all")).where("homes > 0 AND all > 1")
+    placed = written(placed.withColumn("row", F.monotonically_increasing_id()), "anchored")
+    sizes = placed.groupBy("anchor").agg(F.sum(F.when(F.col("home"), F.col("n"))).alias("homes"), F.sum("n").alias("all")).where("homes > 0 AND all > 1")
     sizes = sizes.select("anchor", F.ceil(F.col("homes") / BLOCK).alias("i_blocks"), F.ceil(F.col("all") / BLOCK).alias("j_blocks"))
     met = placed.join(F.broadcast(sizes), "anchor")  # at most one row of twenty bytes an anchor
-    at = F.xxhash64("print")
+    at = F.xxhash64("row")
     until = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
-    home = met.where("home").select("anchor", F.lit(0).alias("side"), "print", F.pmod(at, "i_blocks").alias("i"), F.explode(until(F.col("j_blocks"))).alias("j"))
-    guest = met.select("anchor", F.lit(1).alias("side"), "print", F.explode(until(F.col("i_blocks"))).alias("i"), F.pmod(at, "j_blocks").alias("j"))
+    home = met.where("home").select("anchor", F.lit(0).alias("side"), "prints", F.pmod(at, "i_blocks").alias("i"), F.explode(until(F.col("j_blocks"))).alias("j"))
+    there = met.where("NOT home OR i_blocks > 1 OR j_blocks > 1")  # in a single block those at home are there already
+    guest = there.select("anchor", F.lit(1).alias("side"), "prints", F.explode(until(F.col("i_blocks"))).alias("i"), F.pmod(at, "j_blocks").alias("j"))
     links = home.unionByName(guest).groupBy("anchor", "i", "j").applyInArrow(_meet(threshold), "a long, b long")
     out = written(links, "fingerprint-links")
     dropped(placed)

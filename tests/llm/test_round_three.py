@@ -154,6 +154,7 @@ def test_code():
 def test_hamming_links_in_blocks(spark, monkeypatch, threshold):
     """A dense ball of fingerprints, split over many blocks, beside scattered ones and pairs exactly at the threshold."""
     monkeypatch.setattr(simhash_dedup, "BLOCK", 16)
+    monkeypatch.setattr(simhash_dedup, "LIST", 4)
     rng = random.Random(5)
     flip = lambda x, n: x ^ sum(1 << b for b in rng.sample(range(64), n))
     centre = rng.getrandbits(64)
@@ -176,6 +177,17 @@ def test_hamming_links_in_blocks(spark, monkeypatch, threshold):
     assert same([find(k) for k in range(len(prints))]) == same(plain_components(prints, threshold))
 
 
+@pytest.mark.parametrize("threshold", [0, 1, 4])
+@pytest.mark.parametrize("spread", [6, 64])
+def test_components_of_a_block(threshold, spread):
+    rng = random.Random(threshold + spread)
+    bits = [rng.randrange(64) for _ in range(spread)]
+    every = sorted({sum(1 << b for b in rng.sample(bits, rng.randrange(len(bits) // 2))) for _ in range(300)} | {1 << b for b in range(64)})
+    label = simhash_dedup.components(np.arange(len(every)), np.array(every, np.uint64), threshold)
+    want = plain_components(every, threshold)
+    assert len(set(zip(label.tolist(), want))) == len(set(want)) == len(set(label.tolist()))
+
+
 # --- runs
 
 
