@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.refs import expanded
 from ..functions.script import strip
 from .align import first_difference
+from .schemas import against_schema, schema_errors  # noqa: F401
 from .segment import lines
 
 
@@ -83,90 +84,6 @@ def schema_rules(kind: str) -> list[Rule]:
     return [*head, Rule("passages", "error", c("passages").isNull(), "$.passages: required")]
 
 
-_KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
-
-
-def _is(value: object, kind: str) -> bool:
-    if kind in ("integer", "number"):
-        whole = isinstance(value, int) or (isinstance(value, float) and (kind == "number" or value.is_integer()))
-        return whole and not isinstance(value, bool)
-    return isinstance(value, _KINDS[kind])
-
-
-def schema_errors(value: object, schema: dict, root: dict | None = None, path: tuple = ()) -> list[str]:
-    """Every breach of a JSON schema as ``path: message``, in the order of its keywords; the path of the whole is ``root``."""
-    root = schema if root is None else root
-    if "$ref" in schema:
-        target: dict = root
-        for step in schema["$ref"].removeprefix("#").strip("/").split("/"):
-            target = target[step] if step else target
-        return schema_errors(value, target, root, path)
-    out: list[str] = []
-    shown = json.dumps(value, ensure_ascii=False)
-
-    def breach(message: str) -> None:
-        out.append(f"{'.'.join(map(str, path)) or 'root'}: {message}")
-
-    kinds = schema.get("type")
-    if kinds is not None and not any(_is(value, k) for k in ([kinds] if isinstance(kinds, str) else kinds)):
-        breach(f"{shown} is not of type {kinds if isinstance(kinds, str) else ', '.join(kinds)}")
-    if "enum" in schema and value not in schema["enum"]:
-        breach(f"{shown} is not one of {json.dumps(schema['enum'], ensure_ascii=False)}")
-    if "const" in schema and value != schema["const"]:
-        breach(f"{shown} is not {json.dumps(schema['const'], ensure_ascii=False)}")
-    if isinstance(value, str):
-        if "pattern" in schema and not re.search(schema["pattern"], value):
-            breach(f"{shown} does not match {schema['pattern']}")
-        if len(value) < schema.get("minLength", 0):
-            breach(f"{shown} is too short")
-    if _is(value, "number"):
-        if "minimum" in schema and value < schema["minimum"]:
-            breach(f"{shown} is less than the minimum of {schema['minimum']}")
-        if "maximum" in schema and value > schema["maximum"]:
-            breach(f"{shown} is greater than the maximum of {schema['maximum']}")
-    if isinstance(value, list):
-        if len(value) < schema.get("minItems", 0):
-            breach(f"{shown} has too few items")
-        for k, x in enumerate(value if "items" in schema else ()):
-            out += schema_errors(x, schema["items"], root, (*path, k))
-    if isinstance(value, dict):
-        known = schema.get("properties", {})
-        for name in schema.get("required", ()):
-            if name not in value:
-                breach(f"'{name}' is a required property")
-        for name, x in value.items():
-            more = known.get(name, schema.get("additionalProperties", True))
-            if more is False:
-                breach(f"'{name}' is not allowed")
-            elif isinstance(more, dict):
-                out += schema_errors(x, more, root, (*path, name))
-    for part in schema.get("allOf", ()):
-        out += schema_errors(value, part, root, path)
-    for word, fits in (("anyOf", lambda n: n >= 1), ("oneOf", lambda n: n == 1)):
-        if word in schema and not fits(sum(not schema_errors(value, s, root, path) for s in schema[word])):
-            breach(f"{shown} fits {'none' if word == 'anyOf' else 'not one'} of the given schemas")
-    return out
-
-
-def against_schema(documents: Column, schema: dict) -> Column:
-    """Array of ``path: message`` for JSON texts; empty for valid ones, one entry for what is no JSON, null for null."""
-
-    @F.pandas_udf("array<string>")
-    def check(texts: pd.Series) -> pd.Series:
-        def one(text: str | None) -> list[str] | None:
-            if text is None:
-                return None
-            try:
-                value = json.loads(text)
-            except ValueError:
-                return ["root: not valid JSON"]
-            return schema_errors(value, schema)
-
-        return texts.map(one)
-
-    return check(documents)
-
-
 def repeated(df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, n): keys that stand more than once."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
