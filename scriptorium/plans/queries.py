@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markup, refs, script
 from ..operators import align, chunk, fingerprint, link, render, rollup, rules, segment
-from . import model, operator_queries
+from . import feature_queries, model, operator_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -269,7 +269,7 @@ def q38_first_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every registered query of the structured-text engine."""
-    return {k: f for k, f in globals().items() if k.startswith("q") and k[1:3].isdigit()} | operator_queries.queries()
+    return {k: f for k, f in globals().items() if k.startswith("q") and k[1:3].isdigit()} | operator_queries.queries() | feature_queries.queries()
 
 
 _WORDS = "regexp_extract_all(text, '[A-Za-z\\x{00C0}-\\x{00FF}]+')"
@@ -382,4 +382,4 @@ ORACLES = {
     "q37_prompts": "SELECT n_nationkey, 'Convert ' || n_name || ' in region ' || n_regionkey || '.' AS prompt FROM nation",
     "q38_first_difference": "SELECT item_id, text = left(text, 5) || '#' || substring(text, 7) AS same, CASE WHEN substring(text, 6, 1) <> '#' THEN CAST(6 AS BIGINT) END AS first_difference FROM benchmark",
 }
-ORACLES |= operator_queries.ORACLES
+ORACLES |= operator_queries.ORACLES | feature_queries.ORACLES
