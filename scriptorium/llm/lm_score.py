@@ -12,6 +12,12 @@ next round starts from the average.  Every document takes part in each round, wi
 word as a target, each round with others, so that ``stride`` rounds make a target of every word, and the
 evidence grows with the corpus while no text leaves its task.
 
+Scores are exact in the following sense: weights and hidden values are rounded to a millionth of the largest, so both matrix products add
+whole numbers below 2^53, which float64 holds without rounding in whatever order a library adds them; what remains is done element by
+element or along one row.  A word's logarithm is then a whole number of 2^-32, and sums of these are exact.  So equal texts score equally in any
+batch, beside any others.  Training is not: tasks train on their own documents, so other partitions give other weights, and scores
+that differ in the second or third digit.
+
 Scale.  Shuffled are partial word counts, the distinct words of each document (as hashes, to meet their
 counts, which stay a table) and, for each task and round, one number for each
 parameter (about 8,400), summed before and after the shuffle; the driver gets the averages and the
@@ -38,6 +44,8 @@ SIDE, EMBED, HIDDEN, BATCH = 2, 16, 32, 8192
 PIECE = 1 << 20
 #: Logarithms of words' shares are summed in such parts, so that equal texts get equal sums in any order.
 FINE = float(1 << 32)
+#: Steps on either side of zero for weights and hidden values: 64 products of two such numbers stay below 2^53.
+STEPS = 1 << 20
 SHAPES = ((CLASSES, EMBED), (2 * SIDE * EMBED, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,))
 SIZES = [int(np.prod(s)) for s in SHAPES]
 
@@ -78,6 +86,31 @@ def forward(params: list[np.ndarray], around: np.ndarray) -> tuple[np.ndarray, n
     return x, h, z
 
 
+class Rounded:
+    """The network with weights in whole steps, for scores that do not depend on the order of additions."""
+
+    def __init__(self, params: list[np.ndarray]):
+        embed, w1, self.b1, w2, self.b2 = (np.asarray(p, np.float32) for p in params)
+        (self.embed, e), (self.w1, s1), (self.w2, s2) = map(self._steps, (embed, w1, w2))
+        self.inner, self.outer = e * s1, s2 / STEPS
+
+    @staticmethod
+    def _steps(w: np.ndarray) -> tuple[np.ndarray, float]:
+        size = float(np.abs(w).max(initial=0)) / STEPS or 1.0
+        return np.rint(w.astype(np.float64) / size), size
+
+    def logp(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """The logarithm of each target's probability, in whole numbers of 1 / FINE."""
+        x = self.embed[around].reshape(len(around), -1)
+        h = np.tanh(((x @ self.w1) * self.inner).astype(np.float32) + self.b1)
+        z = (np.rint(h.astype(np.float64) * STEPS) @ self.w2 * self.outer).astype(np.float32)
+        z += self.b2
+        np.clip(z, -40, 40, out=z)
+        wanted = z[np.arange(len(z)), target].astype(np.float64)
+        np.exp(z, out=z)
+        return np.rint((wanted - np.log(z.sum(axis=1).astype(np.float64))) * FINE).astype(np.int64)
+
+
 class Adam:
     def __init__(self, p: np.ndarray, rate: float):
         self.p, self.rate, self.m, self.v, self.t = p, rate, np.zeros_like(p), np.zeros_like(p), 0
@@ -179,25 +212,23 @@ def _train(p: np.ndarray, vocabulary: np.ndarray, stride: int, rate: float, turn
     return run
 
 
-_OUT_DDL = "id long, n_words long, class_logp double, words array<long>, counts array<int>"
+_OUT_DDL = "id long, n_words long, class_logp long, words array<long>, counts array<int>"
 
 
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, vocabulary = model.value
-        params = unpacked(p)
+        network = Rounded(unpacked(p))
         for batch in batches:
             buf, offsets = K.buffers(batch.column(1))
             for i, j in K.pieces(offsets, PIECE):
                 at = offsets[i : j + 1]
                 classes, first, hashes = hashed_classes(buf[at[0] : at[-1]], at - at[0], vocabulary)
                 around, target = contexts(classes, first)
-                logp = np.empty(len(target) + 1)
-                logp[0] = 0
+                total = np.zeros(len(target) + 1, np.int64)
                 for k in range(0, len(target), BATCH):
-                    z = forward(params, around[k : k + BATCH])[2]
-                    logp[k + 1 : k + 1 + len(z)] = np.log(z[np.arange(len(z)), target[k : k + BATCH]])
-                total = np.cumsum(logp)
+                    total[k + 1 : k + 1 + BATCH] = network.logp(around[k : k + BATCH], target[k : k + BATCH])
+                np.cumsum(total, out=total)
                 # the distinct words of each row that share a class
                 shared = np.flatnonzero(classes > OWN)
                 rows = np.repeat(np.arange(j - i), np.diff(first))[shared]
@@ -255,7 +286,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     sizes = shared.groupBy("class").agg(F.sum("n").alias("all"))  # at most SHARED rows
     share = shared.join(F.broadcast(sizes), "class").select("word", F.round(F.log(F.col("n") / F.col("all")) * FINE).cast("long").alias("logp"))
     each = scored.select("row", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.counts").alias("k"))
-    within = each.join(share, "word").groupBy("row").agg((F.sum(F.col("k") * F.col("logp")) / FINE).alias("word_logp"))
+    within = each.join(share, "word").groupBy("row").agg(F.sum(F.col("k") * F.col("logp")).alias("word_logp"))
     out = scored.select("row", "id", "n_words", "class_logp").join(within, "row", "left")
-    out = out.withColumn("sum_logp", F.col("class_logp") + F.coalesce("word_logp", F.lit(0.0)))
+    out = out.withColumn("sum_logp", (F.col("class_logp") + F.coalesce("word_logp", F.lit(0).cast("long"))) / FINE)
     return out.select(F.col("id").alias(id_col), "n_words", "sum_logp", F.when(F.col("n_words") > 0, F.col("sum_logp") / F.col("n_words")).otherwise(0.0).alias("score"))

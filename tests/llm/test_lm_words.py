@@ -71,3 +71,41 @@ def test_natural_order_scores_above_shuffled(spark):
         rows += [(1000 + k, " ".join(w)), (2000 + k, " ".join(mixed))]
     got = {r["doc_id"]: r["score"] for r in lm_score.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert sum(got[a] > got[b] for a, b in pairs) >= 38
+
+
+def test_scores_do_not_depend_on_batches():
+    """One text among others of all sizes, in batches of all sizes, and under batches that BLAS cuts elsewhere: equal to the last bit."""
+    rng = random.Random(15)
+    params = lm_score.initial() * np.float32(3)
+    one = " ".join(f"w{rng.randrange(50)}{rng.choice('abc')}" for _ in range(137)).encode()
+    others = [" ".join(f"w{rng.randrange(90)}" for _ in range(rng.randrange(1, 400))).encode() for _ in range(60)]
+
+    class Model:
+        value = (params, np.sort(np.array([5, 9], np.uint64)))
+
+    found = set()
+    for k in range(40):
+        texts = rng.sample(others, rng.randrange(len(others)))
+        texts.insert(rng.randrange(len(texts) + 1), one)
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+        sizes = lm_score.BATCH
+        lm_score.BATCH = rng.choice([7, 64, 1000, sizes])
+        try:
+            rows = [r for out in lm_score._score(Model)(iter([batch])) for r in out.to_pylist()]
+        finally:
+            lm_score.BATCH = sizes
+        found.add(rows[texts.index(one)]["class_logp"])
+    assert len(found) == 1
+
+
+def test_network_against_a_plain_loop():
+    rng = np.random.default_rng(16)
+    params = [p.astype(np.float64) for p in lm_score.unpacked(lm_score.initial() * np.float32(2))]
+    embed, w1, b1, w2, b2 = params
+    around, target = rng.integers(0, lm_score.CLASSES, (30, 4)), rng.integers(0, lm_score.CLASSES, 30)
+    got = lm_score.Rounded(lm_score.unpacked(lm_score.initial() * np.float32(2))).logp(around, target) / lm_score.FINE
+    for i in range(30):
+        x = [v for c in around[i].tolist() for v in embed[c].tolist()]
+        h = [math.tanh(sum(x[k] * w1[k][j] for k in range(len(x))) + b1[j]) for j in range(len(b1))]
+        z = [sum(h[k] * w2[k][j] for k in range(len(h))) + b2[j] for j in range(len(b2))]
+        assert abs(z[target[i]] - math.log(sum(map(math.exp, z))) - got[i]) < 1e-4
