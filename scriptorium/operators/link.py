@@ -8,9 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.refs import expanded, ref_key
+from ..functions.refs import expanded
 from .align import Nearest, similarity
-
+from .ranges import containing  # noqa: F401
 
 
 def lookup(passages: DataFrame, ref: str, key: str = "doc_id") -> DataFrame:
@@ -50,18 +50,6 @@ def uncovered(commentaries: DataFrame, passages: DataFrame, key: str = "doc_id")
     return members.join(passages.select(key, F.col("ref").alias("member")).distinct(), [key, "member"], "left_anti").select(key, "ref", "member")
 
 
-def containing(points: DataFrame, ranges: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Points (key, ref) with the ranges (key, start, end) they lie in.
-
-    Equality on document and first part of the reference carries the join; the order of the full keys
-    is a filter on top, so no pair of a document's points and ranges with another first part is made.
-    """
-    p = points.withColumn("_k", ref_key(F.col("ref"))).withColumn("_top", F.get("_k", F.lit(0)))
-    r = ranges.withColumn("_a", ref_key(F.col("start"))).withColumn("_b", ref_key(F.col("end")))
-    r = r.withColumn("_top", F.explode(F.sequence(F.get("_a", F.lit(0)), F.get("_b", F.lit(0)))))
-    return p.join(r, [key, "_top"]).where(F.col("_k").between(F.col("_a"), F.col("_b"))).drop("_k", "_a", "_b", "_top")
-
-
 def reference_gaps(used: DataFrame, declared: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, problem): used but "undeclared", and declared but "unused"."""
     a, b = used.select(*keys).distinct(), declared.select(*keys).distinct()
