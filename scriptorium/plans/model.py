@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 import time
+import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
 import pandas as pd
@@ -30,10 +33,12 @@ class NoClient:
 
 
 def with_retry(call: Callable[[], str], attempts: int = 3, first_delay: float = 2.0, sleep: Callable[[float], None] = time.sleep) -> str:
-    """``call``'s answer; failures are repeated, each after twice the delay; the last one is raised."""
+    """``call``'s answer; failures are repeated, each after twice the delay; the last one is raised, and a quota's at once."""
     for n in range(attempts):
         try:
             return call()
+        except QuotaExceeded:
+            raise
         except Exception:
             if n + 1 == attempts:
                 raise
@@ -41,26 +46,79 @@ def with_retry(call: Callable[[], str], attempts: int = 3, first_delay: float =
     raise ValueError("attempts count from 1")
 
 
-def generated(prompts: DataFrame, client: Client, keys: list[str], prompt: str = "prompt", attempts: int = 3, first_delay: float = 2.0) -> DataFrame:
-    """(keys, response, error): the model's answer to each prompt; an empty answer or a failure is an error."""
+class QuotaExceeded(Exception):
+    """Raised by a client when further calls are pointless."""
+
+
+def _answers(prompts: list[str | None], client: Client, attempts: int, first_delay: float, concurrent: int, stopped: threading.Event) -> list[tuple[str | None, str | None]]:
+    """(answer, error) of each prompt, ``concurrent`` at a time; none is asked any more once one has met a quota."""
+
+    def one(prompt: str | None) -> tuple[str | None, str | None]:
+        if prompt is None:
+            return None, "no prompt"
+        if stopped.is_set():
+            return None, NOT_ASKED
+        try:
+            answer = with_retry(lambda: client.generate(prompt), attempts, first_delay)
+            return answer or None, None if answer else "empty answer"
+        except QuotaExceeded as e:
+            stopped.set()
+            return None, f"QuotaExceeded: {e}"
+        except Exception as e:  # one failure is one row's, not the job's
+            return None, f"{type(e).__name__}: {e}"
+
+    if concurrent == 1:
+        return [one(p) for p in prompts]
+    with ThreadPoolExecutor(concurrent) as pool:
+        return list(pool.map(one, prompts))
+
+
+#: The error of prompts that a quota left unasked.
+NOT_ASKED = "not asked: the quota is used up"
+
+
+def generated(prompts: DataFrame, client: Client, keys: list[str], prompt: str = "prompt", attempts: int = 3, first_delay: float = 2.0, concurrent: int = 1) -> DataFrame:
+    """(keys, response, error): the model's answer to each prompt; an empty answer or a failure is an error.
+
+    Each task asks ``concurrent`` prompts at a time.  A client that raises ``QuotaExceeded`` is not tried again, and the task's
+    further prompts are not asked (``NOT_ASKED``).
+    """
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompts.select(*keys).schema) + ", response string, error string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        stopped = threading.Event()
         for batch in batches:
-            answers, errors = [], []
-            for p in batch[prompt]:
-                try:
-                    answer = with_retry(lambda p=p: client.generate(p), attempts, first_delay)
-                    answers.append(answer or None)
-                    errors.append(None if answer else "empty answer")
-                except Exception as e:  # one failure is one row's, not the job's
-                    answers.append(None)
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield batch[keys].assign(response=answers, error=errors)
+            found = _answers([None if p is None or p != p else p for p in batch[prompt]], client, attempts, first_delay, concurrent, stopped)
+            yield batch[keys].assign(response=[a for a, _ in found], error=[e for _, e in found])
 
     return prompts.select(*keys, prompt).mapInPandas(run, schema)
 
 
+def answered(prompts: DataFrame, client: Client, keys: list[str], path: str, rounds: int = 8, prompt: str = "prompt", attempts: int = 3, first_delay: float = 2.0, concurrent: int = 4) -> DataFrame:
+    """(keys, response): answers that are recorded at ``path``, after asking for those that are not.
+
+    Prompts are dealt into ``rounds`` by a hash of their keys.  A round asks for what has no recorded answer, and its answers are committed
+    before the next begins, so a job that dies asks again only what its last round had not committed: calls of committed rounds are never made
+    twice, and a task that dies repeats its own part of one round.  Take more rounds to lose less.  After a round that met a quota no
+    further one begins; the next call of this function goes on where this one ended.  Failures are recorded beside the answers, and asked again by
+    the next call.  Keys must not be null.
+    """
+    spark = prompts.sparkSession
+    types = prompts.select(*keys).schema
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in types) + ", response string, error string"
+    recorded = f"{path.rstrip('/')}/answers"
+    spark.createDataFrame([], schema).write.mode("append").parquet(f"{recorded}/round=start")
+    answers = lambda: spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(recorded).where("response IS NOT NULL")
+    turn = F.pmod(F.xxhash64(*keys), F.lit(rounds))
+    for n in range(rounds):
+        todo = prompts.where(turn == n).join(answers().select(*keys), keys, "left_anti")
+        here = f"{recorded}/round={uuid.uuid4().hex}"
+        generated(todo, client, keys, prompt, attempts, first_delay, concurrent).write.parquet(here)
+        if not spark.read.schema(schema).parquet(here).where(F.col("error").startswith("QuotaExceeded")).isEmpty():
+            break
+    return answers().dropDuplicates(keys).select(*keys, "response")
+
+
 #: Hours after which an upload is checked, and is gone.
 CHECK_AFTER, GONE_AFTER = 46.0, 48.0
 
