@@ -5,7 +5,9 @@ the ratio of its text to its tags.  The ratios are smoothed with a Gaussian over
 headings and short paragraphs gain from the text around them and long lines among menus lose.  A line's
 score is the logarithm of its smoothed ratio, times the share of its text outside links (a tenth at least), times a prior
 from names of tags and classes (a menu, a notice or a reader comment counts a twentieth or a tenth); a
-two-means threshold clusters the scores into content and other lines.
+two-means threshold clusters the scores into content and other lines.  A name counts as a whole word or a compound of such
+words; a name that covers nearly all of a page's text says nothing about it, and within an article a long text without links
+outweighs the weaker names.
 
 Regions.  The content region is the smallest block that holds all lines of the content cluster, or the
 article, main part or block named as content around it.  All its lines stay, short ones and lists of links too, but for those
@@ -34,17 +36,50 @@ BLOCKS = frozenset(
 #: Elements that may stand in a head; any other ends it.
 IN_HEAD = frozenset("html head title base link meta style script noscript template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Class, id and role words of furniture.
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advert(?:isement|ising)|sponsor(?:ed)?|banner|promo(?:tion)?s?|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay"
-    r"|side ?bar|sidebar|aside|widget|comments?|commentlist|respond|disqus|replies|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|footer"
-    r"|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|signup|login|search|skip|toolbar|contentinfo|complementary)(?:$|[\s_-]|s$)"
+#: Names of furniture, in classes, identifiers and roles.  Those of the first kind stand for what is never content; a long text without links
+#: outweighs one of the second kind within an article.
+HARD = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored banner promo promos promotion promotions cookie cookies consent gdpr notice notices alert popup modal overlay"
+    " sidebar aside comment comments commentlist respond disqus replies reply nav navbar navigation menu breadcrumb breadcrumbs pagination pager footer newsletter subscribe"
+    " contentinfo complementary".split()
 )
+SOFT = frozenset("widget share sharing social related recommend recommended recommendations signup login search skip toolbar".split())
 #: Those of page headers; an article's own header is content.
-HEADERS = re.compile(r"(?:^|[\s_-])(?:masthead|header|topbar)(?:$|[\s_-])")
+HEADERS = frozenset("masthead header topbar".split())
 #: Those that also count on elements within a line, whose text is then a line of its own.
-ADVERTS = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advert(?:isement|ising)|sponsor(?:ed)?|promo(?:tion)?s?)(?:$|[\s_-])")
-COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|respond|disqus|replies|reply)(?:$|[\s_-])")
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promos promotion promotions".split())
+COMMENTS = frozenset("comment comments commentlist respond disqus replies reply".split())
+#: Within these an article is what they are: a reader's comment, a teaser.
+HOLDING = COMMENTS | ADVERTS | frozenset("sidebar aside nav navbar navigation menu footer complementary contentinfo".split())
+#: What a name of furniture may be joined with: cookie-notice, site-footer, ad_slot_3.  Any other word makes it another name: search-algorithms, menu-costs.
+WITH = frozenset(
+    "site page top bottom left right primary secondary global section list box block bar container wrapper wrap area panel item items link links inner outer text form policy button buttons"
+    " slot unit group main header head body title author meta content post posts article articles news entry side wide mobile desktop sticky fixed floating small large icons icon count thread tree reader readers user".split()
+)
+#: A name that begins with one of these says how something else is laid out: has-sidebar, no-comments.
+LAYOUT = frozenset("has no with without is not hide show have".split())
+#: A text of so many characters without links, in a block of the second kind within an article, is content.
+LONG_TEXT = 140
+
+
+def furniture(words: str) -> frozenset[str]:
+    """Names of furniture among the words of classes, identifiers and roles.
+
+    A word counts as a whole ("sidebar", "side-bar") or as a compound of nothing but such names and words of ``WITH``, if it does not begin with one of ``LAYOUT``.
+    """
+    found = set()
+    for word in words.split():
+        whole = re.sub(r"[-_]", "", word).lower()
+        if whole in HARD or whole in SOFT or whole in HEADERS:
+            found.add(whole)
+            continue
+        parts = [p.lower() for p in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[^\W\d_A-Za-z]+", word)]
+        names = [p for p in parts if p in HARD or p in SOFT or p in HEADERS]
+        if names and parts[0] not in LAYOUT and all(p in WITH for p in parts if p not in names):
+            found.update(names)
+    return frozenset(found)
+
+
 #: Class, id, role and property words of content.
 CONTENT = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|content|story|main|maincontent)(?:$|[\s_-])")
 #: A new start tag of the first kind ends an open element of the second.
@@ -54,15 +89,17 @@ SIGMA = 1.0
 TAG_PRIOR, NAME_PRIOR, LEAST_PRIOR = 0.05, 0.1, 0.2
 #: Clusters whose centres (logarithms) are nearer than this are one.
 APART = 1.5
+#: The share of a page's text outside links that a block with a name of furniture cannot have.
+MOST_TEXT = 0.8
 
 
 class Line:
     """A block's text: its pieces, tags, characters in links, the block it stands in, its prior."""
 
-    __slots__ = ("parts", "tags", "linked", "node", "prior", "at")
+    __slots__ = ("parts", "tags", "linked", "node", "prior", "soft", "at")
 
-    def __init__(self, node: int, prior: float, at: int):
-        self.parts, self.tags, self.linked, self.node, self.prior, self.at = [], 0, 0, node, prior, at
+    def __init__(self, node: int, prior: float, soft: float, at: int):
+        self.parts, self.tags, self.linked, self.node, self.prior, self.soft, self.at = [], 0, 0, node, prior, soft, at
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
@@ -71,10 +108,12 @@ class Line:
 class Open:
     """An open element; what holds for it and all around it."""
 
-    __slots__ = ("tag", "node", "silent", "prior", "named", "resume")
+    __slots__ = ("tag", "node", "silent", "prior", "named", "resume", "holding", "soft")
 
-    def __init__(self, tag: str, node: int, silent: bool, prior: float, named: bool, resume: Line | None):
+    def __init__(self, tag: str, node: int, silent: bool, prior: float, named: bool, resume: Line | None, holding: bool, soft: float):
         self.tag, self.node, self.silent, self.prior, self.named, self.resume = tag, node, silent, prior, named, resume
+        #: Whether an article in it stays what it is; and the prior without names of the second kind, of use within an article.
+        self.holding, self.soft = holding, soft
 
 
 class LineParser(HTMLParser):
@@ -84,47 +123,49 @@ class LineParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.open: list[Open] = []
-        #: Blocks: tag, block around it (a smaller number), prior, whether named as content.
-        self.blocks: list[tuple[str, int, float, bool]] = [("html", -1, 1.0, False)]
+        #: Blocks: tag, block around it (a smaller number), prior, whether named as content, whether a name of furniture may be taken back.
+        self.blocks: list[tuple[str, int, float, bool, bool]] = [("html", -1, 1.0, False, False)]
         self.depth = {"p": 0, "a": 0, "head": 0, "article": 0, "main": 0}
-        self.line = Line(0, 1.0, 0)
+        self.line = Line(0, 1.0, 1.0, 0)
         self.made = 0
 
     def _fresh(self) -> None:
         top = self.open[-1] if self.open else None
         self.made += 1
-        self.line = Line(top.node if top else 0, top.prior if top else 1.0, self.made)
+        self.line = Line(top.node if top else 0, top.prior if top else 1.0, top.soft if top else 1.0, self.made)
 
     def _break(self) -> None:
         if self.line.parts and not "".join(self.line.parts).isspace():
             self.lines.append(self.line)
         self._fresh()
 
-    def _prior(self, tag: str, attrs: list[tuple[str, str | None]], block: bool) -> tuple[float, bool]:
-        """(prior of an element's text, whether it is named as content)."""
+    def _prior(self, tag: str, attrs: list[tuple[str, str | None]], block: bool) -> tuple[float, bool, frozenset[str]]:
+        """(prior of an element's text, whether it is named as content, its names of furniture)."""
         around = self.open[-1].prior if self.open else 1.0
         words, hidden = "", False
         for name, value in attrs:
             if name in ("class", "id", "role", "itemprop") and value:
-                words += f" {value.lower()}"
+                words += f" {value}"
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and re.search(r"display\s*:\s*none", value)):
                 hidden = True
+        names = furniture(words) if words else frozenset()
         if hidden:
-            return around * TAG_PRIOR, False
+            return around * TAG_PRIOR, False, HOLDING
         if tag in ("html", "body"):
-            return around, False
+            return around, False, frozenset()
         inside = self.depth["article"] or self.depth["main"]
-        good = tag in ("article", "main") or bool(words and block and CONTENT.search(words))
-        if tag in ("article", "main") and not COMMENTS.search(words):
-            in_tag = any(o.tag in FURNITURE - {"form"} for o in self.open)
-            return (around if in_tag else max(around, 0.5)), True
+        good = tag in ("article", "main") or bool(words and block and CONTENT.search(words.lower()))
+        if tag in ("article", "main") and not names & COMMENTS:
+            held = any(o.tag in FURNITURE - {"form"} or o.holding for o in self.open)
+            return (around if held else max(around, 0.5)), not held, frozenset()
         if tag in FURNITURE or (tag == "header" and not inside):
-            return around * TAG_PRIOR, False
-        if words and (block and (MARKS.search(words) or (not inside and HEADERS.search(words))) or not block and ADVERTS.search(words)):
-            if good and not COMMENTS.search(words):
-                return around * 0.5, True
-            return around * NAME_PRIOR, False
-        return around, good
+            return around * TAG_PRIOR, False, names
+        names = names & ADVERTS if not block else names - HEADERS if inside else names
+        if names:
+            if good and not names & COMMENTS:
+                return around * 0.5, True, names
+            return around * NAME_PRIOR, False, names
+        return around, good, names
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.depth["head"] and tag not in IN_HEAD:
@@ -142,14 +183,19 @@ class LineParser(HTMLParser):
                 self._close("p", limit=BLOCKS - {"p"})
             for old in CLOSES.get(tag, ()):
                 self._close(old, limit={"ul", "ol", "dl", "table", "select"})
-        prior, named = self._prior(tag, attrs, block)
+        prior, named, names = self._prior(tag, attrs, block)
         top = self.open[-1] if self.open else None
+        around = top.prior if top else 1.0
+        soft = prior if named or not (names and names <= SOFT and (self.depth["article"] or self.depth["main"])) else around
+        if top and soft == prior and prior == around:
+            soft = top.soft  # nothing new is said
         node, silent = (top.node, top.silent) if top else (0, False)
         if block:
-            self.blocks.append((tag, node, prior, named))
+            self.blocks.append((tag, node, prior, named, prior < around and bool(names) and tag not in FURNITURE and not names & COMMENTS))
             node = len(self.blocks) - 1
         resume = self.line if not block and prior < (top.prior if top else 1.0) else None
-        self.open.append(Open(tag, node, silent or tag in SILENT, prior, named, resume))
+        holding = (top.holding if top else False) or bool(names & HOLDING) and not named
+        self.open.append(Open(tag, node, silent or tag in SILENT, prior, named, resume, holding, soft))
         if tag in self.depth:
             self.depth[tag] += 1
         if block:
@@ -207,7 +253,11 @@ class LineParser(HTMLParser):
         while self.open:
             self._close(self.open[-1].tag)
         self._break()
-        return sorted(((x, t) for x in self.lines if (t := x.text())), key=lambda x: x[0].at)
+        out = sorted(((x, t) for x in self.lines if (t := x.text())), key=lambda x: x[0].at)
+        for x, t in out:
+            if not x.linked and len(t) >= LONG_TEXT:
+                x.prior = x.soft
+        return out
 
 
 def smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
@@ -248,7 +298,30 @@ def content_lines(lines: list[tuple[Line, str]]) -> list[bool]:
     return [s >= cut for s in scores]
 
 
-def region_lines(blocks: list[tuple[str, int, float, bool]], lines: list[tuple[Line, str]], content: list[bool]) -> list[str]:
+def lift_names(blocks: list[tuple[str, int, float, bool, bool]], lines: list[tuple[Line, str]]) -> None:
+    """Take back the name of a block that has nearly all of the text outside links, where nothing is named as content.
+
+    Comments, and what its tag says is furniture, stay what they are.
+    """
+    if any(named for _, _, _, named, _ in blocks):
+        return
+    mass = [0] * len(blocks)
+    for x, t in lines:
+        mass[x.node] += max(0, len(t) - x.linked)
+    for k in range(len(blocks) - 1, 0, -1):
+        mass[blocks[k][1]] += mass[k]
+    chain = {0: 1.0}  # blocks, and what their priors are to be divided by
+    for k, (_, up, prior, _, may) in enumerate(blocks[1:], 1):
+        taken = may and mass[k] >= MOST_TEXT * mass[0]
+        chain[k] = chain[up] * (prior / blocks[up][2] if taken else 1.0)
+    if all(v == 1.0 for v in chain.values()):
+        return
+    for x, _ in lines:
+        factor = chain[x.node]
+        x.prior, x.soft = min(1.0, x.prior / factor), min(1.0, x.soft / factor)
+
+
+def region_lines(blocks: list[tuple[str, int, float, bool, bool]], lines: list[tuple[Line, str]], content: list[bool]) -> list[str]:
     """The texts of the content region."""
     total = sum(content)
     held = [0] * len(blocks)
@@ -293,6 +366,7 @@ def main_text(html: str | None) -> str:
     lines = parser.finish()
     if not lines:
         return ""
+    lift_names(parser.blocks, lines)
     content = content_lines(lines)
     if max(x.prior for (x, _), c in zip(lines, content) if c) < LEAST_PRIOR:
         return ""  # nothing but furniture
