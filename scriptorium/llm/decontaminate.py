@@ -4,7 +4,8 @@ Pass 1 counts, over all documents, how many contain each word n-gram of the benc
 as seeds its n-grams of least document frequency (``SEED_SHARE`` of them; a rank within the item, not
 a cut-off, so an item that a third of all documents contain keeps seeds too).  Pass 2 joins passages
 to items by seed, aligns the words around the seeds with the item (local alignment: match +2,
-mismatch and gap -1), and returns pairs whose score reaches ``threshold`` of the item's own.
+mismatch and gap -1), and returns pairs whose score reaches ``threshold`` of the item's own.  A passage with too few of the
+item's words for that is not aligned, so an opening that many items share costs one look at words for each, and no alignment.
 
 Scale.  The benchmark is a stated query set: it goes to the tasks in blocks of ``block_words`` words, so
 what is broadcast is bounded, and every block is searched in all documents.  Both passes are maps over
@@ -153,6 +154,8 @@ def _align(items, threshold: float):
                         else:
                             spans.append([a, b])
                     for a, b in spans:
+                        if 2 * int(np.isin(words, h[a:b]).sum()) < threshold * 2 * n:
+                            continue  # no alignment has more matches than the passage has of the item's words
                         score, stop = smith_waterman(words, h[a:b])
                         if score > best:
                             best, end = score, a - lo + stop
