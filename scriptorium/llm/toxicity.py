@@ -268,10 +268,13 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     known = labels.where(~_held_out("doc_id")).where("toxic IN (0, 1)").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most")
     known = written(known.orderBy(F.xxhash64("id"), "id").limit(max_sample).select("id", "toxic"), "labelled")
     rows = documents.select(F.col(id_col).cast("long").alias("id"), row_key(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sample = rows.join(F.broadcast(known), "id")  # at most max_sample rows of two numbers
-    # copies teach once
-    first = Window.partitionBy(F.xxhash64("text")).orderBy("id", "key")
-    sample = sample.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth")
+    # which rows teach: copies once, and no more than max_sample, also where one identifier has many texts
+    matched = rows.join(F.broadcast(known), "id").select("id", "toxic", "key", F.xxhash64("text").alias("copy"))  # known: at most max_sample rows of two numbers
+    first = Window.partitionBy("copy").orderBy("id", "key")
+    matched = matched.withColumn("nth", F.row_number().over(first)).where("nth = 1").orderBy(F.xxhash64("key"), "key").limit(max_sample)
+    chosen = written(matched.select("key", "toxic"), "teaching")
+    sample = rows.join(F.broadcast(chosen), "key")  # again at most max_sample rows of two numbers
+    sample = sample.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where("nth = 1").drop("nth")
     sample = written(sample.withColumn("fold", F.pmod(F.xxhash64("text", F.lit(3)), F.lit(FOLDS)).cast("int")), "labelled-texts")
     signs, by_fold = learn_signs(sample, max_features)
     columns = ["id", "key", "text", "fold"]

@@ -42,3 +42,24 @@ def test_folds_do_not_know_their_own_words(spark):
     assert "schmurzel" not in by_fold[0].words and all("schmurzel" in s.words for s in by_fold[1:])
     votes, *_ = toxicity._measure("schmurzel " * 5, by_fold[0])
     assert np.max(votes) <= 0
+
+
+def test_many_texts_of_one_identifier_stay_within_the_sample(spark):
+    """``max_sample`` bounds texts, not identifiers: the labelled identifier has hundreds of texts."""
+    docs = [(k, f"plain text number {k}") for k in range(1, 40)] + [(1, f"another text of the first identifier {k}") for k in range(400)] + [(1, "repeated row")] * 5
+    labels = spark.createDataFrame([(k, 0) for k in range(1, 40)], "doc_id long, toxic int")
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    sizes = []
+    real = toxicity.learn_signs
+
+    def seen(sample, most):
+        sizes.append((sample.count(), sample.select("key").distinct().count()))
+        return real(sample, most)
+
+    toxicity.learn_signs = seen
+    try:
+        got = toxicity.score_toxicity(df, labels, max_sample=50)
+        assert got.count() == len(docs)
+    finally:
+        toxicity.learn_signs = real
+    assert sizes == [(50, 50)]
