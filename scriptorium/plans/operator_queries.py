@@ -334,8 +334,8 @@ def q69_transliterated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q70_best_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each part brand with the most similar nation name, by string identifiers."""
-    left = _t(spark, sf_dir, "nation").select(F.lit(1).alias("dir"), F.concat(F.col("n_name"), F.lit(".md")).alias("id"), F.col("n_name").alias("text"))
+    """Each nation's name with the most similar of its region's names that end in one letter more, by string identifiers."""
+    left = _t(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("dir"), F.concat(F.col("n_name"), F.lit(".md")).alias("id"), F.col("n_name").alias("text"))
     right = left.select("dir", F.concat(F.col("text"), F.lit("x.txt")).alias("id"), F.concat(F.col("text"), F.lit("x")).alias("text"))
     return link.best_match(left, right, ["dir"])
 
