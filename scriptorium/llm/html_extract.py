@@ -17,6 +17,7 @@ in several of its blocks keeps the blocks with content, and the lines between th
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from html.parser import HTMLParser
@@ -62,6 +63,7 @@ LAYOUT = frozenset("has no with without is not hide show have".split())
 LONG_TEXT = 140
 
 
+@functools.lru_cache(4096)
 def furniture(words: str) -> frozenset[str]:
     """Names of furniture among the words of classes, identifiers and roles.
 
@@ -303,7 +305,7 @@ def lift_names(blocks: list[tuple[str, int, float, bool, bool]], lines: list[tup
 
     Comments, and what its tag says is furniture, stay what they are.
     """
-    if any(named for _, _, _, named, _ in blocks):
+    if not any(may for *_, may in blocks) or any(named for _, _, _, named, _ in blocks):
         return
     mass = [0] * len(blocks)
     for x, t in lines:
