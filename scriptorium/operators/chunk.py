@@ -20,22 +20,22 @@ def split_at(text: Column, cuts: Column, most: int = MOST) -> Column:
     positions the text is one chunk.
     """
     last = F.size(cuts) - 1
-    numbered = F.transform(cuts, lambda p, i: F.struct(p.alias("p"), i.alias("i")))
-    zero = F.struct(F.lit(0).cast("long").alias("start"), F.array().cast("array<string>").alias("out"))
+    numbered = F.transform(cuts, lambda p, i: F.struct(p.cast("long").alias("p"), i.alias("i")))
+    zero = F.struct(F.lit(0).cast("long").alias("start"), F.array().cast("array<long>").alias("ends"))
 
     def take(state: Column, cut: Column) -> Column:
-        piece = F.substring(text, (state["start"] + 1).cast("int"), (cut["p"] - state["start"]).cast("int"))
-        piece = F.when(F.size(state["out"]) == 0, piece).otherwise(strip(piece))
         full = (cut["p"] > state["start"]) & ((cut["p"] - state["start"] >= most) | (cut["i"] == last))
-        return F.when(full, F.struct(cut["p"].cast("long").alias("start"), F.concat(state["out"], F.array(piece)).alias("out"))).otherwise(state)
+        return F.when(full, F.struct(cut["p"].alias("start"), F.array_append(state["ends"], cut["p"]).alias("ends"))).otherwise(state)
 
-    chunks = F.aggregate(numbered, zero, take, lambda s: F.concat(s["out"], F.array(_tail(text, s))))
+    ends = F.array_append(F.aggregate(numbered, zero, take, lambda s: s["ends"]), F.length(text).cast("long"))
+    chunks = F.transform(_pieces(text, ends), lambda x, i: F.when(i == 0, x).otherwise(strip(x)))
     return F.filter(F.when(F.size(cuts) == 0, F.array(text)).otherwise(chunks), lambda x: strip(x) != "")
 
 
-def _tail(text: Column, state: Column) -> Column:
-    rest = F.substring(text, (state["start"] + 1).cast("int"), F.length(text))
-    return F.when(F.size(state["out"]) == 0, rest).otherwise(strip(rest))
+def _pieces(text: Column, ends: Column) -> Column:
+    """The text cut after each of ``ends``, numbers of characters in ascending order."""
+    spans = F.transform(ends, lambda e, i: F.struct(F.coalesce(F.get(ends, i - 1), F.lit(0)).cast("int").alias("a"), e.cast("int").alias("b")))
+    return F.transform(spans, lambda x: F.substring(text, x["a"] + 1, x["b"] - x["a"]))
 
 
 def boundary_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = MOST, preferred: str | None = None, patterns=None) -> DataFrame:  # noqa: ANN001
@@ -56,7 +56,7 @@ def plan_chunks(text: Column, plan: Column) -> Column:
     chunk after the last one; without the marker at the end.  Blank chunks are dropped.
     """
     one = F.size(plan) == 1
-    zero = F.struct(F.lit(1).alias("start"), F.array().cast("array<string>").alias("out"))
+    zero = F.struct(F.lit(1).alias("start"), F.array().cast("array<int>").alias("ends"))
 
     def take(state: Column, step: Column) -> Column:
         marker = step["end_marker"]
@@ -65,10 +65,10 @@ def plan_chunks(text: Column, plan: Column) -> Column:
         final = F.when(reversed_at > 0, F.length(text) - reversed_at - F.length(marker) + 2).otherwise(0)
         at = F.when(one, final).otherwise(first)
         end = F.when(at > 0, at + F.length(marker)).otherwise(F.length(text) + 1)
-        piece = F.substring(text, state["start"], end - state["start"])
-        return F.struct(end.alias("start"), F.concat(state["out"], F.array(piece)).alias("out"))
+        return F.struct(end.alias("start"), F.array_append(state["ends"], end - 1).alias("ends"))
 
-    return F.filter(F.aggregate(plan, zero, take, lambda s: s["out"]), lambda x: strip(x) != "")
+    ends = F.aggregate(plan, zero, take, lambda s: s["ends"])
+    return F.filter(_pieces(text, ends), lambda x: strip(x) != "")
 
 
 def should_chunk(text: Column, threshold: int = MOST) -> Column:

@@ -20,11 +20,11 @@ def lookup(passages: DataFrame, ref: str, key: str = "doc_id") -> DataFrame:
 
 
 def passages_of(passages: DataFrame, passage_type: str | None = None, scripts: tuple[str, ...] | None = None) -> DataFrame:
-    """Passages of one type, in the order of their references, with the wanted scripts."""
+    """Passages of one type with the wanted scripts; ``doc_id``, ``ref_key`` and ``block`` order them where they are written."""
     out = passages if passage_type is None else passages.where(F.col("passage_type") == passage_type)
     if scripts is not None:
         out = out.withColumn("content", F.map_filter("content", lambda k, _: k.isin(*scripts)))
-    return out.orderBy("doc_id", "ref_key", "block")
+    return out
 
 
 def last_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -34,9 +34,12 @@ def last_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def interleaved(passages: DataFrame, commentaries: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Each passage, then its commentaries in their declared order; commentaries without passage vanish."""
+    """Each passage with each of its commentaries; commentaries without passage vanish.
+
+    ``key``, ``ref_key``, ``block`` and ``comm_ord`` order the rows as they are read; whoever writes them sorts within documents.
+    """
     c = commentaries.select(key, "ref", "commentary_id", F.col("ord").alias("comm_ord"), F.col("content").alias("commentary"))
-    return passages.join(c, [key, "ref"], "left").orderBy(key, "ref_key", "block", "comm_ord")
+    return passages.join(c, [key, "ref"], "left")
 
 
 def routed(parts: DataFrame, keys: list[str], part: str = "part_num") -> DataFrame:
