@@ -9,6 +9,8 @@ all rows share is one entry for each group, never a row for each occurrence.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,8 +20,24 @@ from .kernels import U
 from .shared import groups_for, text_bytes
 
 GROUP_BYTES = 16 << 20
-#: Cells of the count-min sketch in one block, as a power of two.
-CELL_BITS = 22
+#: Cells of the count-min sketch in one block, as a power of two, at the least and at the most.
+CELL_BITS, MOST_CELL_BITS = 22, 26
+#: Bytes of text up to which groups and blocks have their least size.
+SMALL = 64 << 30
+
+
+def growth(total: int) -> float:
+    """What messages would grow by, were groups and blocks as small as on SMALL bytes."""
+    return max(1.0, total / SMALL)
+
+
+def group_bytes(total: int) -> int:
+    return int(GROUP_BYTES * min(4.0, growth(total) ** 0.25))
+
+
+def cell_bits(blocks: int) -> int:
+    """Bits of a cell's number within its block; ``blocks``: as many as there are of 2^CELL_BITS cells."""
+    return min(MOST_CELL_BITS, CELL_BITS + int(math.log2(growth(blocks * 3 << CELL_BITS - 1)) / 2))
 
 MESSAGE = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("g", pa.int32()), ("keys", pa.binary()), ("twice", pa.binary())])
 MESSAGE_DDL = "kind int, block long, g int, keys binary, twice binary"
@@ -31,7 +49,7 @@ def dealt(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     """(id, text as bytes, g), dealt out by group; and the bytes of all texts."""
     total = text_bytes(docs, text_col)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = max(groups_for(total, GROUP_BYTES), min(parts, total >> 20))  # small inputs still use all cores
+    n = max(groups_for(total, group_bytes(total)), min(parts, total >> 20))  # small inputs still use all cores
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     return rows.withColumn("g", F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int")).repartition(max(n, parts), "g"), total
 
@@ -58,33 +76,43 @@ def distinct(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sorted_keys[at], np.diff(at, append=len(sorted_keys)) > 1
 
 
+def _cuts(blocks: np.ndarray) -> list[tuple[int, int, int]]:
+    """(block, first, end) of each run of equal blocks, which are in ascending order."""
+    first = np.flatnonzero(np.diff(blocks, prepend=blocks[:1] + U(1)) if len(blocks) else blocks)
+    return list(zip(blocks[first].tolist(), first.tolist(), [*first[1:].tolist(), len(blocks)]))
+
+
 def cell_messages(h: np.ndarray, g: int, kind: int, blocks: int) -> list[tuple]:
     """The group's part of one row of the sketch, by block."""
+    bits = U(cell_bits(blocks))
     keys, twice = distinct(np.sort(cells_of(h, kind, blocks)))
-    cuts = np.searchsorted(keys, np.arange(blocks + 1, dtype=U) << U(CELL_BITS))
-    low = (keys & U((1 << CELL_BITS) - 1)).astype(np.uint32)
-    return [(kind, b, g, pack(low[i:j]), np.packbits(twice[i:j]).tobytes()) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
+    low = (keys & (U(1) << bits) - U(1)).astype(np.uint32)
+    return [(kind, b, g, pack(low[i:j]), np.packbits(twice[i:j]).tobytes()) for b, i, j in _cuts(keys >> bits)]
 
 
 def cells_of(h: np.ndarray, kind: int, blocks: int) -> np.ndarray:
-    """The cell of each key in row ``kind`` (0 or 1) of a sketch of ``blocks`` blocks."""
+    """The cell of each key in row ``kind`` (0 or 1) of a sketch of ``blocks`` times 2^CELL_BITS cells."""
     h = h if kind == 0 else (h >> U(32)) | (h << U(32))
     return (h * U(0xD6E8FEB86659FD93) >> U(20)) % U(blocks << CELL_BITS)
 
 
-def merge_cells(key: tuple, table: pa.Table) -> pa.Table:
+def merge_cells(blocks: int):
     """One block of the merged sketch: counts by cell, saturated at two; answers each group."""
-    count = np.zeros(1 << CELL_BITS, np.uint8)
-    rows = []
-    for g, raw, twice in zip(table["g"].to_pylist(), table["keys"].to_pylist(), table["twice"].to_pylist()):
-        cells = unpack(raw)
-        more = np.unpackbits(np.frombuffer(twice, np.uint8), count=len(cells))
-        count[cells] = np.minimum(count[cells] + 1 + more, 2)
-        rows.append((g, cells))
-    repeated = count >= 2
-    kind, block = (x.as_py() for x in key)
-    out = [(g, kind, block, pack(hit)) for g, cells in rows if len(hit := cells[repeated[cells]])]
-    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, REPLY)], schema=REPLY)
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        count = np.zeros(1 << cell_bits(blocks), np.uint8)
+        rows = []
+        for g, raw, twice in zip(table["g"].to_pylist(), table["keys"].to_pylist(), table["twice"].to_pylist()):
+            cells = unpack(raw)
+            more = np.unpackbits(np.frombuffer(twice, np.uint8), count=len(cells))
+            count[cells] = np.minimum(count[cells] + 1 + more, 2)
+            rows.append((g, cells))
+        repeated = count >= 2
+        kind, block = (x.as_py() for x in key)
+        out = [(g, kind, block, pack(hit)) for g, cells in rows if len(hit := cells[repeated[cells]])]
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, REPLY)], schema=REPLY)
+
+    return run
 
 
 class CellFilter:
@@ -97,7 +125,7 @@ class CellFilter:
         self.masks = [np.zeros(1 << self.BITS, bool) for _ in range(2)]
         for kind, block, raw in zip(replies["kind"].to_pylist(), replies["block"].to_pylist(), replies["payload"].to_pylist()):
             if kind < 2:
-                cells = unpack(raw).astype(U) + U(block << CELL_BITS)
+                cells = unpack(raw).astype(U) + U(block << cell_bits(blocks))
                 self.masks[kind][cells & U((1 << self.BITS) - 1)] = True
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
@@ -137,10 +165,8 @@ def pair_messages(hi: np.ndarray, lo: np.ndarray, n: np.ndarray, g: int, blocks:
 
 
 def pair_cuts(hi: np.ndarray, blocks: int) -> list[tuple[int, int, int]]:
-    """Blocks are even ranges of ``hi``."""
-    edges = np.array([(b << 64) // blocks for b in range(blocks)], dtype=U)
-    cuts = [*np.searchsorted(hi, edges).tolist(), len(hi)]
-    return [(b, i, j) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
+    """Blocks are even ranges of ``hi``; those that have a key."""
+    return _cuts((hi >> U(32)) * U(blocks) >> U(32))
 
 
 def merge_pairs(key: tuple, table: pa.Table) -> pa.Table:

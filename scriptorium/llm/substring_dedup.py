@@ -138,7 +138,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     blocks = groups_for(total * 2 // 3, 1 << R.CELL_BITS)  # four cells for a window of six-byte words
     exact_blocks = groups_for(total // 6, 4 << 20)
     asked = rows.groupBy("g").applyInArrow(_sketch(window, blocks), R.MESSAGE_DDL)
-    maybe = asked.groupBy("kind", "block").applyInArrow(R.merge_cells, R.REPLY_DDL)
+    maybe = asked.groupBy("kind", "block").applyInArrow(R.merge_cells(blocks), R.REPLY_DDL)
     asked = rows.groupBy("g").cogroup(maybe.groupBy("g")).applyInArrow(_candidates(window, blocks, exact_blocks), R.MESSAGE_DDL)
     sure = asked.groupBy("block").applyInArrow(R.merge_pairs, R.REPLY_DDL)
     out = rows.groupBy("g").cogroup(maybe.unionByName(sure).groupBy("g")).applyInArrow(_remove(window, blocks, exact_blocks), _OUT_DDL)

@@ -422,7 +422,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     blocks = groups_for(total // 20, 1 << R.CELL_BITS)  # four cells for a minimizer
     shards = groups_for(total, SHARD_BYTES)
     asked = rows.groupBy("g").applyInArrow(_sketch(length, blocks), R.MESSAGE_DDL)
-    maybe = asked.groupBy("kind", "block").applyInArrow(R.merge_cells, R.REPLY_DDL)
+    maybe = asked.groupBy("kind", "block").applyInArrow(R.merge_cells(blocks), R.REPLY_DDL)
     asked = rows.groupBy("g").cogroup(maybe.groupBy("g")).applyInArrow(_send(length, blocks, shards), R.MESSAGE_DDL)
     sure = asked.groupBy("block").applyInArrow(_shard(length), R.REPLY_DDL)
     out = rows.groupBy("g").cogroup(maybe.unionByName(sure).groupBy("g")).applyInArrow(_remove(length, blocks, shards), _OUT_DDL)
