@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .edits import edit_counts
+
 OPS = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("op", "before", "after")] + [T.StructField("position", T.IntegerType())]))
 
 
@@ -292,13 +294,16 @@ def respaced(source: str, output: str, chars: str = "ऀ-ॿ") -> str:
 
 
 def repair_if_better(pairs: DataFrame, chars: str = "ऀ-ॿ", least: float = 85.0, script: str | None = None) -> DataFrame:
-    """Pairs (source_text, output_text) with ``final``: the repaired output if it has strictly fewer differences."""
+    """Pairs (source_text, output_text) with ``final``: the repaired output if strictly fewer characters differ.
+
+    ``before`` and ``after`` count the characters that a tidied difference of the words removes and adds (``edits.edit_counts``).
+    """
     from ..functions.script import DEVANAGARI, script_text
 
     words = lambda c: script_text(c, script or DEVANAGARI)
-    count = lambda a, b: F.size(F.filter(diff_ops(a, b), lambda x: x["op"] != "equal"))
     out = pairs.withColumn("repair", word_repair(chars, least)("source_text", "output_text"))
-    out = out.withColumn("before", count(words(F.col("source_text")), words(F.col("output_text")))).withColumn("after", count(words(F.col("source_text")), words(F.col("repair.text"))))
+    out = out.withColumn("_b", edit_counts(words(F.col("source_text")), words(F.col("output_text")))).withColumn("_a", edit_counts(words(F.col("source_text")), words(F.col("repair.text"))))
+    out = out.withColumn("before", F.col("_b.deleted") + F.col("_b.inserted")).withColumn("after", F.col("_a.deleted") + F.col("_a.inserted")).drop("_b", "_a")
     return out.withColumn("final", F.when(F.col("after") < F.col("before"), F.col("repair.text")).otherwise(F.col("output_text")))
 
 

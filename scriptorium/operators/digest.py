@@ -46,7 +46,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def directory_digests(files: DataFrame, by: str = "dir", path: str = "path", content: str = "content", size: int = BLOCK) -> DataFrame:
     """(by, hash, n_files, n_bytes): SHA-256 over path and content bytes of each directory's files, in order of their paths' bytes.
 
-    As ``fingerprint.directory_hash``.  Blocks are dealt by directory and sorted within partitions, where Spark spills what does not fit; each task
+    Blocks are dealt by directory and sorted within partitions, where Spark spills what does not fit; each task
     hashes its blocks as they come, so it holds some blocks at a time, however large the directory.  A directory is one chain of
     hashes and thus one task; ``fingerprint.work_hash`` of files' own hashes is the form to choose where that is too slow.
 
@@ -56,4 +56,5 @@ def directory_digests(files: DataFrame, by: str = "dir", path: str = "path", con
     pieces = blocks(files, by, path, content, size)
     parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = pieces.withColumn("by", F.col("by").cast("string")).repartition(parts, "by").sortWithinPartitions("by", "path", "n")
-    return ordered.mapInArrow(_digests, "by string, hash string, n_files long, n_bytes long").withColumnRenamed("by", by)
+    found = ordered.mapInArrow(_digests, "by string, hash string, n_files long, n_bytes long")
+    return found.select(F.col("by").cast(files.schema[by].dataType).alias(by), "hash", "n_files", "n_bytes")

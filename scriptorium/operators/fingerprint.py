@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.script import DEVANAGARI, script_text
+from .digest import directory_digests
 
 #: Fixed value: the version of the fingerprint's definition.
 HASH_VERSION = 3
@@ -30,9 +31,7 @@ def file_hashes(files: DataFrame) -> DataFrame:
 
 def directory_hash(files: DataFrame, by: str = "dir", path: str = "path", content: str = "content") -> DataFrame:
     """(by, hash): SHA-256 over the path and content bytes of a directory's files in order of path."""
-    parts = F.array_sort(F.collect_list(F.struct(F.col(path).alias("p"), F.hex(content).alias("c"))))
-    joined = F.array_join(F.transform(parts, lambda x: F.concat(F.hex(F.encode(x["p"], "UTF-8")), x["c"])), "")
-    return files.groupBy(by).agg(F.sha2(F.unhex(joined), 256).alias("hash"))
+    return directory_digests(files, by, path, content).select(by, "hash")
 
 
 def hash_gate(body: Column, version: Column, expected: Column, chars: str = DEVANAGARI, current: int = HASH_VERSION) -> Column:

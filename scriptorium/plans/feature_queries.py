@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import markup, script
-from ..operators import chunk, digest, edit_log, edits, ranges, rollup, rules, schemas, similar, tree
+from ..operators import chunk, digest, edit_log, edits, match, ranges, rollup, rules, schemas, similar, tree
 from ..sources import documents as sources
 from ..sources import works
 
@@ -241,6 +241,22 @@ def q91_directory_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.directory_targets(files).select("dir", F.array_join("files", " ").alias("files"), "multipart")
 
 
+def q92_best_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn, marked up and with one word more, against all turns of its conversation as files."""
+    turns = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("dir"), F.format_string("%06d.md", F.col("turn").cast("int")).alias("name"), "text")
+    marked = turns.withColumn("text", F.concat(F.lit("---\nlang: xx\n---\n# Heading\n<!-- a comment -->\n**"), "text", F.lit("** zz")))
+    repaired = turns.withColumn("name", F.lit("0.repaired.md")).withColumn("text", F.concat("text", F.lit(" zz")))
+    return match.best_files(marked, turns.unionByName(repaired), chars=script.LATIN)
+
+
+def q93_content_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their hash put in the header; null for every third, which has no header, and above a count of differences."""
+    docs = _t(spark, sf_dir, "documents")
+    text = F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit("---\nlang: "), "lang", F.when(F.col("doc_id") % 2 == 0, "\ngrantha_hash: old").otherwise(""), F.lit("\n---\n"), "text")).otherwise(F.col("text"))
+    stamped = match.with_content_hash(text, chars=script.LATIN, n_different=F.col("doc_id") % 7, most=5)
+    return docs.select("doc_id", stamped.alias("text"))
+
+
 def queries() -> dict:
     """Every query of this module."""
     return {k: f for k, f in globals().items() if k.startswith("q") and k[1:3].isdigit()}
@@ -326,6 +342,12 @@ ORACLES = {
         WITH f AS (SELECT DISTINCT '/lib/' || replace(p_brand, '#', '-') AS dir, CASE p_partkey % 3 WHEN 0 THEN 'part-' || p_partkey WHEN 1 THEN 'x-' || lpad(CAST(p_partkey % 97 AS VARCHAR), 2, '0') ELSE 'whole' END AS name,
                           CASE p_partkey % 3 WHEN 0 THEN p_partkey WHEN 1 THEN p_partkey % 97 ELSE 1 END AS part FROM part)
         SELECT dir, string_agg(dir || '/' || name || '.md', ' ' ORDER BY part, dir || '/' || name || '.md') AS files, count(*) > 1 AS multipart FROM f GROUP BY 1""",
+    "q92_best_files": f"""
+        WITH w AS (SELECT conv_id AS dir, printf('%06d.md', turn) AS name, array_to_string({_LATIN_WORDS.format("text")}, ' ') AS t FROM conversations)
+        SELECT a.dir, a.name, min(b.name) AS match, 100.0::DOUBLE * 2 * length(any_value(a.t)) / (2 * length(any_value(a.t)) + 3) AS score, CAST(3 AS BIGINT) AS n_different FROM w a JOIN w b ON a.dir = b.dir AND a.t = b.t GROUP BY 1, 2""",
+    "q93_content_hashes": f"""
+        WITH d AS (SELECT doc_id, lang, text, doc_id % 2 = 0 AS old, array_to_string({_LATIN_WORDS.format("'lang ' || lang || CASE WHEN doc_id % 2 = 0 THEN ' grantha hash old ' ELSE ' ' END || text")}, '') AS t FROM documents)
+        SELECT doc_id, CASE WHEN doc_id % 3 > 0 AND doc_id % 7 <= 5 THEN '---' || chr(10) || 'lang: ' || lang || chr(10) || 'grantha_hash: ' || sha256(t) || chr(10) || '---' || chr(10) || text END AS text FROM d""",
     "q78_schema_report": """
         SELECT 'prefatory_material.*' AS "where", 'required' AS keyword, count(*) AS n, count(DISTINCT conv_id) AS n_docs, min(conv_id) AS first FROM conversations WHERE role = 'system' AND conv_id % 3 = 0 HAVING count(*) > 0
         UNION ALL SELECT 'part_num', 'maximum', count(*), count(*), min(conv_id) FROM (SELECT conv_id FROM conversations GROUP BY 1 HAVING count(*) > 6) HAVING count(*) > 0""",
