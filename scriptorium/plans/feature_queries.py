@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import markup, script
-from ..operators import chunk, digest, edit_log, edits, match, ranges, rollup, rules, schemas, similar, tree
+from ..operators import align, chunk, digest, edit_log, edits, match, ranges, render, rollup, rules, schemas, similar, tree
 from ..sources import documents as sources
 from ..sources import works
 
@@ -257,6 +257,28 @@ def q93_content_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", stamped.alias("text"))
 
 
+def q94_repaired_anywhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's words in a row, one of them struck out, another one in each document; repaired where enough is left."""
+    words = script.script_words(F.col("text"), script.LATIN)
+    docs = _t(spark, sf_dir, "documents").select("doc_id", words.alias("w")).where(F.size("w") > 0).withColumn("k", F.pmod("doc_id", F.size("w")).cast("int"))
+    struck = F.transform("w", lambda x, i: F.when(i == F.col("k"), F.lit("÷÷")).otherwise(x))
+    pairs = docs.select("doc_id", "w", F.array_join("w", ", ").alias("source_text"), F.array_join(struck, ", ").alias("output_text"))
+    found = pairs.withColumn("r", align.word_repair("A-Za-zÀ-ÿ")("source_text", "output_text"))
+    return found.select("doc_id", "r.success", (script.script_words(F.col("r.text"), script.LATIN) == F.col("w")).alias("restored"))
+
+
+def q95_nested_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations in the nested form, ten documents with a level for the conversation and one for the turn."""
+    turns = _t(spark, sf_dir, "conversations").withColumn("content", F.create_map(F.lit("devanagari"), F.col("text")))
+    ref = lambda n: F.concat("conv_id", F.lit("."), (F.col("turn") - n).cast("string"))
+    key, order = (F.col("conv_id") % 10).alias("doc_id"), F.col("conv_id") * 1000 + F.col("turn")
+    label = F.create_map(F.lit("devanagari"), F.lit("आदिः"))
+    kind = F.when(F.col("role") == "system", "prefatory").otherwise("main")
+    passages = turns.where("role <> 'assistant'").select(key, kind.alias("passage_type"), F.when(F.col("role") == "system", F.col("conv_id").cast("string")).otherwise(ref(0)).alias("ref"), label.alias("label"), "content", order.alias("seq"))
+    notes = turns.where("role = 'assistant'").select(key, ref(1).alias("ref"), F.lit("c").alias("commentary_id"), "content", F.lit(0).alias("ord"))
+    return render.nested_body(passages, notes, ["Talk", "Turn"])
+
+
 def queries() -> dict:
     """Every query of this module."""
     return {k: f for k, f in globals().items() if k.startswith("q") and k[1:3].isdigit()}
@@ -348,6 +370,19 @@ ORACLES = {
     "q93_content_hashes": f"""
         WITH d AS (SELECT doc_id, lang, text, doc_id % 2 = 0 AS old, array_to_string({_LATIN_WORDS.format("'lang ' || lang || CASE WHEN doc_id % 2 = 0 THEN ' grantha hash old ' ELSE ' ' END || text")}, '') AS t FROM documents)
         SELECT doc_id, CASE WHEN doc_id % 3 > 0 AND doc_id % 7 <= 5 THEN '---' || chr(10) || 'lang: ' || lang || chr(10) || 'grantha_hash: ' || sha256(t) || chr(10) || '---' || chr(10) || text END AS text FROM d""",
+    "q94_repaired_anywhere": f"""
+        WITH d AS (SELECT doc_id, {_LATIN_WORDS.format("text")} AS w FROM documents), n AS (SELECT doc_id, length(array_to_string(w, ' ')) AS a, len(w) AS m, length(w[1 + doc_id % len(w)]) AS x FROM d WHERE len(w) > 0),
+             r AS (SELECT doc_id, CASE WHEN m = 1 THEN 0 ELSE 200.0::DOUBLE * (a - x - 1) / (2 * a - x - 1) END >= 85 AS ok FROM n)
+        SELECT doc_id, ok AS success, ok AS restored FROM r""",
+    "q95_nested_bodies": """
+        WITH t AS (SELECT *, conv_id % 10 AS d, '<!-- sanskrit:devanagari -->' || chr(10) || chr(10) || text || chr(10) || chr(10) || '<!-- /sanskrit:devanagari -->' AS x FROM conversations WHERE text <> ''),
+             f AS (SELECT d, 0 AS a, 0 AS p, 0 AS q, 0 AS s, conv_id * 1000 + turn AS n, '# Prefatory: ' || conv_id || ' (devanagari: "आदिः")' || chr(10) || x || chr(10) AS t FROM t WHERE role = 'system'
+                   UNION ALL SELECT DISTINCT d, 1, conv_id, -1, 0, 0, '# Talk ' || conv_id || chr(10) FROM t WHERE role = 'user'
+                   UNION ALL SELECT d, 1, conv_id, turn, 0, 0, '## Turn ' || conv_id || '.' || turn || chr(10) FROM t WHERE role = 'user'
+                   UNION ALL SELECT d, 1, conv_id, turn, 1, conv_id * 1000 + turn, x || chr(10) FROM t WHERE role = 'user'
+                   UNION ALL SELECT a.d, 1, a.conv_id, u.turn, 2, 0, '<!-- commentary: {"commentary_id": "c"} -->' || chr(10) || chr(10) || '### Commentary: ' || u.conv_id || '.' || u.turn || chr(10) || chr(10) || a.x || chr(10) || '<!-- /commentary: {"commentary_id": "c"} -->' || chr(10)
+                             FROM t a JOIN t u ON u.conv_id = a.conv_id AND u.turn = a.turn - 1 AND u.role = 'user' WHERE a.role = 'assistant')
+        SELECT d AS doc_id, string_agg(t, chr(10) ORDER BY a, p, q, s, n) AS body FROM f GROUP BY 1""",
     "q78_schema_report": """
         SELECT 'prefatory_material.*' AS "where", 'required' AS keyword, count(*) AS n, count(DISTINCT conv_id) AS n_docs, min(conv_id) AS first FROM conversations WHERE role = 'system' AND conv_id % 3 = 0 HAVING count(*) > 0
         UNION ALL SELECT 'part_num', 'maximum', count(*), count(*), min(conv_id) FROM (SELECT conv_id FROM conversations GROUP BY 1 HAVING count(*) > 6) HAVING count(*) > 0""",
