@@ -22,6 +22,8 @@ from .shared import groups_for, text_bytes
 GROUP_BYTES = 16 << 20
 #: Cells of the count-min sketch in one block, as a power of two, at the least and at the most.
 CELL_BITS, MOST_CELL_BITS = 22, 26
+#: Counts stop here; 250 and two more still fit a byte.
+SATURATED = 250
 #: Bytes of text up to which groups and blocks have their least size.
 SMALL = 64 << 30
 
@@ -96,8 +98,11 @@ def cells_of(h: np.ndarray, kind: int, blocks: int) -> np.ndarray:
     return (h * U(0xD6E8FEB86659FD93) >> U(20)) % U(blocks << CELL_BITS)
 
 
-def merge_cells(blocks: int):
-    """One block of the merged sketch: counts by cell, saturated at two; answers each group."""
+def merge_cells(blocks: int, hot: int = SATURATED):
+    """One block of the merged sketch: counts by cell, saturated at SATURATED; answers each group.
+
+    Besides the cells that count two or more, each group hears (as kind 10 or 11) which of its cells count ``hot`` or more.
+    """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         count = np.zeros(1 << cell_bits(blocks), np.uint8)
@@ -105,16 +110,35 @@ def merge_cells(blocks: int):
         for g, raw, twice in zip(table["g"].to_pylist(), table["keys"].to_pylist(), table["twice"].to_pylist()):
             cells = unpack(raw)
             more = np.unpackbits(np.frombuffer(twice, np.uint8), count=len(cells))
-            count[cells] = np.minimum(count[cells] + 1 + more, 2)
+            count[cells] = np.minimum(count[cells] + 1 + more, SATURATED)
             rows.append((g, cells))
-        repeated = count >= 2
         kind, block = (x.as_py() for x in key)
-        out = [(g, kind, block, pack(hit)) for g, cells in rows if len(hit := cells[repeated[cells]])]
+        out = []
+        for first, mark in ((kind, count >= 2), (kind + 10, count >= hot)):
+            if mark.any():
+                out += [(g, first, block, pack(hit)) for g, cells in rows if len(hit := cells[mark[cells]])]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, REPLY)], schema=REPLY)
 
     return run
 
 
+class HotKeys:
+    """Which keys are hot: a function of the whole sketch, so that every group that has a key says the same of it."""
+
+    def __init__(self, replies: pa.Table, blocks: int):
+        self.blocks = blocks
+        cells: list[list[np.ndarray]] = [[], []]
+        for kind, block, raw in zip(replies["kind"].to_pylist(), replies["block"].to_pylist(), replies["payload"].to_pylist()):
+            if kind >= 10:
+                cells[kind - 10].append(unpack(raw).astype(U) + U(block << cell_bits(blocks)))
+        self.cells = [np.concatenate(c) if c else np.zeros(0, U) for c in cells]
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.cells[0]) or not len(self.cells[1]):
+            return np.zeros(len(h), bool)
+        return np.isin(cells_of(h, 0, self.blocks), self.cells[0]) & np.isin(cells_of(h, 1, self.blocks), self.cells[1])
+
+
 class CellFilter:
     """Which keys of a group the sketch takes for repeated: never false for one that is."""
 
@@ -159,9 +183,9 @@ def distinct_pairs(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return a[at], b[at], np.diff(at, append=len(a)), place
 
 
-def pair_messages(hi: np.ndarray, lo: np.ndarray, n: np.ndarray, g: int, blocks: int) -> list[tuple]:
+def pair_messages(hi: np.ndarray, lo: np.ndarray, n: np.ndarray, g: int, blocks: int, kind: int = 2) -> list[tuple]:
     """The group's distinct 128-bit keys, by block; ``n``: their counts in the group."""
-    return [(2, b, g, np.concatenate([hi[i:j], lo[i:j]]).tobytes(), np.packbits(n[i:j] > 1).tobytes()) for b, i, j in pair_cuts(hi, blocks)]
+    return [(kind, b, g, np.concatenate([hi[i:j], lo[i:j]]).tobytes(), np.packbits(n[i:j] > 1).tobytes()) for b, i, j in pair_cuts(hi, blocks)]
 
 
 def pair_cuts(hi: np.ndarray, blocks: int) -> list[tuple[int, int, int]]:
@@ -170,7 +194,12 @@ def pair_cuts(hi: np.ndarray, blocks: int) -> list[tuple[int, int, int]]:
 
 
 def merge_pairs(key: tuple, table: pa.Table) -> pa.Table:
-    """Exact grouping of a block's keys; answers each group with a bit for each of its keys."""
+    """``grouped_pairs`` of kind 2."""
+    return grouped_pairs(key, table, 2)
+
+
+def grouped_pairs(key: tuple, table: pa.Table, kind: int) -> pa.Table:
+    """Exact grouping of a block's keys; answers each group with a bit for each of its keys.  ``key`` ends in the block."""
     his, los, twice, groups = [], [], [], table["g"].to_pylist()
     for raw, bits in zip(table["keys"].to_pylist(), table["twice"].to_pylist()):
         both = np.frombuffer(raw, U)
@@ -182,15 +211,15 @@ def merge_pairs(key: tuple, table: pa.Table) -> pa.Table:
     repeated = counts > 1
     repeated[place[np.concatenate(twice)]] = True
     ends = np.cumsum([0, *map(len, his)])
-    block = key[0].as_py()
-    out = [(g, 2, block, np.packbits(repeated[place[i:j]]).tobytes()) for g, i, j in zip(groups, ends[:-1], ends[1:])]
+    block = key[-1].as_py()
+    out = [(g, kind, block, np.packbits(repeated[place[i:j]]).tobytes()) for g, i, j in zip(groups, ends[:-1], ends[1:])]
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), REPLY)], schema=REPLY)
 
 
-def pair_answers(hi: np.ndarray, replies: pa.Table, blocks: int) -> np.ndarray:
-    """True for each of the group's distinct keys (sorted as in ``distinct_pairs``) that repeats."""
+def pair_answers(hi: np.ndarray, replies: pa.Table, blocks: int, of: int = 2) -> np.ndarray:
+    """True for each of the group's distinct keys (sorted as in ``distinct_pairs``) that repeats; ``of``: the replies' kind."""
     out = np.zeros(len(hi), bool)
-    bits = {b: raw for kind, b, raw in zip(replies["kind"].to_pylist(), replies["block"].to_pylist(), replies["payload"].to_pylist()) if kind == 2}
+    bits = {b: raw for kind, b, raw in zip(replies["kind"].to_pylist(), replies["block"].to_pylist(), replies["payload"].to_pylist()) if kind == of}
     for b, i, j in pair_cuts(hi, blocks):
         out[i:j] = np.unpackbits(np.frombuffer(bits[b], np.uint8), count=j - i).astype(bool)
     return out

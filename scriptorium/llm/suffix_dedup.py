@@ -13,7 +13,9 @@ bucket induce their predecessors as one stable distribution, and a bucket is sca
 predecessors it induced into itself.  Where they are small (names of the recursion) it runs entry by entry.
 
 Scale.  Texts are shuffled once.  A group sends a segment once, however often it has it, so a
-passage or document that a third of all rows share is one segment for each group.
+passage or document that a third of all rows share is one segment for each group.  A minimizer that ``hot`` groups or more
+have (250: more than 4 GB of text around it) would fill one shard with all its contexts; its strings are told apart by 128-bit keys
+instead, each string by its own, in exact blocks.  The sketch decides that, so all groups decide alike.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from .kernels import U
 from .shared import groups_for
 
 GRAM = 32
+#: Bases of both halves of a string's key.
+_FIRST, _SECOND, _LANE = 0xA24BAED4963EE407, 0x9FB21C651E98DF25, U(0xC2B2AE3D27D4EB4F)
 PIECE = 256 << 10
 SHARD_BYTES = 8 << 20
 #: Whole buckets induce at once where they hold so many suffixes on average.
@@ -281,12 +285,28 @@ class _Strings:
             last = np.append(first[1:], len(starts)) - 1
             yield int(at[0]), h[place[first]], starts[first], starts[last]
 
-    def segments(self, maybe: R.CellFilter, shards: int) -> dict[int, dict[bytes, tuple[int, list[int]]]]:
-        """By shard, the distinct segments of repeated minimizers: (minimizer, places in the group)."""
+    def hot_starts(self, hot: R.HotKeys) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, and both halves of the keys) of all strings of hot minimizers."""
+        places, his, los = [np.zeros(0, np.int64)], [np.zeros(0, U)], [np.zeros(0, U)]
+        for base, keys, first, last in self.runs():
+            mine = np.flatnonzero(hot(keys))
+            if not len(mine):
+                continue
+            n = last[mine] - first[mine] + 1
+            at = np.repeat(first[mine], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            low, high = int(at.min()), int(at.max()) + self.length
+            letters = K._LETTER[self.buf[base + low : base + high]]
+            his.append(K.windows(letters, self.length, _FIRST)[at - low])
+            los.append(K.windows(K.mix(letters ^ _LANE), self.length, _SECOND)[at - low])
+            places.append(base + at)
+        return np.concatenate(places), np.concatenate(his), np.concatenate(los)
+
+    def segments(self, maybe: R.CellFilter, hot: R.HotKeys, shards: int) -> dict[int, dict[bytes, tuple[int, list[int]]]]:
+        """By shard, the distinct segments of repeated minimizers that are not hot: (minimizer, places in the group)."""
         found: dict[int, dict[bytes, tuple[int, list[int]]]] = {}
         raw = self.buf.tobytes()
         for base, keys, first, last in self.runs():
-            hit = maybe(keys)
+            hit = maybe(keys) & ~hot(keys)
             keys = keys[hit]
             shard = (keys >> U(7)) % U(shards)
             for k, s, a, b in zip(keys.tolist(), shard.tolist(), (first[hit] + base).tolist(), (last[hit] + base + self.length).tolist()):
@@ -308,10 +328,13 @@ def _sketch(length: int, blocks: int):
     return run
 
 
-def _send(length: int, blocks: int, shards: int):
+def _send(length: int, blocks: int, shards: int, exact_blocks: int):
     def run(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        rows = []
-        for shard, found in _Strings(table, length).segments(R.CellFilter(replies, blocks), shards).items():
+        strings, hot = _Strings(table, length), R.HotKeys(replies, blocks)
+        _, his, los = strings.hot_starts(hot)
+        hi, lo, n, _ = R.distinct_pairs(his, los)
+        rows = R.pair_messages(hi, lo, n, key[0].as_py(), exact_blocks, kind=3)
+        for shard, found in strings.segments(R.CellFilter(replies, blocks), hot, shards).items():
             order = sorted(found)
             lens = np.array([len(s) for s in order], "<u4")
             twice = np.array([len(found[s][1]) > 1 for s in order])
@@ -361,17 +384,27 @@ def _shard(length: int):
         if open_:
             for k, found in zip(open_, repeated_starts([segments[k] for k in open_], length)):
                 marks[k] |= found
-        block = key[0].as_py()
+        block = key[-1].as_py()
         return R.table_of([(g, 2, block, np.packbits(np.concatenate([marks[k] for k in mine])).tobytes()) for g, mine in asked], R.REPLY)
 
     return run
 
 
+def _answer(length: int):
+    """Marks for a shard, or for an exact block of the strings of hot minimizers."""
+    shard = _shard(length)
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        return R.grouped_pairs(key, table, 3) if key[0].as_py() == 3 else shard(key, table)
+
+    return run
+
+
 _OUT = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.int64())), ("kept", pa.binary())])
 _OUT_DDL = "id long, n_bytes long, n_removed long, spans array<long>, kept binary"
 
 
-def _remove(length: int, blocks: int, shards: int):
+def _remove(length: int, blocks: int, shards: int, exact_blocks: int):
     def run(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         if not table.num_rows:
             return R.table_of([], _OUT)
@@ -379,7 +412,14 @@ def _remove(length: int, blocks: int, shards: int):
         answers = {b: raw for kind, b, raw in zip(replies["kind"].to_pylist(), replies["block"].to_pylist(), replies["payload"].to_pylist()) if kind == 2}
         total = len(strings.buf)
         d = np.zeros(total + 1, np.int32)
-        for shard, found in strings.segments(R.CellFilter(replies, blocks), shards).items():
+        hot = R.HotKeys(replies, blocks)
+        places, his, los = strings.hot_starts(hot)
+        if len(places):
+            hi, _, _, place = R.distinct_pairs(his, los)
+            again = places[R.pair_answers(hi, replies, exact_blocks, of=3)[place]]
+            d[again] += 1
+            d[again + length] -= 1
+        for shard, found in strings.segments(R.CellFilter(replies, blocks), hot, shards).items():
             bits = np.unpackbits(np.frombuffer(answers[shard], np.uint8)).astype(bool)
             done = 0
             for s in sorted(found):
@@ -404,7 +444,7 @@ def _remove(length: int, blocks: int, shards: int):
     return run
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, hot: int = R.SATURATED) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that also starts anywhere else.
 
     Texts are UTF-8 bytes; strings never cross documents and are judged on the input.  Returns
@@ -418,12 +458,14 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     if length < 8:
         raise ValueError("length counts bytes, from 8")
+    if not 2 <= hot <= R.SATURATED:
+        raise ValueError(f"hot is from 2 to {R.SATURATED} groups")
     rows, total = R.dealt(docs, id_col, text_col)
     blocks = groups_for(total // 20, 1 << R.CELL_BITS)  # four cells for a minimizer
-    shards = groups_for(total, SHARD_BYTES)
+    shards, exact_blocks = groups_for(total, SHARD_BYTES), groups_for(total // 4, 4 << 20)
     asked = rows.groupBy("g").applyInArrow(_sketch(length, blocks), R.MESSAGE_DDL)
-    maybe = asked.groupBy("kind", "block").applyInArrow(R.merge_cells(blocks), R.REPLY_DDL)
-    asked = rows.groupBy("g").cogroup(maybe.groupBy("g")).applyInArrow(_send(length, blocks, shards), R.MESSAGE_DDL)
-    sure = asked.groupBy("block").applyInArrow(_shard(length), R.REPLY_DDL)
-    out = rows.groupBy("g").cogroup(maybe.unionByName(sure).groupBy("g")).applyInArrow(_remove(length, blocks, shards), _OUT_DDL)
+    maybe = asked.groupBy("kind", "block").applyInArrow(R.merge_cells(blocks, hot), R.REPLY_DDL)
+    asked = rows.groupBy("g").cogroup(maybe.groupBy("g")).applyInArrow(_send(length, blocks, shards, exact_blocks), R.MESSAGE_DDL)
+    sure = asked.groupBy("kind", "block").applyInArrow(_answer(length), R.REPLY_DDL)
+    out = rows.groupBy("g").cogroup(maybe.unionByName(sure).groupBy("g")).applyInArrow(_remove(length, blocks, shards, exact_blocks), _OUT_DDL)
     return out.withColumnRenamed("id", id_col)

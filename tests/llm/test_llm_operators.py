@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from scriptorium.llm import decontaminate, exact_dedup, html_extract, license_rules, license_scan, lm_score, minhash_dedup, packing, substring_dedup, suffix_dedup, toxicity
+from scriptorium.llm import decontaminate, exact_dedup, html_extract, license_rules, license_scan, lm_score, minhash_dedup, packing, routed, substring_dedup, suffix_dedup, toxicity
 from scriptorium.llm.components import connected_components
 from scriptorium.llm.queries import tokenizer_path
 
@@ -125,6 +125,38 @@ def test_suffix_dedup(docs, rows, length):
     assert sorted(got, key=key) == sorted(expected_bytes(rows, length), key=key)
 
 
+@pytest.mark.parametrize("length", [40, 200])
+@pytest.mark.parametrize("hot", [2, 5])
+def test_suffix_dedup_with_hot_minimizers(monkeypatch, docs, rows, length, hot):
+    """Many groups, and minimizers that some or all of them share: the same result."""
+    monkeypatch.setattr(routed, "GROUP_BYTES", 5_000)
+    got = [(r[0], r[1], r[2], len(r[3]) // 2, bytes(r[4])) for r in suffix_dedup.suffix_dedup(docs, length=length, hot=hot).collect()]
+    assert sorted(got, key=key) == sorted(expected_bytes(rows, length), key=key)
+
+
+def test_a_common_line_fills_no_shard(monkeypatch):
+    """Of documents around one line, with hot minimizers apart no shard gets more than its share."""
+    rng = random.Random(8)
+    line = words(rng, 60).encode()
+    groups = [pa.table({"text": [b" ".join([words(rng, 40).encode(), line, words(rng, 40).encode()]) for _ in range(4)]}) for _ in range(60)]
+    sketch = [m for g, t in enumerate(groups) for m in suffix_dedup._sketch(200, 1)((pa.scalar(g),), t).to_pylist()]
+    sizes = {}
+    for hot in (routed.SATURATED, 30):
+        replies = []
+        for kind in (0, 1):
+            replies += routed.merge_cells(1, hot)((pa.scalar(kind), pa.scalar(0)), routed.table_of([tuple(m.values()) for m in sketch if m["kind"] == kind], routed.MESSAGE)).to_pylist()
+        of_shard = {}
+        for g, t in enumerate(groups):
+            mine = routed.table_of([tuple(r.values()) for r in replies if r["g"] == g], routed.REPLY)
+            for m in suffix_dedup._send(200, 1, 50, 50)((pa.scalar(g),), t, mine).to_pylist():
+                of_shard[m["kind"], m["block"]] = of_shard.get((m["kind"], m["block"]), 0) + len(m["keys"])
+        sizes[hot] = of_shard
+    shards = lambda s: [n for (kind, _), n in s.items() if kind == 2]
+    assert max(shards(sizes[routed.SATURATED])) > 20_000 and not any(kind == 3 for kind, _ in sizes[routed.SATURATED])
+    exact = [n for (kind, _), n in sizes[30].items() if kind == 3]
+    assert max(shards(sizes[30]), default=0) < 5_000 and max(exact) < 3 * sum(exact) / len(exact)
+
+
 @pytest.mark.parametrize("large", [0, 1, 64])
 def test_suffix_arrays(monkeypatch, large):
     monkeypatch.setattr(suffix_dedup, "LARGE_BUCKET", large)
