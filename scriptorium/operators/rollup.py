@@ -97,7 +97,7 @@ def diff_report(pairs: DataFrame, records: DataFrame, key: str = "pair_id") -> D
     # ranks from the counts of pairs by n_text: a table of distinct numbers, never all pairs in one window
     equal = out.groupBy("n_text").agg(F.count("*").alias("k"))
     above = F.coalesce(F.sum("k").over(Window.orderBy(F.desc("n_text")).rowsBetween(Window.unboundedPreceding, -1)), zero)
-    out = out.join(F.broadcast(equal.select("n_text", (above + 1).alias("rank"))), "n_text")
+    out = out.join(equal.select("n_text", (above + 1).alias("rank")), "n_text")
     out = out.withColumn("delta_percent", F.when(F.col("n_chars") > 0, 100.0 * (F.col("n_other") - F.col("n_chars")) / F.col("n_chars")))
     return out.select(key, "n_chars", "n_space", "n_text", "delta_percent", "rank")
 
