@@ -22,7 +22,7 @@ from .lm_score import lm_scores
 from .minhash_dedup import near_duplicates
 from .packing import pack_documents
 from .periodic_runs import listed, periodic_runs, strongest
-from .shared import written
+from .shared import row_key, written
 from .simhash_dedup import simhash_duplicates
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
@@ -123,10 +123,17 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _near_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document of a near-duplicate class but the class's representative, with that one; whole texts."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    classes = near_duplicates(docs, shingle_words=3, threshold=0.85).where("NOT kept").select("doc_id", F.col("component_id").alias("other_id"))
-    rows = docs.join(classes, "doc_id").join(docs.select(F.col("doc_id").alias("other_id"), F.col("text").alias("other")), "other_id")
+    """Every document of a near-duplicate class but the class's representative, with that one; whole texts.
+
+    Documents are rows: those with a null or a repeated identifier take part each with its own text; a row that repeats counts once.
+    """
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", row_key().alias("row")).dropDuplicates(["row"])
+    found = written(near_duplicates(docs, id_col="row", shingle_words=3, threshold=0.85).select("row", F.col("component_id").alias("class")), "near-classes")
+    placed = docs.select("doc_id", "row").join(found, "row")
+    least = placed.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least")).select("class", F.col("least.row").alias("other_row"))
+    classes = found.join(least, "class").where("row <> other_row").select("row", "other_row")
+    others = docs.select(F.col("row").alias("other_row"), F.col("doc_id").alias("other_id"), F.col("text").alias("other"))
+    rows = docs.join(classes, "row").join(others, "other_row")
     return rows.select(F.col("doc_id").alias("pair_id"), F.col("text").alias("source_text"), F.col("other").alias("output_text"), "other_id")
 
 

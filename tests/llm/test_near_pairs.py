@@ -71,6 +71,17 @@ def test_pairs_and_records(spark, documents, pairs, folder):
     assert {r["pair_id"]: (r["success"], r["restored"]) for r in queries.q19_word_repair(spark, folder).collect()} == {i: (True, True) for i in pairs}
 
 
+def test_rows_without_and_with_one_identifier(spark, tmp_path):
+    """Null and repeated identifiers: every row pairs by its own text, repeated rows once."""
+    rng = random.Random(9)
+    a, b = text(rng, 300), text(rng, 300)
+    rows = [(1, a), (None, edited(rng, a, 1)), (2, b), (2, edited(rng, b, 1)), (2, "quite another text of this identifier"), (None, None), (3, b), (3, b)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = Counter((r["pair_id"], r["source_text"], r["output_text"], r["other_id"]) for r in queries._near_pairs(spark, str(tmp_path)).collect())
+    assert {k[0] for k in got} == {None, 2, 3} and set(got.values()) == {1} and len(got) == 3
+    assert (None, rows[1][1], a, 1) in got and {k[3] for k in got if k[0] is not None} == {2}
+
+
 def test_matcher_is_difflib():
     rng = random.Random(1)
     for n in (0, 1, 7, 60, 300, 900):
