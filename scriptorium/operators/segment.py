@@ -137,6 +137,7 @@ ORDINALS = (
     " एकादश द्वादश त्रयोदश चतुर्दश पञ्चदश षोडश"
 ).split()
 _ANY = "|".join(ORDINALS)
+#: Types of boundaries, the order in which their patterns are tried, and the patterns.
 BOUNDARIES = [
     ("khanda", 1, f"\\*\\*({_ANY})[ःोम]?\\*\\*\\s+\\*\\*खण्ड[ःम]\\*\\*"),
     ("khanda", 2, f"\\*\\*({_ANY})[ःोम]?\\s*खण्ड[ःम]\\*\\*"),
