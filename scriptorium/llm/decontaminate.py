@@ -25,7 +25,7 @@ from . import kernels as K
 from .kernels import U
 from .shared import row_key, written
 
-PIECE = 1 << 20
+PIECE = 1 << 19
 SEED_SHARE = 0.6
 _SEED = 0x93C467E37DB0C7A5
 #: Letters, digits and all bytes of other scripts make words; A-Z count as a-z.

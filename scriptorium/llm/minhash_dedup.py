@@ -40,7 +40,7 @@ from .shared import dropped, written
 
 ROWS, MISS, BIN_BITS, BITS = 4, 1e-5, 10, 2048
 BINS = 1 << BIN_BITS
-PIECE = 1 << 20
+PIECE = 1 << 19
 BLOCK = 1024
 _SHINGLE = 0x8CB92BA72F3D8DD7
 

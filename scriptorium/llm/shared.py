@@ -29,14 +29,20 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The application's own folder in the shared one."""
+    return f"{shared_dir(spark)}/scriptorium-{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: lineage ends there.
 
     A lost executor then costs a re-read, never a recomputation of what stands before.  The
-    folder is removed by ``dropped``, at the latest when the driver's Python ends.
+    table is removed by ``dropped``, at the latest when the driver's Python ends.  All tables of an application lie in one
+    folder of its name (``run_dir``); a driver that is killed leaves it, and it can be removed once that application is gone.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     if not _written:
         atexit.register(_remove_all)
@@ -63,7 +69,7 @@ def _remove(spark: SparkSession, path: str) -> None:
 def _remove_all() -> None:
     for spark, path in _written:
         try:
-            _remove(spark, path)
+            _remove(spark, path.rsplit("/", 1)[0])
         except Exception:  # the session has ended: its owner clears the shared folder
             return
 
