@@ -48,7 +48,10 @@ def routed(parts: DataFrame, keys: list[str], part: str = "part_num") -> DataFra
 
 
 def uncovered(commentaries: DataFrame, passages: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, ref, member): members of ranged references without a passage; also of single ones."""
+    """(key, ref, member): members of ranged references without a passage; also of single ones.
+
+    Members are listed one by one, for ranges of ordinary size; ``ranges.coverage_gaps`` tells the gaps of ranges of any size.
+    """
     members = commentaries.select(key, "ref", F.explode(expanded(F.col("ref"))).alias("member"))
     return members.join(passages.select(key, F.col("ref").alias("member")).distinct(), [key, "member"], "left_anti").select(key, "ref", "member")
 

@@ -10,9 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.refs import expanded
 from ..functions.script import strip
 from .align import first_difference
+from .ranges import coverage_gaps
 from .schemas import against_schema, schema_errors  # noqa: F401
 from .segment import lines
 
@@ -101,11 +101,18 @@ GRAMMAR = {
 }
 
 
+#: A reference whose last part is a range: what stands before, and its ends.
+RANGE = "^(?:(.*)\\.)?(\\d+)-(\\d+)$"
+#: Members of a range that are listed one by one.
+MOST_MEMBERS = 10_000
+
+
 def line_grammar(docs: DataFrame, key: str = "doc_id", body: str = "body") -> DataFrame:
     """(key, line_num, rule_id, detail) of every breach of the line grammar.
 
     Rules: duplicate_ref, missing_meta, meta_without_commentary, bad_meta, no_passage, bad_range, mismatched_end,
-    unclosed_block, unrecognised.  Lines inside a script block are free, up to any closing tag.
+    unclosed_block, unrecognised.  Lines inside a script block are free, up to any closing tag.  Of a range each member without a
+    passage is a row, but where more than ``MOST_MEMBERS`` follow one another these are one row, with their range as its detail.
     """
     rows = lines(docs, key, body).withColumn("t", strip(F.col("line")))
     t = F.col("t")
@@ -123,7 +130,10 @@ def line_grammar(docs: DataFrame, key: str = "doc_id", body: str = "body") -> Da
     is_main = F.col("kind").isin("main", "prefatory", "concluding")
     is_comment, is_meta = F.col("kind") == "commentary", F.col("kind") == "meta"
     near = rows.where("kind IS NOT NULL").withColumn("prev", F.lag("kind").over(order)).withColumn("next", F.lead("kind").over(order))
-    near = near.withColumn("main", is_main).withColumn("nth", F.row_number().over(Window.partitionBy(key, "main", "ref").orderBy("pos"))).withColumn("members", F.when(is_comment, expanded(F.col("ref"))))
+    near = near.withColumn("main", is_main).withColumn("nth", F.row_number().over(Window.partitionBy(key, "main", "ref").orderBy("pos")))
+    lo, hi = (F.regexp_extract("ref", RANGE, k).try_cast("long") for k in (2, 3))
+    ranged = is_comment & F.contains("ref", F.lit("-"))
+    near = near.withColumn("good", ~ranged | F.coalesce(lo <= hi, F.lit(False)))
 
     def breaches(**found: tuple[Column, Column]) -> Column:
         each = F.array(*[F.struct(F.lit(k).alias("rule_id"), detail.alias("detail"), F.coalesce(broken, F.lit(False)).alias("broken")) for k, (broken, detail) in found.items()])
@@ -138,7 +148,7 @@ def line_grammar(docs: DataFrame, key: str = "doc_id", body: str = "body") -> Da
             missing_meta=(is_comment & ~F.col("prev").eqNullSafe("meta"), F.col("ref")),
             meta_without_commentary=(is_meta & (F.col("next") != "commentary"), F.col("t")),
             bad_meta=(is_meta & no_id, F.col("t")),
-            bad_range=(is_comment & F.col("members").isNull(), F.col("ref")),
+            bad_range=(is_comment & ~F.col("good"), F.col("ref")),
             unrecognised=(F.col("kind") == "other", F.col("t")),
         ),
     )
@@ -153,8 +163,13 @@ def line_grammar(docs: DataFrame, key: str = "doc_id", body: str = "body") -> Da
         ),
     )
     refs = rows.where(is_main).select(key, "ref").distinct()
-    missing = near.where(F.col("members").isNotNull()).select(key, "pos", F.explode("members").alias("ref")).join(refs, [key, "ref"], "left_anti")
-    return headings.unionByName(blocks).unionByName(missing.select(key, at, F.lit("no_passage").alias("rule_id"), F.col("ref").alias("detail")))
+    missing = near.where(is_comment & ~ranged).select(key, "pos", "ref").join(refs, [key, "ref"], "left_anti").select(key, "pos", F.col("ref").alias("detail"))
+    spans = near.where(ranged & F.col("good")).select(key, "pos", "ref")
+    name = lambda n: F.concat_ws(".", F.nullif(F.regexp_extract("ref", RANGE, 1), F.lit("")), n.cast("string"))
+    each = F.transform(F.sequence(F.col("first"), F.least("last", F.col("first") + MOST_MEMBERS)), name)
+    gaps = coverage_gaps(spans, refs, key).select(key, "ref", F.explode(F.when(F.col("n") <= MOST_MEMBERS, each).otherwise(F.array(F.concat(name(F.col("first")), F.lit("-"), F.col("last").cast("string"))))).alias("detail"))
+    missing = missing.unionByName(spans.join(gaps, [key, "ref"]).select(key, "pos", "detail"))
+    return headings.unionByName(blocks).unionByName(missing.select(key, at, F.lit("no_passage").alias("rule_id"), "detail"))
 
 
 def preservation(a: Column, b: Column, context: int = 20) -> Column:

@@ -47,3 +47,14 @@ def test_gaps_are_the_uncovered_members(spark):
     gaps = ranges.coverage_gaps(a, b).select("doc_id", "ref", F.explode(F.sequence("first", "last")).alias("m"))
     got = {(r["doc_id"], r["ref"], f"{r['ref'].split('.')[0]}.{r['m']}") for r in gaps.collect()}
     assert got == {(r["doc_id"], r["ref"], r["member"]) for r in link.uncovered(a, b).collect()}
+
+
+def test_grammar_names_large_gaps_once(spark):
+    from scriptorium.operators import rules
+
+    note = '<!-- commentary: {"commentary_id": "c"} -->\n# Commentary: '
+    body = f"# Mantra 1.1\n# Mantra 1.5\n{note}1.1-2000000000\n{note}1.4-6\n{note}2-1\n{note}7\n{note}1.4-6"
+    df = spark.createDataFrame([(1, body)], "doc_id int, body string")
+    got = sorted((r["line_num"], r["rule_id"], r["detail"]) for r in rules.line_grammar(df).collect())
+    assert got == [(4, "no_passage", "1.2"), (4, "no_passage", "1.3"), (4, "no_passage", "1.4"), (4, "no_passage", "1.6-2000000000"), (6, "no_passage", "1.4"), (6, "no_passage", "1.6"),
+                   (8, "bad_range", "2-1"), (10, "no_passage", "7"), (12, "no_passage", "1.4"), (12, "no_passage", "1.6")]
