@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import json
-import re
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import markup, refs, script
-from ..operators import align, chunk, fingerprint, link, render, rollup, rules, segment
+from ..operators import chunk, fingerprint, link, render, rollup, rules, segment
 from . import feature_queries, model, operator_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
