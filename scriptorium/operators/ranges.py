@@ -2,8 +2,9 @@
 
 References order part by part, and a reference stands before those below it.  A range is put into bins: of its two ends, the parts they share are the
 bin's prefix, and the first part in which they differ is cut into bins of 16^level, of which a range meets at most 17 whatever
-its size.  A point is looked up once for each pair of prefix length and level that any range uses (at most nine levels for each length).
-The exact order is a filter on top.
+its size.  The least bins are 16 wide: narrower ones would cost small ranges a row for each part, and every point a look more.  A point is
+looked up once for each pair of prefix length and level that any range uses (at most eight levels for each length).  The exact
+order is a filter on top, so prefixes are joined by a hash alone.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.refs import ref_key
 
-#: Bits in a step of levels: bins are 1, 16, 256, ... parts wide.
-STEP, LEVELS = 4, 9
+#: Bits in a step of levels, and the levels: bins are 16, 256, ... parts wide.
+STEP, LEVELS = 4, range(1, 9)
 
 
 def _part(key: Column, at: Column) -> Column:
@@ -29,13 +30,13 @@ def _shared(a: Column, b: Column) -> Column:
 
 
 def in_bins(ranges: DataFrame, start: str = "_a", end: str = "_b") -> DataFrame:
-    """Ranges with their bins: (_length, _level, _prefix, _bin) each."""
+    """Ranges with their bins: (_length, _level, _prefix, _bin) each; the prefix as a hash."""
     a, b = F.col(start), F.col(end)
     known = ranges.where(a <= b).withColumn("_length", _shared(a, b))
     lo, hi = _part(a, F.col("_length")), _part(b, F.col("_length"))
-    fits = F.array(*[F.struct(F.lit(n).alias("level"), (F.shiftright(hi, STEP * n) - F.shiftright(lo, STEP * n)).alias("more")) for n in range(LEVELS)])
+    fits = F.array(*[F.struct(F.lit(n).alias("level"), (F.shiftright(hi, STEP * n) - F.shiftright(lo, STEP * n)).alias("more")) for n in LEVELS])
     level = F.get(F.filter(fits, lambda x: x["more"] <= 16), F.lit(0))["level"]
-    known = known.withColumn("_level", level).withColumn("_prefix", F.slice(a, F.lit(1), F.col("_length")))
+    known = known.withColumn("_level", level).withColumn("_prefix", F.xxhash64(F.slice(a, F.lit(1), F.col("_length"))))
     shift = lambda c: F.call_function("shiftright", c, F.col("_level") * STEP)
     return known.withColumn("_bin", F.explode(F.sequence(shift(lo), shift(hi))))
 
@@ -47,11 +48,11 @@ def containing(points: DataFrame, ranges: DataFrame, key: str = "doc_id") -> Dat
     repeated ranges, have a row each.
     """
     binned = in_bins(ranges.withColumn("_a", ref_key(F.col("start"))).withColumn("_b", ref_key(F.col("end"))))
-    used = binned.select("_length", "_level").distinct().collect()  # at most LEVELS for each length that a reference has
+    used = binned.select("_length", "_level").distinct().collect()  # at most eight levels for each length that a reference has
     p = points.withColumn("_k", ref_key(F.col("ref"))).where("_k IS NOT NULL")
     looks = F.array(*[F.struct(F.lit(r["_length"]).alias("_length"), F.lit(r["_level"]).alias("_level")) for r in used]) if used else F.array().cast("array<struct<_length:int,_level:int>>")
     p = p.withColumn("_at", F.explode(F.filter(looks, lambda x: x["_length"] <= F.size("_k")))).select("*", "_at._length", "_at._level").drop("_at")
-    p = p.withColumn("_prefix", F.slice("_k", F.lit(1), F.col("_length"))).withColumn("_bin", F.call_function("shiftright", _part(F.col("_k"), F.col("_length")), F.col("_level") * STEP))
+    p = p.withColumn("_prefix", F.xxhash64(F.slice("_k", F.lit(1), F.col("_length")))).withColumn("_bin", F.call_function("shiftright", _part(F.col("_k"), F.col("_length")), F.col("_level") * STEP))
     joined = p.join(binned, [key, "_length", "_level", "_prefix", "_bin"])
     return joined.where(F.col("_k").between(F.col("_a"), F.col("_b"))).drop("_k", "_a", "_b", "_length", "_level", "_prefix", "_bin")
 
