@@ -18,10 +18,10 @@ element or along one row.  A word's logarithm is then a whole number of 2^-32, a
 batch, beside any others.  Training is not: tasks train on their own documents, so other partitions give other weights, and scores
 that differ in the second or third digit.
 
-Scale.  Shuffled are partial word counts, the distinct words of each document (as hashes, to meet their
+Scale.  Shuffled are partial word counts, the distinct words of each document but the most frequent of the corpus (as hashes, to meet their
 counts, which stay a table) and, for each task and round, one number for each
 parameter (about 8,400), summed before and after the shuffle; the driver gets the averages and the
-own-class words, whose sizes do not depend on the corpus.
+own-class words and the most frequent others, whose sizes do not depend on the corpus.
 """
 
 from __future__ import annotations
@@ -41,6 +41,10 @@ OWN, SHARED = 95, 32
 #: Class 0 stands beyond the ends of a document.
 CLASSES = 1 + OWN + SHARED
 SIDE, EMBED, HIDDEN, BATCH = 2, 16, 32, 8192
+#: Words that share classes and make up this part or more of what does, which so many can at most, take their shares along to the tasks; all others are joined.
+COMMON = 1 << 18
+#: Contexts scored at once: their last layer stays in a core's cache.
+SCORED = 1024
 PIECE = 1 << 20
 #: Logarithms of words' shares are summed in such parts, so that equal texts get equal sums in any order.
 FINE = float(1 << 32)
@@ -75,17 +79,31 @@ def contexts(classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def forward(params: list[np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(inputs, hidden layer, class probabilities)."""
+    x, h, z = exponentials(params, around)
+    z /= z.sum(axis=1, keepdims=True)
+    return x, h, z
+
+
+def exponentials(params: list[np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``forward``, before the probabilities of a row are made to sum to one."""
     embed, w1, b1, w2, b2 = params
-    x = embed[around].reshape(len(around), -1)
-    h = np.tanh(x @ w1 + b1)
+    x = embed.take(around, axis=0).reshape(len(around), -1)
+    h = x @ w1
+    h += b1
+    np.tanh(h, out=h)
     z = h @ w2
     z += b2
-    np.clip(z, -40, 40, out=z)
+    if _beyond(w2, b2):
+        np.clip(z, -40, 40, out=z)
     np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
     return x, h, z
 
 
+def _beyond(w2: np.ndarray, b2: np.ndarray) -> bool:
+    """Whether any hidden values, which are at most 1, could need the limits of 40."""
+    return not float((np.abs(w2).sum(axis=0) + np.abs(b2)).max()) < 39.9
+
+
 class Rounded:
     """The network with weights in whole steps, for scores that do not depend on the order of additions."""
 
@@ -93,6 +111,9 @@ class Rounded:
         embed, w1, self.b1, w2, self.b2 = (np.asarray(p, np.float32) for p in params)
         (self.embed, e), (self.w1, s1), (self.w2, s2) = map(self._steps, (embed, w1, w2))
         self.inner, self.outer = e * s1, s2 / STEPS
+        self.beyond = _beyond(w2, self.b2)
+        # what each class adds to the hidden layer from each side, in whole steps
+        self.adds = [self.embed @ part for part in np.split(self.w1, 2 * SIDE)]
 
     @staticmethod
     def _steps(w: np.ndarray) -> tuple[np.ndarray, float]:
@@ -100,15 +121,38 @@ class Rounded:
         return np.rint(w.astype(np.float64) / size), size
 
     def logp(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """The logarithm of each target's probability, in whole numbers of 1 / FINE."""
-        x = self.embed[around].reshape(len(around), -1)
-        h = np.tanh(((x @ self.w1) * self.inner).astype(np.float32) + self.b1)
-        z = (np.rint(h.astype(np.float64) * STEPS) @ self.w2 * self.outer).astype(np.float32)
+        """The logarithm of each target's probability, in whole numbers of 1 / FINE; each distinct context is worked out once."""
+        key = around[:, 0].copy()
+        for k in range(1, 2 * SIDE):
+            key *= CLASSES
+            key += around[:, k]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+        ends = np.append(first[1:], len(key))
+        out = np.empty(len(key), np.int64)
+        for k in range(0, len(first), SCORED):
+            some = first[k : k + SCORED]
+            words = order[some[0] : ends[min(k + SCORED, len(first)) - 1]]
+            of = np.repeat(np.arange(len(some)), ends[k : k + SCORED] - some)
+            z, norm = self._layers(around[order[some]])
+            out[words] = np.rint((z[of, target[words]].astype(np.float64) - norm[of]) * FINE).astype(np.int64)
+        return out
+
+    def _layers(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the last layer, the logarithm of the sum of its exponentials)."""
+        x = self.adds[0].take(around[:, 0], axis=0)
+        for k in range(1, 2 * SIDE):
+            x += self.adds[k].take(around[:, k], axis=0)
+        x *= self.inner
+        h = np.tanh(x.astype(np.float32) + self.b1).astype(np.float64)
+        h *= STEPS
+        steps = np.rint(h, out=h) @ self.w2
+        z = np.multiply(steps, self.outer, out=np.empty(steps.shape, np.float32), casting="same_kind")
         z += self.b2
-        np.clip(z, -40, 40, out=z)
-        wanted = z[np.arange(len(z)), target].astype(np.float64)
-        np.exp(z, out=z)
-        return np.rint((wanted - np.log(z.sum(axis=1).astype(np.float64))) * FINE).astype(np.int64)
+        if self.beyond:
+            np.clip(z, -40, 40, out=z)
+        return z, np.log(np.exp(z).sum(axis=1).astype(np.float64))
 
 
 class Adam:
@@ -125,14 +169,15 @@ class Adam:
 def gradient(params: list[np.ndarray], around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Of the mean negative log-probability of ``target``."""
     embed, w1, _, w2, _ = params
-    x, h, z = forward(params, around)
-    z[np.arange(len(target)), target] -= 1
-    z /= len(target)
-    dh = (z @ w2.T) * (1 - h * h)
-    dx = (dh @ w1.T).reshape(-1, EMBED)
-    flat = around.ravel()
-    de = np.stack([np.bincount(flat, dx[:, k], CLASSES) for k in range(EMBED)], axis=1)
-    return np.concatenate([de.ravel(), (x.T @ dh).ravel(), dh.sum(axis=0), (h.T @ z).ravel(), z.sum(axis=0)]).astype(np.float32)
+    x, h, z = exponentials(params, around)
+    z *= 1 / (z.sum(axis=1, keepdims=True) * np.float32(len(target)))
+    z[np.arange(len(target)), target] -= np.float32(1 / len(target))
+    dh = z @ w2.T
+    dh *= 1 - h * h
+    dx = dh @ w1.T
+    cell = (around * EMBED)[:, :, None] + np.arange(EMBED)
+    de = np.bincount(cell.ravel(), dx.ravel(), CLASSES * EMBED)
+    return np.concatenate([de, (x.T @ dh).ravel(), dh.sum(axis=0), (h.T @ z).ravel(), z.sum(axis=0)]).astype(np.float32)
 
 
 def word_classes(buf: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,9 +260,12 @@ def _train(p: np.ndarray, vocabulary: np.ndarray, stride: int, rate: float, turn
 _OUT_DDL = "id long, n_words long, class_logp long, words array<long>, counts array<int>"
 
 
-def _score(model):
+def _score(model, shares=None):
+    """``model``: a broadcast of (parameters, own-class words); ``shares``: one of the common words, sorted, and the logarithms of their shares."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, vocabulary = model.value
+        common, common_logp = shares.value if shares else (np.zeros(0, U), np.zeros(0, np.int64))
         network = Rounded(unpacked(p))
         for batch in batches:
             buf, offsets = K.buffers(batch.column(1))
@@ -226,11 +274,15 @@ def _score(model):
                 classes, first, hashes = hashed_classes(buf[at[0] : at[-1]], at - at[0], vocabulary)
                 around, target = contexts(classes, first)
                 total = np.zeros(len(target) + 1, np.int64)
-                for k in range(0, len(target), BATCH):
-                    total[k + 1 : k + 1 + BATCH] = network.logp(around[k : k + BATCH], target[k : k + BATCH])
-                np.cumsum(total, out=total)
-                # the distinct words of each row that share a class
+                total[1:] = network.logp(around, target)
                 shared = np.flatnonzero(classes > OWN)
+                if len(common) and len(shared):
+                    k = np.minimum(np.searchsorted(common, hashes[shared]), len(common) - 1)
+                    known = common[k] == hashes[shared]
+                    total[shared[known] + 1] += common_logp[k[known]]
+                    shared = shared[~known]
+                np.cumsum(total, out=total)
+                # the distinct words of each row that share a class and are not common
                 rows = np.repeat(np.arange(j - i), np.diff(first))[shared]
                 h = hashes[shared].view(np.int64)
                 order = np.lexsort((h, rows))
@@ -280,13 +332,17 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     counts = word_counts(rows)
     p, vocabulary = train_model(rows, rounds, stride, counts=counts)
-    model = docs.sparkSession.sparkContext.broadcast((p, vocabulary))
-    scored = written(rows.mapInArrow(_score(model), _OUT_DDL).withColumn("row", F.monotonically_increasing_id()), "class-scores")
     shared = counts.where(~F.col("word").isin(vocabulary.view(np.int64).tolist()))
     sizes = shared.groupBy("class").agg(F.sum("n").alias("all"))  # at most SHARED rows
-    share = shared.join(F.broadcast(sizes), "class").select("word", F.round(F.log(F.col("n") / F.col("all")) * FINE).cast("long").alias("logp"))
+    share = shared.join(F.broadcast(sizes), "class").select("word", "n", F.round(F.log(F.col("n") / F.col("all")) * FINE).cast("long").alias("logp"))
+    least = (sizes.agg(F.sum("all")).first()[0] or 0) / max(COMMON, 1)
+    top = share.where(F.col("n") >= least).collect() if COMMON else []
+    common, common_logp = (np.array([r[c] for r in top], np.int64) for c in ("word", "logp"))
+    order = np.argsort(common.view(U))
+    model, shares = map(docs.sparkSession.sparkContext.broadcast, ((p, vocabulary), (common.view(U)[order], common_logp[order])))
+    scored = written(rows.mapInArrow(_score(model, shares), _OUT_DDL).withColumn("row", F.monotonically_increasing_id()), "class-scores")
     each = scored.select("row", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.counts").alias("k"))
-    within = each.join(share, "word").groupBy("row").agg(F.sum(F.col("k") * F.col("logp")).alias("word_logp"))
+    within = each.join(share.select("word", "logp"), "word").groupBy("row").agg(F.sum(F.col("k") * F.col("logp")).alias("word_logp"))
     out = scored.select("row", "id", "n_words", "class_logp").join(within, "row", "left")
     out = out.withColumn("sum_logp", (F.col("class_logp") + F.coalesce("word_logp", F.lit(0).cast("long"))) / FINE)
     return out.select(F.col("id").alias(id_col), "n_words", "sum_logp", F.when(F.col("n_words") > 0, F.col("sum_logp") / F.col("n_words")).otherwise(0.0).alias("score"))
