@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import dropped, written
+from .shared import dropped, in_tasks_of, written
+
+#: Edges a task writes.
+EACH = 200_000
 
 
 def _minima(both: DataFrame) -> DataFrame:
@@ -24,13 +27,14 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     node that has none.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
+    n = edges.count()  # no step makes more of them
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_minima(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = large.where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        last, e = e, written(small.distinct(), "stars")
+        last, e = e, written(in_tasks_of(small.distinct(), n, EACH), "stars")
         dropped(last)
         ends = e.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(e.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
         if ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 OR out = 1 AND into = 1").isEmpty():

@@ -36,12 +36,14 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .components import connected_components
 from .kernels import U
-from .shared import dropped, written
+from .shared import dropped, in_tasks_of, written
 
 ROWS, MISS, BIN_BITS, BITS = 4, 1e-5, 10, 2048
 BINS = 1 << BIN_BITS
 PIECE = 1 << 19
 BLOCK = 1024
+#: Rows that a task writes: of numbers, with signatures, with sets.
+NUMBERS, SIGNED, SETS = 200_000, 8192, 4096
 _SHINGLE = 0x8CB92BA72F3D8DD7
 
 
@@ -277,11 +279,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = written(signatures.withColumn("row", F.monotonically_increasing_id()), "signatures")
     full = signed.where("n > 0")
     classes = full.groupBy("digest").agg(F.min("id").alias("least"), F.min("row").alias("row"))
-    classes = written(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
-    reps = written(signed.join(classes.select("row", "c"), "row").select("c", "id", "text_key", "digest", "n", "bands", "sketch"), "representatives")
+    classes = written(in_tasks_of(classes, signed.count(), NUMBERS).withColumn("c", F.monotonically_increasing_id()), "classes")
+    n = classes.count()
+    reps = signed.join(classes.select("row", "c"), "row").select("c", "id", "text_key", "digest", "n", "bands", "sketch")
+    reps = written(in_tasks_of(reps, n, SIGNED), "representatives")
     placed = reps.select("c", F.explode("bands").alias("bucket"))
-    buckets = written(placed.groupBy("bucket").agg(F.min("c").alias("leader"), F.count("*").alias("size")).where("size > 1"), "buckets")
-    members = written(placed.join(buckets, "bucket"), "members")
+    buckets = placed.groupBy("bucket").agg(F.min("c").alias("leader"), F.count("*").alias("size")).where("size > 1")
+    buckets = written(in_tasks_of(buckets, n * bands_for(threshold), NUMBERS), "buckets")
+    members = written(in_tasks_of(placed.join(buckets, "bucket"), n * bands_for(threshold), NUMBERS), "members")
     confirm_on = _Confirmation(rows, reps, shingle_words, threshold)
 
     pairs = members.where("c > leader").select(F.col("c").alias("a"), F.col("leader").alias("b")).distinct()
@@ -291,7 +296,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     inside = members.where("size > 2").join(found.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     parts = inside.groupBy("bucket", "component").agg(F.count("*").alias("k"))
     largest = parts.groupBy("bucket").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.sum("k").alias("all"), F.max("k").alias("most")).where("most < all")
-    largest = written(largest, "mixed-buckets")  # a table, so that the join below can split a hot bucket
+    largest = written(in_tasks_of(largest, buckets.count(), NUMBERS), "mixed-buckets")  # a table, so that the join below can split a hot bucket
     known = reps.select("c", "n", "sketch", "bands")
     mixed = inside.select("bucket", "c", "component").join(largest, "bucket").join(known, "c")
     main_blocks, rest_blocks = F.ceil(F.col("most") / BLOCK), F.ceil((F.col("all") - F.col("most")) / BLOCK)
@@ -352,14 +357,18 @@ class _Confirmation:
             return likely
         sets = self.sets(likely.select(F.col("a").alias("c")).unionByName(likely.select(F.col("b").alias("c"))).distinct())
         full = likely.join(sets.select(F.col("c").alias("a"), F.col("set").alias("xa")), "a").join(sets.select(F.col("c").alias("b"), F.col("set").alias("xb")), "b")
-        out = written(full.mapInArrow(_confirm(t), "a long, b long"), "confirmed")
+        out = written(in_tasks_of(full, likely.count(), SETS).mapInArrow(_confirm(t), "a long, b long"), "confirmed")
         dropped(likely, sets)
         return out
 
     def sets(self, wanted: DataFrame) -> DataFrame:
         """(c, set) of the wanted classes, from the texts of their representatives."""
+        wanted = written(in_tasks_of(wanted, self.reps.count(), NUMBERS), "wanted")
         asked = self.reps.join(wanted, "c").select("c", "id", "text_key", "digest")
         by_row = asked.select(F.coalesce("id", F.lit(0)).alias("_id"), "text_key").distinct()
         some = self.rows.withColumn("_id", F.coalesce("id", F.lit(0))).join(by_row.hint("merge"), ["_id", "text_key"], "left_semi").select("text")
         found = some.mapInArrow(_sets(self.width), "digest binary, set binary").dropDuplicates(["digest"])
-        return written(found.join(asked.select("c", "digest"), "digest").select("c", "set"), "sets")
+        out = found.join(asked.select("c", "digest"), "digest").select("c", "set")
+        out = written(in_tasks_of(out, wanted.count(), SETS), "sets")
+        dropped(wanted)
+        return out

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .shared import written
 
-PIECE = 4 << 20
+PIECE = 1 << 20
 
 
 class CapacityTree:

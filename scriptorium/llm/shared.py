@@ -52,6 +52,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def in_tasks_of(df: DataFrame, rows: int, each: int) -> DataFrame:
+    """``df``, of some ``rows`` rows, in no more tasks (and files, once written) than hold ``each`` rows.
+
+    A table of small rows that comes from a shuffle has a file for each shuffle partition otherwise, however few rows are in them; on a local
+    file system without Hadoop's native library each file costs an executor some six child processes.
+    """
+    return df.coalesce(max(1, -(-rows // each)))
+
+
 def dropped(*tables: DataFrame) -> None:
     """Remove tables that ``written`` made and that no later plan reads."""
     for df in tables:
