@@ -127,13 +127,14 @@ def _near_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Documents are rows: those with a null or a repeated identifier take part each with its own text; a row that repeats counts once.
     """
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", row_key().alias("row")).dropDuplicates(["row"])
-    found = written(near_duplicates(docs, id_col="row", shingle_words=3, threshold=0.85).select("row", F.col("component_id").alias("class")), "near-classes")
-    placed = docs.select("doc_id", "row").join(found, "row")
-    least = placed.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least")).select("class", F.col("least.row").alias("other_row"))
-    classes = found.join(least, "class").where("row <> other_row").select("row", "other_row")
-    others = docs.select(F.col("row").alias("other_row"), F.col("doc_id").alias("other_id"), F.col("text").alias("other"))
-    rows = docs.join(classes, "row").join(others, "other_row")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", row_key().alias("row"))
+    found = written(near_duplicates(docs, id_col="row", shingle_words=3, threshold=0.85).select("row", F.col("component_id").alias("class")).distinct(), "near-classes")
+    placed = docs.select("doc_id", "row").distinct().join(found, "row")
+    least = placed.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least"), F.count("*").alias("n")).where("n > 1").select("class", F.col("least.row").alias("other_row"))
+    # only texts of classes with several rows are shuffled further, and repeated rows go after that
+    texts = written(docs.join(found.join(least, "class").select("row", "other_row"), "row").dropDuplicates(["row"]), "near-texts")
+    others = texts.where("row = other_row").select("other_row", F.col("doc_id").alias("other_id"), F.col("text").alias("other"))
+    rows = texts.where("row <> other_row").join(others, "other_row")
     return rows.select(F.col("doc_id").alias("pair_id"), F.col("text").alias("source_text"), F.col("other").alias("output_text"), "other_id")
 
 

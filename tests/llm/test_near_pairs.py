@@ -90,3 +90,20 @@ def test_matcher_is_difflib():
             b = a[: n // 3] + "".join(rng.choice(letters) for _ in range(n // 5)) + a[n // 2 :]
             for x, y in ((a, b), (b, a), (a, a[::-1]), (a.split(), b.split())):
                 assert align.Matcher(x, y).get_opcodes() == SequenceMatcher(None, x, y, autojunk=False).get_opcodes()
+
+
+def test_texts_are_shuffled_only_for_classes(spark, folder, monkeypatch):
+    """The search reads the table as it lies, and texts go on only from classes of several rows."""
+    seen, near, write = [], queries.near_duplicates, queries.written
+
+    def search(docs, **options):
+        seen.append(docs._jdf.queryExecution().executedPlan().toString())
+        return near(docs, **options)
+
+    kept = []
+    monkeypatch.setattr(queries, "near_duplicates", search)
+    monkeypatch.setattr(queries, "written", lambda df, label: kept.append((label, out := write(df, label))) or out)
+    rows = queries._near_pairs(spark, folder)
+    assert len(seen) == 1 and "Exchange" not in seen[0]
+    texts = dict(kept)["near-texts"]
+    assert texts.count() == rows.count() + rows.select("other_id").distinct().count()
