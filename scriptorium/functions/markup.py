@@ -58,8 +58,7 @@ def cleaned(c: Column, skip_headings: bool = True) -> Column:
     """For comparison: without header, headings, comments, bold marks; white space as one space."""
     text = strip(c)
     for mark in ("---", "\\+\\+\\+"):
-        parts = F.split(text, mark, 3)
-        text = F.when(text.rlike(f"^{mark}") & (F.size(parts) == 3), F.get(parts, F.lit(2))).otherwise(text)
+        text = F.regexp_replace(text, f"(?s)^{mark}.*?{mark}", "")  # names the text once, so each step is done once
     if skip_headings:
         text = F.regexp_replace(text, "(?mU)^#+\\s+.*$", "")
     text = F.regexp_replace(text, "(?s)<!--.*?-->", " ")

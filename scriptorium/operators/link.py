@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.refs import expanded
-from .align import Nearest, similarity
+from .align import Nearest, ratio
 from .ranges import containing  # noqa: F401
 
 
@@ -62,17 +66,48 @@ def reference_gaps(used: DataFrame, declared: DataFrame, keys: list[str]) -> Dat
     return a.join(b, keys, "left_anti").withColumn("problem", F.lit("undeclared")).unionByName(b.join(a, keys, "left_anti").withColumn("problem", F.lit("unused")))
 
 
-def best_match(left: DataFrame, right: DataFrame, block: list[str], left_text: str = "text", right_text: str = "text", left_id: str = "id", right_id: str = "id", least: float = 0.0) -> DataFrame:
-    """(left id, right id, score): for every left row the most similar right row of its block.
+def _best_of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs (_row, left_id, right_id, _a, _b) those that no other of their row in a batch excels, with ``score``.
+
+    The nearest lengths come first; what the lengths show to be worse than a pair already scored is passed over.
+    """
+    last, most = None, -1.0  # a row's pairs may go on in the next batch
+    for batch in batches:
+        rows = batch.column("_row").to_numpy()
+        texts = [batch.column(c) for c in ("_a", "_b")]
+        m, n = (pc.utf8_length(t).to_numpy(zero_copy_only=False).astype(float) for t in texts)
+        bound = np.where(m + n == 0, 100.0, 100.0 * 2 * np.minimum(m, n) / np.maximum(m + n, 1))
+        best = {last: most}
+        kept, scores = [], []
+        for k in np.lexsort((-bound, rows)).tolist():
+            row = rows[k]
+            if bound[k] < best.get(row, -1.0):
+                continue
+            score = ratio(texts[0][k].as_py(), texts[1][k].as_py())
+            if score >= best.get(row, -1.0):
+                best[row] = score
+                kept.append(k)
+                scores.append(score)
+        some = [i for i, k in enumerate(kept) if scores[i] == best[rows[k]]]
+        if len(rows):
+            last, most = rows[-1], best[rows[-1]]
+        out = batch.take(pa.array([kept[i] for i in some], pa.int64()))
+        yield pa.RecordBatch.from_arrays([*out.columns, pa.array([scores[i] for i in some], pa.float64())], names=[*out.schema.names, "score"])
+
+
+def best_match(left: DataFrame, right: DataFrame, block: list[str], left_text: str = "text", right_text: str = "text", left_id: str = "id", right_id: str = "id", least: float = 0.0, texts: bool = False) -> DataFrame:
+    """(left id, right id, score): for every left row the most similar right row of its block; ``texts``: also both texts.
 
     ``block``: columns both sides share; only rows of one block are compared, so keep blocks small
-    (a directory, a rare shared word).  Of equal scores the smallest identifier wins.
+    (a directory, a rare shared word).  Of equal scores the smallest identifier wins.  Rows without a text take no part.
     """
-    a = left.select(*block, F.col(left_id).alias("left_id"), F.col(left_text).alias("_a"))
-    b = right.select(*block, F.col(right_id).alias("right_id"), F.col(right_text).alias("_b"))
-    scored = a.join(b, block).select("left_id", "right_id", similarity(F.col("_a"), F.col("_b")).alias("score"))
-    best = scored.groupBy("left_id").agg(F.min_by("right_id", F.struct(-F.col("score"), "right_id")).alias("right_id"), F.max("score").alias("score"))
-    return best.where(F.col("score") >= least)
+    a = left.where(F.col(left_text).isNotNull()).select(*block, F.col(left_id).alias("left_id"), F.col(left_text).alias("_a")).withColumn("_row", F.monotonically_increasing_id())
+    b = right.where(F.col(right_text).isNotNull()).select(*block, F.col(right_id).alias("right_id"), F.col(right_text).alias("_b"))
+    pairs = a.join(b, block).select("_row", "left_id", "right_id", "_a", "_b")
+    scored = pairs.mapInArrow(_best_of_rows, T.StructType([*pairs.schema.fields, T.StructField("score", T.DoubleType())]))
+    carried = ["right_id", "_a", "_b"] if texts else ["right_id"]
+    best = scored.groupBy("left_id").agg(F.min(F.struct((-F.col("score")).alias("s"), *carried)).alias("r"))
+    return best.select("left_id", *[f"r.{c}" for c in carried], (-F.col("r.s")).alias("score")).where(F.col("score") >= least)
 
 
 def nearest(left: DataFrame, right: DataFrame, left_text: str = "text", right_text: str = "text", left_id: str = "id", right_id: str = "id", block_chars: int = 1_000_000) -> DataFrame:

@@ -24,14 +24,13 @@ def best_files(sources: DataFrame, candidates: DataFrame, folder: str = "dir", n
     similar candidates the first by name is taken.  A source without candidates has no row.  Folders are the blocks of the comparison; for matches
     across a whole library above a threshold take ``similar.best_similar``.
     """
-    words = lambda df: df.select(F.col(folder).alias("_dir"), F.col(name).alias("_name"), compared_text(F.col(text), chars).alias("_words"))
+    # one element exploded: filters on the words then read them and do not clean the text again
+    words = lambda df: df.select(F.col(folder).alias("_dir"), F.col(name).alias("_name"), F.explode(F.array(compared_text(F.col(text), chars))).alias("_words"))
     left = words(sources).withColumn("_id", F.struct("_dir", "_name"))
     right = words(candidates.where(~F.col(name).rlike(skipped))).where("_words <> ''")
-    best = best_match(left, right, ["_dir"], "_words", "_words", "_id", "_name")
-    pairs = best.select(F.col("left_id._dir").alias("_dir"), F.col("left_id._name").alias("_name"), F.col("right_id").alias("match"), "score")
-    pairs = pairs.join(left.select("_dir", "_name", F.col("_words").alias("_a")), ["_dir", "_name"]).join(right.select("_dir", F.col("_name").alias("match"), F.col("_words").alias("_b")), ["_dir", "match"])
-    counted = pairs.withColumn("_c", edit_counts("_a", "_b"))
-    return counted.select(F.col("_dir").alias(folder), F.col("_name").alias(name), "match", "score", (F.col("_c.deleted") + F.col("_c.inserted")).cast("long").alias("n_different"))
+    best = best_match(left, right, ["_dir"], "_words", "_words", "_id", "_name", texts=True)
+    counted = best.withColumn("_c", edit_counts("_a", "_b"))
+    return counted.select(F.col("left_id._dir").alias(folder), F.col("left_id._name").alias(name), F.col("right_id").alias("match"), "score", (F.col("_c.deleted") + F.col("_c.inserted")).cast("long").alias("n_different"))
 
 
 HEADER = "(?s)^\\s*---(.*?)---(.*)$"
