@@ -124,7 +124,7 @@ def _frequencies(items):
         some = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(own.grams[some].view(np.int64)), pa.array(count[some])], names=["gram", "n"])
 
-    return run
+    return K.lean(run)
 
 
 def _align(items, threshold: float):
@@ -163,7 +163,7 @@ def _align(items, threshold: float):
                         out.append((ids[i + r], own.ids[item], best / (2 * n), len(hit), end))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, _LINK)], schema=_LINK)
 
-    return run
+    return K.lean(run)
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[int, str]]]:

@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .shared import groups_for, text_bytes, written
 
 #: A-Z to a-z, all other bytes as they are.
@@ -153,7 +154,7 @@ def _combine(sign: int, fold: bool, limit: int):
                 trie, rows = RadixTrie(), []
         yield from flush()
 
-    return run
+    return K.lean(run)
 
 
 def _own(limit: int):
@@ -182,7 +183,7 @@ def _own(limit: int):
         for i in range(0, len(rows), 20_000):
             yield emit([(*r[:4], r[4].owner, r[4].count, None) for r in rows[i : i + 20_000]])
 
-    return run
+    return K.lean(run)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "first", fold_ascii_case: bool = True, trie_bytes: int = 96 << 20) -> DataFrame:

@@ -6,6 +6,10 @@ ranges of it.  All hashes are 64-bit, wrap modulo 2**64 and end in a non-linear
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable, Iterator
+from typing import Any
+
 import numpy as np
 import pyarrow as pa
 
@@ -51,6 +55,36 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+_kept: dict[Any, Any] = {}
+
+
+def kept(key: Any, make: Callable[[], Any]) -> Any:
+    """What ``make`` makes, one for all tasks of a worker until a map with another key, or with none, begins there."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def lean(run: Callable[..., Iterator[pa.RecordBatch]], keeps: bool = False) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A map of batches that leaves its worker small.
+
+    Spark goes on with the same workers in later stages, so what is held after a map stands beside the next one's.  Before it, what
+    others have ``kept`` goes, unless the map ``keeps`` something itself; after it, Arrow gives unused memory back.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            _kept.clear()
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return wrapped
+
+
 #: Bytes that separate words: space and \t \n \v \f \r.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 SPACE = np.zeros(256, bool)

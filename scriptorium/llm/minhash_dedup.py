@@ -136,7 +136,7 @@ def _signatures(width: int, bands: int):
                     names=["id", "text_key", "n", "digest", "bands", "sketch"],
                 )
 
-    return run
+    return K.lean(run)
 
 
 def _sets(width: int):
@@ -149,7 +149,7 @@ def _sets(width: int):
                 sets = [d[a:b] for a, b in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array([_digest(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["digest", "set"])
 
-    return run
+    return K.lean(run)
 
 
 def _similar_sketches(threshold: float):
@@ -162,7 +162,7 @@ def _similar_sketches(threshold: float):
             na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
             yield batch.filter(pa.array(count <= sketch_limit(na, nb, threshold))).select(["a", "b"])
 
-    return run
+    return K.lean(run)
 
 
 def _linked(x: np.ndarray, y: np.ndarray, least: Fraction) -> bool:
@@ -181,7 +181,7 @@ def _confirm(threshold: float):
             keep = [_linked(np.frombuffer(x, U), np.frombuffer(y, U), least) for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    return run
+    return K.lean(run)
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])

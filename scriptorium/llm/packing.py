@@ -13,7 +13,6 @@ rank among all of its length, and the plan maps the rank to a sequence and an of
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections.abc import Iterator
 
@@ -240,10 +239,9 @@ class WordTokenizer:
         return self.table[place], np.concatenate([[0], ends])[np.searchsorted(starts, offsets)]
 
 
-@functools.cache
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One for each worker, which all its tasks share: a function of the module, as tasks get copies of plain globals."""
-    return WordTokenizer(path)
+    """One for each worker, which all its tasks share until it takes up another kind of map."""
+    return K.kept(("word tokenizer", path), lambda: WordTokenizer(path))
 
 
 _PIECE = pa.schema([("id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("tokens", pa.binary()), ("task", pa.int64()), ("nth", pa.int64())])
@@ -290,7 +288,7 @@ def _tokenise(path: str, capacity: int, end_id: int, with_tokens: bool):
                 ]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], schema=_PIECE)
 
-    return run
+    return K.lean(run, keeps=True)
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end_id: int = 1, with_tokens: bool = False) -> DataFrame:

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .shared import row_key, written
 
 #: Hand-written lexicons.
@@ -121,7 +122,7 @@ def _features(signs: Signs, by_fold: list[Signs]):
                     rows.append((i, key, "".join("-0+"[v + 1] for v in votes), dense, ks, vs))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _FEATURES)], schema=_FEATURES)
 
-    return run
+    return K.lean(run)
 
 
 # ---------------------------------------------------------------- label model
