@@ -6,10 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def ref_parts(ref: Column) -> Column:
+    """[3, 1, 2] of "3.1.2"; null stands for a part that is no integer."""
+    return F.split(ref, "\\.").try_cast("array<int>")
+
+
 def ref_key(ref: Column) -> Column:
     """[3, 1, 2] of "3.1.2"; null if any part is no integer.  Arrays compare part by part."""
-    parts = F.transform(F.split(ref, "[.]"), lambda x: x.try_cast("int"))
-    return F.when(~F.exists(parts, lambda x: x.isNull()), parts)
+    return F.when(~F.exists(ref_parts(ref), lambda x: x.isNull()), ref_parts(ref))
 
 
 def compare_refs(a: Column, b: Column) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.refs import ref_key
+from ..functions.refs import ref_parts
 
 #: Bits in a step of levels, and the levels: bins are 16, 256, ... parts wide.
 STEP, LEVELS = 4, range(1, 9)
@@ -26,19 +26,41 @@ def _part(key: Column, at: Column) -> Column:
 def _shared(a: Column, b: Column) -> Column:
     """How many first parts two keys share."""
     same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    return F.coalesce(F.nullif(F.array_position(same, F.lit(False)), F.lit(0)) - 1, F.size(same)).cast("int")
+    return F.coalesce(F.nullif(F.array_position(same, F.lit(False)), F.lit(0)) - 1, F.size(a)).cast("int")
+
+
+def _once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with columns that are worked out once a row, however often they are used: a filter on a generated column is not moved
+    below it, where the column would be put in again as often as the filter names it."""
+    return rows.drop(*columns).select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
+def _levelled(ranges: DataFrame, start: str, end: str) -> DataFrame:
+    """Ranges in order with the number of parts their ends share, the parts after these, and the level of their bins."""
+    a, b = F.col(start), F.col(end)
+    known = _once(ranges.where(a <= b), _length=_shared(a, b))
+    known = _once(known, _lowest=_part(a, F.col("_length")), _highest=_part(b, F.col("_length")))
+    level = F.coalesce(*[F.when(F.shiftright("_highest", STEP * n) - F.shiftright("_lowest", STEP * n) <= 16, F.lit(n)) for n in LEVELS])
+    return _once(known, _level=level)
+
+
+def _shifted(part: Column) -> Column:
+    return F.call_function("shiftright", part, F.col("_level") * STEP)
 
 
 def in_bins(ranges: DataFrame, start: str = "_a", end: str = "_b") -> DataFrame:
     """Ranges with their bins: (_length, _level, _prefix, _bin) each; the prefix as a hash."""
-    a, b = F.col(start), F.col(end)
-    known = ranges.where(a <= b).withColumn("_length", _shared(a, b))
-    lo, hi = _part(a, F.col("_length")), _part(b, F.col("_length"))
-    fits = F.array(*[F.struct(F.lit(n).alias("level"), (F.shiftright(hi, STEP * n) - F.shiftright(lo, STEP * n)).alias("more")) for n in LEVELS])
-    level = F.get(F.filter(fits, lambda x: x["more"] <= 16), F.lit(0))["level"]
-    known = known.withColumn("_level", level).withColumn("_prefix", F.xxhash64(F.slice(a, F.lit(1), F.col("_length"))))
-    shift = lambda c: F.call_function("shiftright", c, F.col("_level") * STEP)
-    return known.withColumn("_bin", F.explode(F.sequence(shift(lo), shift(hi))))
+    known = _levelled(ranges, start, end).withColumn("_prefix", F.xxhash64(F.slice(F.col(start), F.lit(1), F.col("_length"))))
+    return known.withColumn("_bin", F.explode(F.sequence(_shifted(F.col("_lowest")), _shifted(F.col("_highest"))))).drop("_lowest", "_highest")
+
+
+def _placed(rows: DataFrame, key: str) -> DataFrame:
+    """Bins as two numbers: ``_look``, length and level; ``_at``, one number a bin, which bins of one range do not share.
+
+    Rows are sorted by ``_at`` first, where few are alike.  Bins that share it by chance only cost a look: the order of references decides.
+    """
+    at = F.xxhash64(key, "_length", "_level", "_prefix").bitwiseXOR(F.col("_bin"))
+    return rows.withColumn("_at", at).withColumn("_look", F.col("_length") * 16 + F.col("_level")).drop("_length", "_level", "_prefix", "_bin")
 
 
 def containing(points: DataFrame, ranges: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -47,14 +69,15 @@ def containing(points: DataFrame, ranges: DataFrame, key: str = "doc_id") -> Dat
     Defined cases: a malformed reference, or a range whose end stands before its start, meets nothing; a point in several ranges, and
     repeated ranges, have a row each.
     """
-    binned = in_bins(ranges.withColumn("_a", ref_key(F.col("start"))).withColumn("_b", ref_key(F.col("end"))))
-    used = binned.select("_length", "_level").distinct().collect()  # at most eight levels for each length that a reference has
-    p = points.withColumn("_k", ref_key(F.col("ref"))).where("_k IS NOT NULL")
+    formed = lambda c: F.forall(c, lambda x: x.isNotNull())
+    keyed = _once(ranges, _a=ref_parts(F.col("start")), _b=ref_parts(F.col("end"))).where(formed("_a") & formed("_b"))
+    used = _levelled(keyed.select("_a", "_b"), "_a", "_b").select("_length", "_level").distinct().collect()  # at most eight levels for each length that a reference has
+    p = _once(points, _k=ref_parts(F.col("ref"))).where(formed("_k"))
     looks = F.array(*[F.struct(F.lit(r["_length"]).alias("_length"), F.lit(r["_level"]).alias("_level")) for r in used]) if used else F.array().cast("array<struct<_length:int,_level:int>>")
-    p = p.withColumn("_at", F.explode(F.filter(looks, lambda x: x["_length"] <= F.size("_k")))).select("*", "_at._length", "_at._level").drop("_at")
-    p = p.withColumn("_prefix", F.xxhash64(F.slice("_k", F.lit(1), F.col("_length")))).withColumn("_bin", F.call_function("shiftright", _part(F.col("_k"), F.col("_length")), F.col("_level") * STEP))
-    joined = p.join(binned, [key, "_length", "_level", "_prefix", "_bin"])
-    return joined.where(F.col("_k").between(F.col("_a"), F.col("_b"))).drop("_k", "_a", "_b", "_length", "_level", "_prefix", "_bin")
+    p = p.select("*", F.inline(looks)).where(F.col("_length") <= F.size("_k"))
+    p = p.withColumn("_prefix", F.xxhash64(F.slice("_k", F.lit(1), F.col("_length")))).withColumn("_bin", _shifted(_part(F.col("_k"), F.col("_length"))))
+    joined = _placed(p, key).join(_placed(in_bins(keyed), key), ["_at", key, "_look"])
+    return joined.where(F.col("_k").between(F.col("_a"), F.col("_b"))).drop("_k", "_a", "_b", "_at", "_look")
 
 
 def coverage_gaps(commentaries: DataFrame, passages: DataFrame, key: str = "doc_id") -> DataFrame:
