@@ -91,7 +91,9 @@ def merged_headers(chunks: DataFrame, key: str = "doc_id", at: str = "chunk", he
 
 def diff_report(pairs: DataFrame, records: DataFrame, key: str = "pair_id") -> DataFrame:
     """(key, n_chars, n_space, n_text, delta_percent, rank): pairs; the most differences other than white space rank first, equal ones share a rank."""
-    counts = records.groupBy(key).agg(F.count_if("whitespace_only").alias("n_space"), F.count_if(~F.col("whitespace_only")).alias("n_text"))
+    # both counts come from the same two, so that the part for the ranks is the part for the rows and differences are made once
+    counts = records.groupBy(key).agg(F.count("whitespace_only").alias("_n"), F.count_if("whitespace_only").alias("n_space"))
+    counts = counts.select(key, "n_space", (F.col("_n") - F.col("n_space")).alias("n_text"))
     zero = F.lit(0).cast("long")
     out = pairs.join(counts, key, "left").withColumn("n_space", F.coalesce("n_space", zero)).withColumn("n_text", F.coalesce("n_text", zero))
     # ranks from the counts of pairs by n_text: a table of distinct numbers, never all pairs in one window
